@@ -24,7 +24,7 @@ def rows_of(names, rows):
 
     def norm(v):
         if isinstance(v, float):
-            return "nan" if math.isnan(v) else float(f"{v:.12g}")
+            return "nan" if math.isnan(v) else v
         return v
 
     return Counter(tuple(norm(r[i]) for i in order) for r in rows)

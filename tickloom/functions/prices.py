@@ -84,5 +84,5 @@ def signed(side: Column, amount: Column) -> Column:
 
 
 def exact_sum(amount: Column) -> Column:
-    """Integer sum that cannot overflow midway: decimal accumulator, checked BIGINT result."""
+    """Integer total over very many rows: decimal accumulator, checked BIGINT result."""
     return F.sum(amount.cast("decimal(38,0)")).cast("bigint")

@@ -40,8 +40,8 @@ def day_text(ts: Column) -> Column:
 
 
 def second_of_week(ts: Column, zone: str | Column = "UTC") -> Column:
-    """Seconds since Sunday 00:00 in the named zone."""
-    local = F.from_utc_timestamp(ts.cast("timestamp"), zone)
-    return (
-        (F.dayofweek(local) - 1) * 86400 + F.hour(local) * 3600 + F.minute(local) * 60 + F.second(local)
-    ).cast("bigint")
+    """Seconds since Sunday 00:00 in the named zone. The epoch began on a Thursday, four days into a week."""
+    local = ts.cast("timestamp")
+    if isinstance(zone, Column) or zone != "UTC":
+        local = F.from_utc_timestamp(local, zone)
+    return F.pmod(F.unix_seconds(local) + F.lit(4 * 86400), F.lit(7 * 86400)).cast("bigint")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.prices import exact_sum, signed
@@ -71,21 +71,20 @@ def closing_links(deals: DataFrame, deal_columns: Sequence[str] = DEAL_ORDER) ->
 def deal_offsets(links: DataFrame) -> DataFrame:
     """Both directions of every link, one row each: the deals that close a deal (``offsetBy``) and the
     deals it closes (``offsetting``)."""
-    def side(direction: str, deal: str, other: str) -> DataFrame:
-        return links.select(
+    def side(direction: str, deal: str, other: str) -> Column:
+        return F.struct(
             F.lit(direction).alias("direction"),
-            F.col(f"{deal}.orderId").alias("orderId"),
+            F.col("orderId"),
             F.col(f"{deal}.lineNo").alias("lineNo"),
             F.col(f"{deal}.executedAt").alias("executedAt"),
             F.col(f"{other}.lineNo").alias("otherLineNo"),
             F.col(f"{other}.symbolId").alias("otherSymbolId"),
             F.col(f"{other}.executedAt").alias("otherExecutedAt"),
-            "volume",
+            F.col("volume"),
         )
 
-    return side("offsetBy", "openingDeal", "closingDeal").unionByName(
-        side("offsetting", "closingDeal", "openingDeal")
-    )
+    both = F.array(side("offsetBy", "openingDeal", "closingDeal"), side("offsetting", "closingDeal", "openingDeal"))
+    return links.select(F.inline(both))
 
 
 def with_status(rows: DataFrame, column: str, *names: str) -> DataFrame:
@@ -111,7 +110,7 @@ def reconcile(orders: DataFrame, open_status: str = "ORDER_STATUS_FILLED",
 def realised_pnl(closed: DataFrame, by: Sequence[str]) -> DataFrame:
     """Gross profit, costs and net result of closed deals."""
     totals = closed.groupBy(*by).agg(
-        *[exact_sum(F.col(c)).alias(c) for c in ("grossProfit", "swap", "commission", "pnlConversionFee")],
+        *[F.sum(c).alias(c) for c in ("grossProfit", "swap", "commission", "pnlConversionFee")],
         F.count(F.lit(1)).alias("deals"),
     )
     net = F.col("grossProfit") + F.col("swap") + F.col("commission") - F.col("pnlConversionFee")
@@ -119,19 +118,16 @@ def realised_pnl(closed: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def exposure(deals: DataFrame) -> DataFrame:
-    side = F.col("tradeSide")
-    volume = F.col("volume")
+    side, volume, none = F.col("tradeSide"), F.col("volume"), F.lit(0).cast("bigint")
     return deals.groupBy("symbolId").agg(
-        exact_sum(F.when(side == "BUY", volume).otherwise(0)).alias("buyVolume"),
-        exact_sum(F.when(side == "SELL", volume).otherwise(0)).alias("sellVolume"),
-        exact_sum(signed(side, volume)).alias("netVolume"),
+        F.sum(F.when(side == "BUY", volume).otherwise(none)).alias("buyVolume"),
+        F.sum(F.when(side == "SELL", volume).otherwise(none)).alias("sellVolume"),
+        F.sum(signed(side, volume)).alias("netVolume"),
     )
 
 
 def fill_ratio(deals: DataFrame, by: Sequence[str]) -> DataFrame:
-    totals = deals.groupBy(*by).agg(
-        exact_sum(F.col("volume")).alias("volume"), exact_sum(F.col("filledVolume")).alias("filledVolume")
-    )
+    totals = deals.groupBy(*by).agg(F.sum("volume").alias("volume"), F.sum("filledVolume").alias("filledVolume"))
     return totals.withColumn("fillRatio", F.col("filledVolume") / F.nullif(F.col("volume"), F.lit(0).cast("bigint")))
 
 
@@ -194,15 +190,24 @@ def account_snapshot(
     )
 
 
-def leverage_tier(rows: DataFrame, ladders: DataFrame, volume: str = "volume") -> DataFrame:
-    """Leverage of each row's volume: the tier with the greatest lower bound not above it.
+def ladder_ranges(ladders: DataFrame) -> DataFrame:
+    """Tiers as half-open volume ranges; each reaches up to the next tier of its ladder, the last has no end."""
+    tiers = ladders.select("leverageId", F.explode("tiers").alias("t")).select(
+        "leverageId", F.col("t.volume").alias("__from"), F.col("t.leverage").alias("leverage")
+    )
+    line = Window.partitionBy("leverageId").orderBy("__from")
+    return tiers.withColumn("__to", F.lead("__from").over(line))
 
-    A ladder stays one row with its tiers in an array, so a row meets one ladder, not one row per tier.
-    """
-    reached = F.filter(F.array_sort("tiers"), lambda t: t["volume"] <= F.col(volume))
-    return rows.join(ladders, "leverageId", "left").withColumn(
-        "leverage", F.try_element_at(reached, F.lit(-1))["leverage"]
-    ).drop("tiers")
+
+def leverage_tier(rows: DataFrame, ladders: DataFrame, volume: str = "volume") -> DataFrame:
+    """Leverage of each row's volume: the tier with the greatest lower bound not above it. The ranges of a
+    ladder do not overlap and are tested inside the join, so a row stays one row."""
+    v = F.col(volume)
+    ranges = ladder_ranges(ladders).withColumnRenamed("leverageId", "__ladder")
+    inside = (v >= F.col("__from")) & (F.col("__to").isNull() | (v < F.col("__to")))
+    return rows.join(ranges, (F.col("leverageId") == F.col("__ladder")) & inside, "left").drop(
+        "__ladder", "__from", "__to"
+    )
 
 
 def expected_margin(

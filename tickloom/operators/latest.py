@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 32
+SALTS = 4096
+UNSALTED_ROWS = 100
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -30,19 +31,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each key in ``order``, numbered from 1 in ``row_no``.
 
-    Ranked twice: within salted shares of a key, then among the at most ``n * SALTS`` survivors.
+    For a small ``n`` Spark limits each key before the shuffle, so a key reaches it with at most ``n`` rows
+    per task. Beyond that, salted shares of a key are ranked first, and then their survivors.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
-    shares = Window.partitionBy(*keys, "__salt").orderBy(*order)
+    rows = df
+    if n > UNSALTED_ROWS:
+        shares = Window.partitionBy(*keys, "__salt").orderBy(*order)
+        rows = (
+            df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+            .withColumn("__rank", F.row_number().over(shares))
+            .filter(F.col("__rank") <= n)
+            .drop("__salt", "__rank")
+        )
     whole = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("__salt", salt)
-        .withColumn("__rank", F.row_number().over(shares))
-        .filter(F.col("__rank") <= n)
-        .drop("__salt", "__rank")
-        .withColumn("row_no", F.row_number().over(whole))
-        .filter(F.col("row_no") <= n)
-    )
+    return rows.withColumn("row_no", F.row_number().over(whole)).filter(F.col("row_no") <= n)
 
 
 def page_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], max_rows: int) -> DataFrame:

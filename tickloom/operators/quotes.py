@@ -232,12 +232,14 @@ def price_book(actions: DataFrame) -> DataFrame:
 
 def depth_actions(events: DataFrame) -> DataFrame:
     """One row per added or deleted quote of depth events that carry both lists."""
+    shape = "ARRAY<STRUCT<quoteId: BIGINT, action: STRING, size: BIGINT, bid: BIGINT, ask: BIGINT>>"
+    added = F.transform("newQuotes", lambda q: F.struct(q["id"], F.lit("N"), q["size"], q["bid"], q["ask"]))
+    none = F.lit(None).cast("bigint")
+    gone = F.transform("deletedQuotes", lambda i: F.struct(i, F.lit("D"), none, none, none))
+    empty = F.array().cast(shape)
+    both = F.concat(F.coalesce(added.cast(shape), empty), F.coalesce(gone.cast(shape), empty))
     base = [c for c in events.columns if c not in ("newQuotes", "deletedQuotes")]
-    added = events.select(*base, F.explode("newQuotes").alias("q")).select(
-        *base, F.col("q.id").alias("quoteId"), F.lit("N").alias("action"), "q.size", "q.bid", "q.ask"
-    )
-    gone = events.select(*base, F.explode("deletedQuotes").alias("quoteId")).withColumn("action", F.lit("D"))
-    return added.unionByName(gone, allowMissingColumns=True)
+    return events.select(*base, F.inline(both))
 
 
 def best_prices(book: DataFrame) -> DataFrame:
