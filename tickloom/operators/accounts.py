@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.prices import exact_sum, signed
+from tickloom.operators.joins import lookup_join, salted_join
 from tickloom.operators.latest import latest_per_key, page_per_key
 from tickloom.operators.ordered import Timeline, previous, running_sum
 
@@ -65,7 +66,7 @@ def closing_links(deals: DataFrame, deal_columns: Sequence[str] = DEAL_ORDER) ->
         deals.filter("tradeSide = 'BUY'").groupBy("orderId").agg(F.min(key).alias("openingDeal"))
     )
     closing = deals.filter("tradeSide = 'SELL'").select("orderId", key.alias("closingDeal"), "volume")
-    return closing.join(opening, "orderId")
+    return salted_join(closing, opening, ["orderId"], "inner")
 
 
 def deal_offsets(links: DataFrame) -> DataFrame:
@@ -203,11 +204,8 @@ def leverage_tier(rows: DataFrame, ladders: DataFrame, volume: str = "volume") -
     """Leverage of each row's volume: the tier with the greatest lower bound not above it. The ranges of a
     ladder do not overlap and are tested inside the join, so a row stays one row."""
     v = F.col(volume)
-    ranges = ladder_ranges(ladders).withColumnRenamed("leverageId", "__ladder")
     inside = (v >= F.col("__from")) & (F.col("__to").isNull() | (v < F.col("__to")))
-    return rows.join(ranges, (F.col("leverageId") == F.col("__ladder")) & inside, "left").drop(
-        "__ladder", "__from", "__to"
-    )
+    return lookup_join(rows, ladder_ranges(ladders), ["leverageId"], condition=inside).drop("__from", "__to")
 
 
 def expected_margin(

@@ -80,6 +80,17 @@ def newest_bars(
     return first_per_key(inside, keys, [F.col("bar_time").desc()], count)
 
 
+def trend_bars(
+    ticks: DataFrame, period: str, start: Column, end: Column, count: int | None = None,
+    keys: Sequence[str] = ("symbolId",),
+) -> DataFrame:
+    """Bars of ``[start, end]``; only the newest ``count`` of each key when a count is given."""
+    bars = bars_from_ticks(ticks, period, keys)
+    if count is None:
+        return bars.filter(F.col("bar_time").between(start, end))
+    return newest_bars(bars, start, end, count, keys)
+
+
 def next_bar_label(bars: DataFrame, keys: Sequence[str] = ("symbolId",)) -> DataFrame:
     """Label each bar with whether the next one closes above its open; the last bar has no label and goes.
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators.joins import spread_over
+
 SALTS = 4096
 UNSALTED_ROWS = 100
 
@@ -38,7 +40,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
     if n > UNSALTED_ROWS:
         shares = Window.partitionBy(*keys, "__salt").orderBy(*order)
         rows = (
-            df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+            df.withColumn("__salt", spread_over(F.lit(SALTS), *df.columns))
             .withColumn("__rank", F.row_number().over(shares))
             .filter(F.col("__rank") <= n)
             .drop("__salt", "__rank")

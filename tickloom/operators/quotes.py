@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import prices, text, times
 from tickloom.functions.times import epoch_micros
-from tickloom.operators.latest import latest_per_key
+from tickloom.operators.joins import lookup_join, salted_join
+from tickloom.operators.latest import latest_per_key, page_per_key
 from tickloom.operators.ordered import Timeline, as_of, fill_forward
 from tickloom.schemas import ERROR_PAYLOADS, NOISE_PAYLOADS, PAYLOAD_TYPES
 
@@ -35,7 +36,7 @@ def with_symbol_name(ticks: DataFrame, symbols: DataFrame) -> DataFrame:
     """Add ``Symbol``: the name of the tick's symbol or its id as text. The symbol list is made unique per
     id first (the first name wins), so a tick is never duplicated."""
     names = symbols.groupBy("symbolId").agg(F.min("symbolName").alias("__name"))
-    return ticks.join(names, "symbolId", "left").select(
+    return lookup_join(ticks, names, ["symbolId"]).select(
         *ticks.columns, text.name_or_id(F.col("__name"), F.col("symbolId")).alias("Symbol")
     )
 
@@ -135,6 +136,30 @@ def spreads(ticks: DataFrame, details: DataFrame) -> DataFrame:
     )
 
 
+def at_latest_quote(rows: DataFrame, ticks: DataFrame, values: tuple[str, ...] = ("bid", "ask")) -> DataFrame:
+    """Rows with the values of their symbol's newest quote."""
+    newest = latest_per_key(ticks.select("symbolId", "ts", "event_id", *values), ["symbolId"], ["ts", "event_id"])
+    return salted_join(rows, newest.select("symbolId", *values), ["symbolId"])
+
+
+def quote_sides(ticks: DataFrame) -> DataFrame:
+    """Bid and ask ticks of quotes as rows ``(quoteType, tick)``; an absent side has none."""
+    def side(name: str) -> Column:
+        return F.struct(F.lit(name.upper()).alias("quoteType"), F.col(name).alias("tick"))
+
+    kept = [c for c in ticks.columns if c not in ("bid", "ask")]
+    return ticks.select(*kept, F.inline(F.array(side("bid"), side("ask")))).filter("tick > 0")
+
+
+def tick_data(
+    ticks: DataFrame, start: Column, end: Column, max_rows: int, keys: Sequence[str] = ("symbolId", "quoteType"),
+    ts: str = "ts",
+) -> DataFrame:
+    """First page of each symbol's bid and ask ticks in ``[start, end]``, with ``has_more``."""
+    inside = quote_sides(ticks).filter(F.col(ts).between(start, end))
+    return page_per_key(inside, keys, [F.col(ts), F.col("event_id")], max_rows)
+
+
 def quotes_as_of(probes: DataFrame, ticks: DataFrame, values: tuple[str, ...], ts: str = "ts") -> DataFrame:
     return as_of(probes, ticks, ["symbolId"], ts, list(values), tie="event_id")
 

@@ -77,8 +77,10 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def active_and_archived(active: DataFrame, archived: DataFrame) -> DataFrame:
-    """Both symbol lists in one, told apart by ``archived``."""
+def active_and_archived(active: DataFrame, archived: DataFrame, include_archived: bool = True) -> DataFrame:
+    """Both symbol lists in one, told apart by ``archived``; or only the active ones."""
+    if not include_archived:
+        return active.withColumn("archived", F.lit(False))
     old = archived.withColumnRenamed("name", "symbolName").withColumn("archived", F.lit(True))
     return active.withColumn("archived", F.lit(False)).unionByName(old, allowMissingColumns=True)
 

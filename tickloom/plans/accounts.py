@@ -207,8 +207,7 @@ select positionId, symbolId, tradeSide, volume, entry_raw, bid, ask,
        as grossUnrealizedPnL
 from v_positions left join latest using (symbolId)""")
 def unrealised_pnl_latest(db: Tables):
-    latest = latest_per_key(db.view("v_firm"), ["symbolId"], ["ts", "event_id"]).select("symbolId", "bid", "ask")
-    return A.unrealised_pnl(db.view("v_positions").drop("ts").join(latest, "symbolId", "left"))
+    return A.unrealised_pnl(Q.at_latest_quote(db.view("v_positions").drop("ts"), db.view("v_firm")))
 
 
 @query("account_snapshot", ("v_open", "v_firm", "v_balances"), """

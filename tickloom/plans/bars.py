@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import times
 from tickloom.operators import bars as B
-from tickloom.operators.accounts import in_range
-from tickloom.operators.latest import page_per_key
+from tickloom.operators import quotes as Q
 from tickloom.plans.registry import query
 from tickloom.plans.views import Tables
 
@@ -66,8 +65,7 @@ with bars as ({bars_sql("H1")})
 select *, cast(row_number() over (partition by symbolId order by bar_time desc) as integer) as row_no
 from bars where bar_time between timestamp '{FROM}' and timestamp '{TO}' qualify row_no <= 5""")
 def bars_latest_n(db: Tables):
-    bars = B.bars_from_ticks(db.view("v_spot"), "H1")
-    return B.newest_bars(bars, F.expr(f"timestamp_ntz'{FROM}'"), F.expr(f"timestamp_ntz'{TO}'"), 5)
+    return B.trend_bars(db.view("v_spot"), "H1", F.expr(f"timestamp_ntz'{FROM}'"), F.expr(f"timestamp_ntz'{TO}'"), 5)
 
 
 @query("ticks_page", ("v_spot",), f"""
@@ -79,13 +77,7 @@ with sides as (select symbolId, 'BID' as quoteType, ts, event_id, bid as tick fr
 select symbolId, quoteType, cast(epoch(date_trunc('second', ts)) as bigint) * 1000 as timestamp, tick,
        cast(n as integer) as row_no, total > 10 as has_more from numbered where n <= 10""")
 def ticks_page(db: Tables):
-    sides = db.view("v_spot").select(
-        "symbolId", "ts", "event_id",
-        F.explode(F.array(F.struct(F.lit("BID").alias("quoteType"), F.col("bid").alias("tick")),
-                          F.struct(F.lit("ASK").alias("quoteType"), F.col("ask").alias("tick")))).alias("side"),
-    ).select("symbolId", "ts", "event_id", "side.*").filter("tick > 0")
-    inside = in_range(sides, "ts", F.expr(f"timestamp_ntz'{FROM}'"), F.expr(f"timestamp_ntz'{TO}'"))
-    page = page_per_key(inside, ["symbolId", "quoteType"], [F.col("ts"), F.col("event_id")], 10)
+    page = Q.tick_data(db.view("v_spot"), F.expr(f"timestamp_ntz'{FROM}'"), F.expr(f"timestamp_ntz'{TO}'"), 10)
     return page.select(
         "symbolId", "quoteType", times.epoch_millis(F.col("ts")).alias("timestamp"), "tick", "row_no", "has_more"
     )

@@ -29,24 +29,39 @@ def bar_requests(spark: SparkSession, symbols: Sequence[str], now: Column, days_
     )
 
 
+def contract_requests(spark: SparkSession, underlyings: Sequence[str]) -> DataFrame:
+    """One row per underlying whose active option contracts are to be listed."""
+    return spark.createDataFrame([(s,) for s in underlyings], "underlying STRING").select(
+        "underlying", F.lit("active").alias("status"), F.lit("asc").alias("sort"),
+        F.lit(schemas.BAR_LIMIT).alias("limit"),
+    )
+
+
+def snapshot_requests(contracts: DataFrame) -> DataFrame:
+    """One row per listed contract whose snapshot is to be loaded."""
+    return contracts.select(
+        "contractSymbol", F.lit("asc").alias("sort"), F.lit(schemas.SNAPSHOT_LIMIT).alias("limit")
+    )
+
+
 def usable_payloads(payloads: DataFrame) -> DataFrame:
     """Failed calls leave an empty payload; those are not landed and stop nothing else."""
     return payloads.filter(text.has_payload(F.col("json_raw")))
 
 
-def land(payloads: DataFrame, table: str, mode: str, fmt: str = "parquet") -> bool:
-    """Store usable payloads with one ingestion time per write. Returns whether anything was written:
-    with nothing to write even ``overwrite`` leaves the old table."""
+def land(payloads: DataFrame, table: str, mode: str, fmt: str = "parquet") -> int:
+    """Store usable payloads with one ingestion time per write. Returns the number of rows; with none even
+    ``overwrite`` leaves the old table."""
     rows = usable_payloads(payloads).select("json_raw", F.current_timestamp().alias("ingestion_timestamp"))
     return write_table(rows, table, mode, fmt)
 
 
-def run_batch(loads: dict[str, DataFrame], fmt: str = "parquet") -> dict[str, bool]:
+def run_batch(loads: dict[str, DataFrame], fmt: str = "parquet") -> dict[str, int]:
     """Replace each table with a full load."""
     return {table: land(rows, table, "overwrite", fmt) for table, rows in loads.items()}
 
 
-def run_incremental(loads: dict[str, DataFrame], fmt: str = "parquet") -> dict[str, bool]:
+def run_incremental(loads: dict[str, DataFrame], fmt: str = "parquet") -> dict[str, int]:
     """Append each load; overlaps with what is there are kept."""
     return {table: land(rows, table, "append", fmt) for table, rows in loads.items()}
 

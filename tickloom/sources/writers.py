@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from tickloom.operators.refdata import flat_symbols
 
 
-def write_table(df: DataFrame, table: str, mode: str, fmt: str = "parquet") -> bool:
-    """Managed table write that does nothing when there are no rows."""
+def write_table(df: DataFrame, table: str, mode: str, fmt: str = "parquet") -> int:
+    """Managed table write that does nothing when there are no rows. Returns the number of rows, which is
+    observed while they are written."""
     if df.isEmpty():
-        return False
-    df.write.format(fmt).mode(mode).saveAsTable(table)
-    return True
+        return 0
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode).saveAsTable(table)
+    return seen.get["rows"]
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -56,8 +59,11 @@ def hot_rows(quotes: DataFrame, ts: str) -> DataFrame:
     return quotes.withColumn("day", F.to_date(ts))
 
 
-def alerts(quotes: DataFrame, rule: Column) -> DataFrame:
-    return quotes.filter(rule)
+def publish(quotes: DataFrame, checkpoint: str, fmt: str = "kafka", trigger: dict | None = None,
+            **options: str) -> StreamingQuery:
+    """Send a quote stream to a bus, one JSON message per quote; any sink that takes key and value works."""
+    writer = bus_messages(quotes).writeStream.format(fmt).options(checkpointLocation=checkpoint, **options)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def expire_days(spark: SparkSession, table: str, now: dt.datetime, keep_days: int = 1) -> list[str]:

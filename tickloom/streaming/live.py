@@ -15,6 +15,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tickloom.operators.accounts import crossings_between, edges_between
 from tickloom.operators.bars import PERIOD_WINDOWS
+from tickloom.operators.joins import spread_over
 from tickloom.operators.ordered import Timeline, previous
 from tickloom.operators.quotes import sessions_from_slots, with_symbol_name
 from tickloom.sources.writers import bus_messages, hot_rows
@@ -115,10 +116,20 @@ def top_tile(counts: DataFrame, slots: int = 36, slot_minutes: int = 5, n: int =
 
 
 def live_distinct(ticks: DataFrame, keys: Sequence[str], delay: str, path: str, checkpoint: str,
-                  trigger: Trigger = ONCE) -> StreamingQuery:
-    """Drop repeats of a quote that arrive within the watermark."""
-    unique = ticks.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
-    return _append(unique, path, checkpoint, trigger)
+                  shares: int = 1, trigger: Trigger = ONCE) -> StreamingQuery:
+    """Drop repeats of a quote that arrive within the watermark.
+
+    With ``shares`` above one the repeats of a key are first dropped in as many tasks, then among what is
+    left; for feeds in which one quote may be repeated without bound. It keeps the state twice.
+    """
+    rows = ticks.withWatermark("ts", delay)
+    if shares > 1:
+        rows = (
+            rows.withColumn("__share", spread_over(F.lit(shares)))
+            .dropDuplicatesWithinWatermark([*keys, "__share"])
+            .drop("__share")
+        )
+    return _append(rows.dropDuplicatesWithinWatermark(list(keys)), path, checkpoint, trigger)
 
 
 def live_session_slots(ticks: DataFrame, delay: str, path: str, checkpoint: str, gap_seconds: int = 300,
