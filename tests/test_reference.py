@@ -83,6 +83,7 @@ def test_empty_overwrite_keeps_table(spark):
     assert spark.table("guard.t").count() == 1
     bronze.run_incremental({"guard.t": rows})
     assert spark.table("guard.t").count() == 2
+    assert [r.rows for r in bronze.load_sizes(spark.table("guard.t")).collect()] == [1, 1]
     bronze.run_batch({"guard.t": rows})
     assert spark.table("guard.t").count() == 1
     assert spark.table("guard.t").dtypes == [("json_raw", "string"), ("ingestion_timestamp", "timestamp")]
@@ -108,6 +109,13 @@ def test_payload_parsing(spark, tmp_path):
     assert bronze.parse_any(landed, "$.bars.AAPL[0].c", "double", "c").first().c == 1.5
 
 
+def test_option_requests(spark):
+    listed = bronze.contract_requests(spark, schemas.STOCKS)
+    assert listed.count() == 10 and listed.first().status == "active"
+    contracts = spark.createDataFrame([("C1",)], "contractSymbol string")
+    assert bronze.snapshot_requests(contracts).first().asDict() == {"contractSymbol": "C1", "sort": "asc", "limit": 1}
+
+
 def test_contract_expansion(spark):
     raw = ['{"contracts":[{"symbol":"C1"},{"symbol":""},{"x":1},{"symbol":"C2"}]}', '{"page":1}']
     contracts = bronze.explode_contracts(spark.createDataFrame([(r,) for r in raw], "json_raw string"))

@@ -49,23 +49,28 @@ def usable_payloads(payloads: DataFrame) -> DataFrame:
     return payloads.filter(text.has_payload(F.col("json_raw")))
 
 
-def land(payloads: DataFrame, table: str, mode: str, fmt: str = "parquet") -> int:
-    """Store usable payloads with one ingestion time per write. Returns the number of rows; with none even
-    ``overwrite`` leaves the old table."""
+def land(payloads: DataFrame, table: str, mode: str, fmt: str = "parquet") -> bool:
+    """Store usable payloads with one ingestion time per write. Returns whether there were any; with none
+    even ``overwrite`` leaves the old table."""
     rows = usable_payloads(payloads).select("json_raw", F.current_timestamp().alias("ingestion_timestamp"))
     return write_table(rows, table, mode, fmt)
 
 
-def run_batch(loads: dict[str, DataFrame], fmt: str = "parquet") -> dict[str, int]:
+def run_batch(loads: dict[str, DataFrame], fmt: str = "parquet") -> dict[str, bool]:
     """Replace each table with a full load."""
     return {table: land(rows, table, "overwrite", fmt) for table, rows in loads.items()}
 
 
-def run_incremental(loads: dict[str, DataFrame], fmt: str = "parquet") -> dict[str, int]:
+def run_incremental(loads: dict[str, DataFrame], fmt: str = "parquet") -> dict[str, bool]:
     """Append each load; overlaps with what is there are kept."""
     return {table: land(rows, table, "append", fmt) for table, rows in loads.items()}
 
 
+def load_sizes(bronze: DataFrame) -> DataFrame:
+    """Rows of each write, told apart by its ingestion time."""
+    return bronze.groupBy("ingestion_timestamp").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def parse_bars(bronze: DataFrame, fields: str = BAR_FIELDS) -> DataFrame:
     """Bars of payloads of the form ``{"bars": {symbol: [bar, ...]}}``."""
     parsed = F.from_json("json_raw", f"bars MAP<STRING, ARRAY<{fields}>>")

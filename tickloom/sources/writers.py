@@ -4,21 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tickloom.operators.refdata import flat_symbols
 
 
-def write_table(df: DataFrame, table: str, mode: str, fmt: str = "parquet") -> int:
-    """Managed table write that does nothing when there are no rows. Returns the number of rows, which is
-    observed while they are written."""
+def write_table(df: DataFrame, table: str, mode: str, fmt: str = "parquet") -> bool:
+    """Managed table write that does nothing when there are no rows. Returns whether it wrote."""
     if df.isEmpty():
-        return 0
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode).saveAsTable(table)
-    return seen.get["rows"]
+        return False
+    df.write.format(fmt).mode(mode).saveAsTable(table)
+    return True
 
 
 def write_json(df: DataFrame, path: str) -> None:
