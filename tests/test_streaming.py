@@ -10,6 +10,7 @@ from tickloom.operators.latest import latest_per_key
 from tickloom.operators.ordered import Timeline
 from tickloom.plans.scratch import drain
 from tickloom.plans.views import THRESHOLDS, Tables
+from tickloom.sources.writers import publish
 from tickloom.streaming import live as L
 from tickloom.streaming.state import KeyedLog, read_batches
 
@@ -118,6 +119,13 @@ def test_repeats_are_dropped(spark, feed, tmp_path, shares):
     assert spark.read.parquet(f"{tmp_path}/out").count() == feed[1].count()
 
 
+def test_publish_one_message_per_quote(spark, feed, tmp_path):
+    quotes = stream(spark, feed).selectExpr("cast(account as string) as Symbol", "event_id")
+    drain(publish(quotes, f"{tmp_path}/cp", fmt="parquet", path=f"{tmp_path}/out"))
+    sent = spark.read.parquet(f"{tmp_path}/out").select("key", F.from_json("value", "Symbol STRING, event_id BIGINT").alias("q"))
+    assert sent.filter("key = q.Symbol").select("q.event_id").distinct().count() == feed[1].count()
+
+
 def test_top_tile_reads_closed_slots(spark, feed, tmp_path):
     live = stream(spark, feed).selectExpr("event_id", "cast(ts as timestamp) as ts", "account as symbolId")
     with L.state_partitions(spark, 4):

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.times import parse_iso
 from tickloom.operators import quotes as Q
 from tickloom.operators.ordered import Timeline
 from tickloom.plans import quotes as batch
@@ -16,7 +17,10 @@ from tickloom.plans.bars import bars_sql
 from tickloom.plans.registry import query
 from tickloom.plans.scratch import drain
 from tickloom.plans.views import THRESHOLDS, Tables
+from tickloom.schemas import QUOTE_JSON
 from tickloom.session import workspace
+from tickloom.sources.readers import read_event_stream
+from tickloom.sources.writers import bus_messages
 from tickloom.streaming import live as L
 from tickloom.streaming.state import KeyedLog, read_batches
 
@@ -46,7 +50,21 @@ def live_quotes(db: Tables):
     """Spot stream, symbol names joined on, appended to the hot table."""
     out, checkpoint = _folders(db, "live-quotes")
     named = L.live_quotes(db.stream("v_spot"), db.view("v_enabled")).select("event_id", "ts", "Symbol", "bid", "ask")
-    drain(L._append(named, out, checkpoint, L.ONCE))
+    drain(L.append(named, out, checkpoint, L.ONCE))
+    return db.spark.read.parquet(out)
+
+
+@query("live_json", ("v_spot", "v_enabled"), """
+select ts, coalesce(symbolName, cast(symbolId as varchar(20))) as Symbol, bid as Bid, ask as Ask
+from v_spot left join v_enabled using (symbolId)""")
+def live_json(db: Tables):
+    """Quotes published as JSON messages, read back as an event stream and landed in the hot table."""
+    out, checkpoint = _folders(db, "live-json")
+    quotes = Q.quote_events(db.stream("v_spot"), db.view("v_enabled"), F.col("ts"))
+    drain(L.append(bus_messages(quotes).select("value"), f"{out}-bus", f"{checkpoint}-bus", L.ONCE, "text"))
+    events = read_event_stream(db.spark, f"{out}-bus", QUOTE_JSON)
+    landed = events.withColumn("ts", parse_iso(F.col("timestamp")).cast("timestamp_ntz"))
+    drain(L.append(landed.select("ts", "Symbol", "Bid", "Ask"), out, checkpoint, L.ONCE))
     return db.spark.read.parquet(out)
 
 

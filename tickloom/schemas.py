@@ -206,6 +206,26 @@ ENUMS: dict[str, dict[str, int]] = {
     "notificationType": {
         "MARGIN_LEVEL_THRESHOLD_1": 61, "MARGIN_LEVEL_THRESHOLD_2": 62, "MARGIN_LEVEL_THRESHOLD_3": 63,
     },
+    "errorCode": {
+        "OA_AUTH_TOKEN_EXPIRED": 1, "ACCOUNT_NOT_AUTHORIZED": 2, "ALREADY_LOGGED_IN": 14,
+        "CH_CLIENT_AUTH_FAILURE": 101, "CH_CLIENT_NOT_AUTHENTICATED": 102, "CH_CLIENT_ALREADY_AUTHENTICATED": 103,
+        "CH_ACCESS_TOKEN_INVALID": 104, "CH_SERVER_NOT_REACHABLE": 105, "CH_CTID_TRADER_ACCOUNT_NOT_FOUND": 106,
+        "CH_OA_CLIENT_NOT_FOUND": 107, "REQUEST_FREQUENCY_EXCEEDED": 108, "SERVER_IS_UNDER_MAINTENANCE": 109,
+        "CHANNEL_IS_BLOCKED": 110, "CONNECTIONS_LIMIT_EXCEEDED": 67, "WORSE_GSL_NOT_ALLOWED": 68,
+        "SYMBOL_HAS_HOLIDAY": 69, "NOT_SUBSCRIBED_TO_SPOTS": 112, "ALREADY_SUBSCRIBED": 113, "SYMBOL_NOT_FOUND": 114,
+        "UNKNOWN_SYMBOL": 115, "INCORRECT_BOUNDARIES": 35, "NO_QUOTES": 117, "NOT_ENOUGH_MONEY": 118,
+        "MAX_EXPOSURE_REACHED": 119, "POSITION_NOT_FOUND": 120, "ORDER_NOT_FOUND": 121, "POSITION_NOT_OPEN": 122,
+        "POSITION_LOCKED": 123, "TOO_MANY_POSITIONS": 124, "TRADING_BAD_VOLUME": 125, "TRADING_BAD_STOPS": 126,
+        "TRADING_BAD_PRICES": 127, "TRADING_BAD_STAKE": 128, "PROTECTION_IS_TOO_CLOSE_TO_MARKET": 129,
+        "TRADING_BAD_EXPIRATION_DATE": 130, "PENDING_EXECUTION": 131, "TRADING_DISABLED": 132,
+        "TRADING_NOT_ALLOWED": 133, "UNABLE_TO_CANCEL_ORDER": 134, "UNABLE_TO_AMEND_ORDER": 135,
+        "SHORT_SELLING_NOT_ALLOWED": 136,
+    },
+    "commonErrorCode": {
+        "UNKNOWN_ERROR": 1, "UNSUPPORTED_MESSAGE": 2, "INVALID_REQUEST": 3, "TIMEOUT_ERROR": 5, "ENTITY_NOT_FOUND": 6,
+        "CANT_ROUTE_REQUEST": 7, "FRAME_TOO_LONG": 8, "MARKET_CLOSED": 9, "CONCURRENT_MODIFICATION": 10,
+        "BLOCKED_PAYLOAD_TYPE": 11,
+    },
     "limitedRiskMarginStrategy": {
         "ACCORDING_TO_LEVERAGE": 0, "ACCORDING_TO_GSL": 1, "ACCORDING_TO_GSL_AND_LEVERAGE": 2,
     },

@@ -42,7 +42,8 @@ def _start(writer, checkpoint: str, trigger: Trigger) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def _append(df: DataFrame, path: str, checkpoint: str, trigger: Trigger, fmt: str = "parquet") -> StreamingQuery:
+def append(df: DataFrame, path: str, checkpoint: str, trigger: Trigger = ONCE, fmt: str = "parquet") -> StreamingQuery:
+    """Append a stream to a file table."""
     return _start(df.writeStream.format(fmt).outputMode("append").option("path", path), checkpoint, trigger)
 
 
@@ -85,7 +86,7 @@ def live_bars(ticks: DataFrame, period: str, delay: str, path: str, checkpoint:
         )
         .select("symbolId", F.col("w.start").alias("bar_time"), "open", "high", "low", "close", "volume")
     )
-    return _append(bars, path, checkpoint, trigger)
+    return append(bars, path, checkpoint, trigger)
 
 
 def live_counts(ticks: DataFrame, delay: str, path: str, checkpoint: str, slot: str = "5 minutes",
@@ -98,7 +99,7 @@ def live_counts(ticks: DataFrame, delay: str, path: str, checkpoint: str, slot:
         .agg(F.count(F.lit(1)).alias("ticks"))
         .select("symbolId", F.col("w.end").alias("slot_end"), "ticks")
     )
-    return _append(counts, path, checkpoint, trigger)
+    return append(counts, path, checkpoint, trigger)
 
 
 def top_tile(counts: DataFrame, slots: int = 36, slot_minutes: int = 5, n: int = 20) -> DataFrame:
@@ -129,7 +130,7 @@ def live_distinct(ticks: DataFrame, keys: Sequence[str], delay: str, path: str,
             .dropDuplicatesWithinWatermark([*keys, "__share"])
             .drop("__share")
         )
-    return _append(rows.dropDuplicatesWithinWatermark(list(keys)), path, checkpoint, trigger)
+    return append(rows.dropDuplicatesWithinWatermark(list(keys)), path, checkpoint, trigger)
 
 
 def live_session_slots(ticks: DataFrame, delay: str, path: str, checkpoint: str, gap_seconds: int = 300,
@@ -142,7 +143,7 @@ def live_session_slots(ticks: DataFrame, delay: str, path: str, checkpoint: str,
         .select("symbolId", F.floor(F.unix_seconds("w.start") / gap_seconds).alias("slot"),
                 "first_ts", "last_ts", "ticks")
     )
-    return _append(slots, path, checkpoint, trigger)
+    return append(slots, path, checkpoint, trigger)
 
 
 def live_sessions(slots: DataFrame, gap_seconds: int = 300) -> DataFrame:
@@ -206,4 +207,4 @@ def live_timeouts(requests: DataFrame, responses: DataFrame, timeout_seconds: in
         back, (F.col("clientMsgId") == F.col("__id")) & F.col("receivedAt").between(F.col("sentAt"), late),
         "leftOuter",
     ).select("clientMsgId", "sentAt", "receivedAt", F.col("__id").isNull().alias("timed_out"))
-    return _append(matched, path, checkpoint, trigger)
+    return append(matched, path, checkpoint, trigger)
