@@ -53,9 +53,15 @@ def deals_by_position(
 
 
 def order_details(orders: DataFrame, deals: DataFrame) -> DataFrame:
-    """Every order with its deals, one row per deal; an order without deals keeps one row. The deals are
-    not gathered into an array, so an order may have any number of them."""
-    return orders.join(deals.drop("positionId"), "orderId", "left")
+    """Every order with its deals, one row per deal; an order without deals keeps one row.
+
+    The deals are not gathered into an array, so an order may have any number of them. The inner part is
+    apart from the orders without deals because only an inner join can split the deals of one busy order.
+    """
+    theirs = deals.drop("positionId")
+    matched = orders.join(theirs, "orderId")
+    bare = orders.join(deals.select("orderId").distinct(), "orderId", "left_anti")
+    return matched.unionByName(bare, allowMissingColumns=True)
 
 
 def closing_links(deals: DataFrame, deal_columns: Sequence[str] = DEAL_ORDER) -> DataFrame:
@@ -205,7 +211,8 @@ def leverage_tier(rows: DataFrame, ladders: DataFrame, volume: str = "volume") -
     ladder do not overlap and are tested inside the join, so a row stays one row."""
     v = F.col(volume)
     inside = (v >= F.col("__from")) & (F.col("__to").isNull() | (v < F.col("__to")))
-    return lookup_join(rows, ladder_ranges(ladders), ["leverageId"], condition=inside).drop("__from", "__to")
+    joined = lookup_join(rows, ladder_ranges(ladders), ["leverageId"], condition=inside)
+    return joined.drop("__from", "__to")
 
 
 def expected_margin(

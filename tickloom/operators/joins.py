@@ -18,17 +18,22 @@ def spread_over(shares: Column, *columns: str) -> Column:
 
 
 def is_small(rows: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    return rows.limit(limit + 1).count() <= limit
+    """Whether there are at most ``limit`` rows. Reads partitions only until more are found."""
+    return rows.select(F.lit(1)).offset(limit).isEmpty()
 
 
 def lookup_join(
-    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", condition: Column | None = None
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", condition: Column | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join to a table that is usually small: broadcast when counted to be small, else by ``salted_join``.
-    A stream joins as Spark plans it, as its batches cannot be counted beforehand."""
+
+    ``counted`` is a cheaper table to count that the lookup cannot outgrow, such as its input. A stream
+    joins as Spark plans it, as its batches cannot be counted beforehand.
+    """
     if rows.isStreaming:
         return _join(rows, lookup, keys, how, condition)
-    if is_small(lookup):
+    if is_small(lookup if counted is None else counted):
         return _join(rows, F.broadcast(lookup), keys, how, condition)
     return salted_join(rows, lookup, keys, how, condition)
 

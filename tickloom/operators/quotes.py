@@ -36,7 +36,7 @@ def with_symbol_name(ticks: DataFrame, symbols: DataFrame) -> DataFrame:
     """Add ``Symbol``: the name of the tick's symbol or its id as text. The symbol list is made unique per
     id first (the first name wins), so a tick is never duplicated."""
     names = symbols.groupBy("symbolId").agg(F.min("symbolName").alias("__name"))
-    return lookup_join(ticks, names, ["symbolId"]).select(
+    return lookup_join(ticks, names, ["symbolId"], counted=symbols).select(
         *ticks.columns, text.name_or_id(F.col("__name"), F.col("symbolId")).alias("Symbol")
     )
 

@@ -93,7 +93,8 @@ def tradable(symbols: DataFrame) -> DataFrame:
 
 
 def symbols_by_id(symbols: DataFrame, ids: DataFrame) -> DataFrame:
-    return symbols.join(ids.select("symbolId"), "symbolId", "left_semi")
+    """Symbols among the ids, which may repeat."""
+    return symbols.join(ids.select("symbolId").distinct(), "symbolId", "left_semi")
 
 
 def list_sizes(lists: dict[str, DataFrame]) -> DataFrame:
