@@ -1,15 +1,17 @@
 """Per-key operators that depend on row order, written so that no key is ever one task.
 
 A plain ``Window.partitionBy(key)`` puts a key's whole history into one task, which fails as soon as one
-symbol or account owns a large share of the table. Here each key's time line is cut into chunks:
+symbol or account owns a large share of the table. Here the keys are counted first. A key with at most
+``max_rows`` rows is one window group. The time line of a larger one is cut into chunks:
 
 1. window functions run inside ``(key, chunk)``;
-2. one summary row per ``(key, chunk)`` is aggregated with map-side combine;
+2. one summary row per chunk is aggregated with map-side combine;
 3. the summaries, a small table, are scanned per key to get the value carried into each chunk;
 4. the carry is joined back on ``(key, chunk)``, which the detail rows are already partitioned by.
 
-Chunks are one day wide; days with more rows than ``max_rows`` are cut further into equal time slices, as
-many as their row count asks for. Keys must not be null and ``(ts, *tie)`` must order a key's rows uniquely.
+Steps 2 to 4 read the rows of large keys only; adaptive execution leaves them out when there are none.
+Chunks are days; a day with more than ``max_rows`` rows is cut further into equal time slices, as many as
+its row count asks for. Keys must not be null and ``(ts, *tie)`` must order a key's rows uniquely.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from tickloom.functions.times import epoch_micros
 DAY_MICROS = 86_400_000_000
 MAX_CHUNK_ROWS = 2_000_000
 
-_DAY, _SLICE = "__day", "__slice"
+_HOT, _DAY, _SLICE = "__hot", "__day", "__slice"
 
 
 @dataclass(frozen=True)
@@ -56,20 +58,28 @@ class Timeline:
 
 
 def _cut(df: DataFrame, line: Timeline) -> DataFrame:
-    """Add the chunk columns. The list of overfull days is broadcast: each entry stands for more than
-    ``max_rows`` rows, so it is smaller than the table by that factor."""
+    """Add the chunk columns and ``__hot``, true in rows of large keys.
+
+    Both lists that are broadcast, large keys and overfull days, have entries that stand for more than
+    ``max_rows`` rows each, so they are smaller than the table by that factor.
+    """
+    keys = list(line.keys)
     micros = epoch_micros(F.col(line.ts))
-    dated = df.withColumn(_DAY, F.floor(micros / DAY_MICROS))
-    slices = F.ceil(F.count(F.lit(1)) / line.max_rows)
-    overfull = (
-        dated.groupBy(*line.keys, _DAY)
-        .agg(slices.alias("__slices"))
+    day = F.floor(micros / DAY_MICROS)
+    hot = F.broadcast(
+        df.groupBy(*keys).agg((F.count(F.lit(1)) > line.max_rows).alias(_HOT)).filter(F.col(_HOT))
+    )
+    overfull = F.broadcast(
+        df.join(hot, keys).groupBy(*keys, day.alias(_DAY))
+        .agg(F.ceil(F.count(F.lit(1)) / line.max_rows).alias("__slices"))
         .filter(F.col("__slices") > 1)
     )
     offset = micros - F.col(_DAY) * DAY_MICROS
     return (
-        dated.join(F.broadcast(overfull), [*line.keys, _DAY], "left")
-        .withColumn(_SLICE, F.coalesce(F.floor(offset * F.col("__slices") / DAY_MICROS), F.lit(0)))
+        df.join(hot, keys, "left")
+        .withColumn(_DAY, F.when(F.col(_HOT), day).otherwise(F.lit(0).cast("bigint")))
+        .join(overfull, [*keys, _DAY], "left")
+        .withColumn(_SLICE, F.coalesce(F.floor(offset * F.col("__slices") / DAY_MICROS), F.lit(0).cast("bigint")))
         .drop("__slices")
     )
 
@@ -86,7 +96,7 @@ def _carried(
     ``final`` both ``local`` and ``carry``."""
     cut = _cut(df, line)
     rows = cut.withColumns(local)
-    chunks = cut.groupBy(*line.chunk).agg(*[c.alias(n) for n, c in summary.items()])
+    chunks = cut.filter(F.col(_HOT)).groupBy(*line.chunk).agg(*[c.alias(n) for n, c in summary.items()])
     carries = chunks.withColumns({n: f(line.chunks()) for n, f in carry.items()}).select(*line.chunk, *carry)
     joined = rows.join(carries, line.chunk, "left")
     return joined.withColumns(final).select(*df.columns, *[n for n in final if n not in df.columns])
