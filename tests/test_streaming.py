@@ -57,6 +57,22 @@ def test_alerts_across_batches(spark, feed, tmp_path):
     same(read_batches(spark, f"{tmp_path}/out", feed[1].schema), rising_edges(feed[1], rule, LINE))
 
 
+def test_late_and_repeated_rows_raise_no_alert(spark, tmp_path):
+    def rows(*items):
+        made = spark.createDataFrame([(i, s, 1, v) for i, s, v in items], "event_id long, s long, account long, marginLevel double")
+        return made.selectExpr("event_id", "cast(timestamp_seconds(s) as timestamp_ntz) as ts", "account", "marginLevel")
+
+    first = rows((1, 100, 50.0), (2, 200, 150.0))
+    second = rows((2, 200, 150.0), (3, 90, 160.0), (4, 300, 170.0), (5, 400, 10.0), (6, 500, 120.0))
+    rule = F.col("marginLevel") > 100
+    log = KeyedLog(spark, f"{tmp_path}/state", first.schema, ["account"], ["ts", "event_id"])
+    for i, part in enumerate((first, second)):
+        part.coalesce(1).write.parquet(f"{tmp_path}/in/p{i}")
+        source = spark.readStream.schema(first.schema).parquet(f"{tmp_path}/in/*")
+        drain(L.live_alerts(source, rule, log, LINE, f"{tmp_path}/out", f"{tmp_path}/cp"))
+    assert sorted(r.event_id for r in read_batches(spark, f"{tmp_path}/out", first.schema).collect()) == [2, 6]
+
+
 def test_a_batch_run_again_changes_nothing(spark, feed, tmp_path):
     log = KeyedLog(spark, str(tmp_path), feed[1].schema, ["account"], ["ts", "event_id"], 2)
     early = feed[1].filter("event_id < 3000")

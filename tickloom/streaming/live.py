@@ -19,7 +19,7 @@ from tickloom.operators.joins import spread_over
 from tickloom.operators.ordered import Timeline, previous
 from tickloom.operators.quotes import sessions_from_slots, with_symbol_name
 from tickloom.sources.writers import bus_messages, hot_rows
-from tickloom.streaming.state import KeyedLog, tagged_state, write_batch
+from tickloom.streaming.state import KeyedLog, newer_rows, tagged_state, write_batch
 
 Trigger = dict
 ONCE: Trigger = {"availableNow": True}
@@ -168,15 +168,17 @@ def refresh_symbols(changed: DataFrame, load: Callable[[DataFrame], DataFrame],
 def _ordered_changes(events: DataFrame, log: KeyedLog, line: Timeline, name: str, value: Column,
                      emit: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
                      trigger: Trigger) -> StreamingQuery:
-    """Compare each row with its key's previous row, which may lie in an earlier batch."""
+    """Compare each row with its key's previous row, which may lie in an earlier batch. Rows that come after
+    their key has moved on emit nothing and leave the state alone."""
     def write(batch: DataFrame, n: int) -> None:
-        kept = batch.persist()
+        state = log.before(n)
+        fresh = newer_rows(batch, state, log.keys, log.order).persist()
         try:
-            rows = previous(tagged_state(log.before(n), kept), line, {name: value})
+            rows = previous(tagged_state(state, fresh), line, {name: value})
             write_batch(emit(rows.filter(~F.col("__old")).drop("__old")), path, n)
-            log.write(kept, n)
+            log.write(fresh, n)
         finally:
-            kept.unpersist()
+            fresh.unpersist()
 
     return _per_batch(events, write, checkpoint, trigger)
 

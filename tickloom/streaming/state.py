@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.operators.joins import lookup_join
 from tickloom.operators.latest import latest_per_key
 
 
@@ -57,6 +58,13 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType | str, fmt
     return spark.read.schema(schema).option("recursiveFileLookup", True).format(fmt).load(path)
 
 
+def newer_rows(batch: DataFrame, state: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows of the batch that come after the last known row of their key. Others are late or sent again."""
+    last = state.select(*keys, F.struct(*order).alias("__last"))
+    known = lookup_join(batch, last, keys)
+    return known.filter(F.col("__last").isNull() | (F.struct(*order) > F.col("__last"))).drop("__last")
+
+
 def tagged_state(state: DataFrame, batch: DataFrame) -> DataFrame:
     """The last known row of each key in front of the batch's rows, told apart by ``__old``."""
     return batch.withColumn("__old", F.lit(False)).unionByName(state.withColumn("__old", F.lit(True)))
