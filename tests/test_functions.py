@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import Row
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import prices, text, times
 from tickloom.operators import bars as B
+from tickloom.operators import quotes as Q
 from tickloom.schemas import ENUMS, FLAT_SYMBOL, PAYLOAD_TYPES
 
 
@@ -120,3 +122,22 @@ def test_json_result(spark):
     assert values(spark, [("ok",)], "v string", text.json_result(F.col("v"))) == ['{"result":"ok"}']
     row = spark.createDataFrame([Row(a=1, b=None)], "a long, b string").select(text.json_record("a", "b"))
     assert one(row) == '{"a":1}'
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_look_back_from_the_newest_row(spark, kind, zone, monkeypatch):
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        texts = [("2024-01-01 00:00:00",), ("2024-01-01 02:00:00",), ("2024-01-01 05:00:00",)]
+        ticks = spark.createDataFrame(texts, "v string").select(F.col("v").cast(kind).alias("ts"), F.lit("A").alias("Symbol"))
+        now = Q.latest_time(ticks)
+        assert Q.since(ticks, 3, now).count() == 2
+        assert Q.between(ticks, now - dt.timedelta(hours=1), now).count() == 1
+        counts = Q.counts_in_range(spark, ticks, now - dt.timedelta(hours=5), now).first()
+        assert tuple(counts) == ("A", 3)
+        assert Q.since(ticks, 3).count() == 0
+    finally:
+        monkeypatch.undo()
+        time.tzset()

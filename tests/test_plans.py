@@ -37,3 +37,11 @@ def test_pages_limit_each_key_before_the_shuffle(name, spark, sf_dir):
     plan = plan_of(entry_module.queries()[name](spark, sf_dir))
     below = plan[plan.index("Exchange"):]
     assert "WindowGroupLimit" in below
+
+
+@pytest.mark.parametrize("name", ["quote_ffill", "margin_call_crossings", "cash_flow_history"])
+def test_ordered_scans_are_one_shuffle_without_large_keys(name, spark, sf_dir):
+    df = entry_module.queries()[name](spark, sf_dir)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning") == 1 and final.count("Window [") == 1

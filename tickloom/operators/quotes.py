@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions import prices, text, times
 from tickloom.functions.times import epoch_micros
@@ -76,8 +77,18 @@ def between(ticks: DataFrame, start: dt.datetime, end: dt.datetime, ts: str = "t
     return ticks.filter(F.col(ts).between(_literal(ticks, ts, start), _literal(ticks, ts, end)))
 
 
+def _point(df: DataFrame, column: str, value: dt.datetime) -> dt.datetime | str:
+    """The point in time as a value that casts to the column's type. Without a zone it is what
+    ``latest_time`` returns: a wall clock reading for TIMESTAMP_NTZ, local time for TIMESTAMP."""
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        return value
+    if value.tzinfo is not None:
+        value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return value.isoformat(sep=" ")
+
+
 def _literal(df: DataFrame, column: str, value: dt.datetime) -> Column:
-    return F.lit(value.isoformat(sep=" ")).cast(df.schema[column].dataType)
+    return F.lit(_point(df, column, value)).cast(df.schema[column].dataType)
 
 
 def tick_counts(ticks: DataFrame, by: str = "Symbol") -> DataFrame:
@@ -93,14 +104,14 @@ def top_symbols(
 
 
 def counts_in_range(
-    spark: SparkSession, ticks: DataFrame, start: dt.datetime, end: dt.datetime, by: str = "Symbol"
+    spark: SparkSession, ticks: DataFrame, start: dt.datetime, end: dt.datetime, by: str = "Symbol", ts: str = "ts"
 ) -> DataFrame:
     """Tick counts for a dashboard time range, as a parameterised statement."""
+    kind = ticks.schema[ts].dataType.simpleString()
     return spark.sql(
         f"select {by}, count(*) as tick_count from {{ticks}} "
-        "where ts between cast(:start_time as timestamp_ntz) and cast(:end_time as timestamp_ntz) "
-        f"group by {by}",
-        args={"start_time": start.isoformat(sep=" "), "end_time": end.isoformat(sep=" ")},
+        f"where {ts} between cast(:start_time as {kind}) and cast(:end_time as {kind}) group by {by}",
+        args={"start_time": _point(ticks, ts, start), "end_time": _point(ticks, ts, end)},
         ticks=ticks,
     )
 

@@ -65,7 +65,10 @@ def publish(quotes: DataFrame, checkpoint: str, fmt: str = "kafka", trigger: dic
 
 
 def expire_days(spark: SparkSession, table: str, now: dt.datetime, keep_days: int = 1) -> list[str]:
-    """Drop the ``day`` partitions that lie wholly before the retention limit; no data file is read."""
+    """Drop the ``day`` partitions that lie wholly before the retention limit; no data file is read. Days
+    and a ``now`` without a zone are UTC."""
+    if now.tzinfo is not None:
+        now = now.astimezone(dt.timezone.utc)
     limit = (now - dt.timedelta(days=keep_days)).date().isoformat()
     days = [row["partition"].split("=", 1)[1] for row in spark.sql(f"show partitions {table}").collect()]
     expired = sorted(d for d in days if d < limit)
