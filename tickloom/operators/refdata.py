@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.latest import latest_per_key
 from tickloom.operators.ordered import number_rows
 from tickloom.schemas import DETAIL_BATCH_SIZE, FLAT_SYMBOL
-from tickloom.session import ensure_checkpoint_dir
+from tickloom.session import stored
 
 
 def index_last(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -109,18 +109,18 @@ def conversion_steps(symbols: DataFrame, last_asset: int) -> DataFrame:
     """Shortest conversion of every asset that can reach ``last_asset``: number of symbols and the next one.
 
     Breadth-first from the target over distinct asset pairs. A chain is read by following ``symbolId`` and
-    ``toAssetId``. Each round is one join against the new frontier and is checkpointed, so the plan does
-    not grow; the loop ends when a round reaches nothing new.
+    ``toAssetId``. Each round is one join against the new frontier and is stored, so the plan does not grow;
+    the loop ends when a round reaches nothing new.
     """
-    spark = symbols.sparkSession
-    ensure_checkpoint_dir(spark)
-    pairs = (
+    pairs = stored(
         symbols.filter("baseAssetId <> quoteAssetId")
         .groupBy("baseAssetId", "quoteAssetId")
-        .agg(F.min("symbolId").alias("symbolId"))
-        .checkpoint()
+        .agg(F.min("symbolId").alias("symbolId")),
+        "pairs",
+    )
+    reached = symbols.sparkSession.createDataFrame(
+        [(last_asset, 0, None, None)], "assetId BIGINT, hops INT, symbolId BIGINT, toAssetId BIGINT"
     )
-    reached = spark.createDataFrame([(last_asset, 0, None, None)], "assetId BIGINT, hops INT, symbolId BIGINT, toAssetId BIGINT")
     frontier, hops = reached, 0
     while True:
         hops += 1
@@ -131,7 +131,7 @@ def conversion_steps(symbols: DataFrame, last_asset: int) -> DataFrame:
             .join(reached.select("assetId"), "assetId", "left_anti")
             .select("assetId", F.lit(hops).alias("hops"), "__next.symbolId", "__next.toAssetId")
         )
-        frontier = step.checkpoint()
+        frontier = stored(step, "frontier")
         if frontier.isEmpty():
             return reached
         reached = reached.unionByName(frontier)
@@ -139,7 +139,7 @@ def conversion_steps(symbols: DataFrame, last_asset: int) -> DataFrame:
 
 def conversion_chain(symbols: DataFrame, first_asset: int, last_asset: int) -> DataFrame:
     """The symbols that convert ``first_asset`` into ``last_asset``, in order. No rows when none do."""
-    steps = conversion_steps(symbols, last_asset).checkpoint()
+    steps = conversion_steps(symbols, last_asset)
     chain, asset = [], first_asset
     while asset is not None and asset != last_asset:
         row = steps.filter(F.col("assetId") == asset).first()

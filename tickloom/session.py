@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "tickloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,7 +50,9 @@ def workspace(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Give ``DataFrame.checkpoint`` its folder when the cluster has not set one already."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(workspace(spark, "checkpoint"))
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, and short to plan however they came about.
+    ``DataFrame.checkpoint`` would compute them twice, once to run and once to write."""
+    path = workspace(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

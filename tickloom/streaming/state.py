@@ -43,8 +43,10 @@ class KeyedLog:
             changed = changed.unionByName(self.before(batch))
         latest_per_key(changed, self.keys, self.order).write.mode("overwrite").parquet(self._folder(batch))
 
-    def current(self) -> DataFrame:
-        """Latest row per key over all folders present."""
+    def current(self, last_batch: int | None = None) -> DataFrame:
+        """Latest row per key as of ``last_batch``, or over all folders present."""
+        if last_batch is not None:
+            return self.before(last_batch + 1)
         rows = self.spark.read.schema(self.schema).option("recursiveFileLookup", True).parquet(self.path)
         return latest_per_key(rows, self.keys, self.order)
 
