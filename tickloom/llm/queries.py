@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import similar
+from tickloom.llm import decontaminate, html_text, licences, packing, quality, secret_scan, similar, tokens, urls, warc
 from tickloom.llm.common import table
+from tickloom.session import workspace
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +24,91 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+
+
+@query("op1_warc_salvage")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = workspace(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.page_records(warc.read_archives(spark, folder))
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(licences.document_files(table(spark, sf_dir, "documents")))
+
+
+@query("op3_secret_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op4_best_fit_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op5_html_extraction")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op6_benchmark_decontamination", f"""
+with shingled as (
+  select kind, id, list_distinct(case
+           when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+           when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+  from (select 'd' as kind, doc_id as id, {WORDS.format(text=LOWERED)} as w from documents
+        union all select 'i', item_id, {WORDS.format(text=LOWERED)} from benchmark)),
+items as (select id as item_id, len(s) as n_item, unnest(s) as shingle from shingled where kind = 'i'),
+held as (select id as doc_id, unnest(s) as shingle from shingled where kind = 'd')
+select doc_id, item_id, items.n_item::bigint as n_item, count(*) as n_common, count(*)::double / items.n_item as containment
+from held join items using (shingle) group by doc_id, item_id, items.n_item having 100 * count(*) >= 80 * items.n_item""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op7_ngram_jaccard_join")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar.similar_components(table(spark, sf_dir, "documents"))
+
+
+@query("op8_url_filter")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), urls.fit(urls.labelled_urls(spark)))
+
+
+@query("op9_quality_rules", rf"""
+with worded as (
+  select doc_id, coalesce(text, '') as t, {WORDS.format(text="coalesce(text, '')")} as w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines,
+         row_number() over () as r
+  from documents),
+windows as (
+  select r, p, count(*) over (partition by r, w[p], w[p + 1], w[p + 2]) as n
+  from (select r, w, unnest(range(1, len(w) - 1)) as p from worded)),
+repeats as (
+  select r, count(distinct q) as n_repeat_words
+  from (select r, unnest([p, p + 1, p + 2]) as q from windows where n > 1) group by r),
+measured as (
+  select doc_id, len(w)::bigint as n_words,
+         length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+         (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, len(lines) as n_lines,
+         coalesce(n_repeat_words, 0)::bigint as n_repeat_words
+  from worded left join repeats using (r)),
+failed as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from measured)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not (base_failed or 100 * n_symbols > 10 * word_chars or 100 * n_dup_lines > 30 * n_lines
+            or word_chars < 2 * n_words or word_chars > 15 * n_words) as kept
+from failed""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@query("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"))
