@@ -7,14 +7,15 @@ children compared in turn, down to exact counts on shingle sets.
 
 A forest instead of one tree keeps this from being all against all: the roots are the values of ``BANDS`` keys, each
 made of ``BAND_ROWS`` minimum hashes, and two texts are compared if they share a root. A pair at exactly 0.8 shares
-none with a probability of (1 - 0.8**3)**24 = 3.3e-8.
+none with a probability of (1 - 0.8**5)**40 = 1.3e-7.
 
 1. Texts with equal word sequences are one class; its smallest doc_id stands for it.
 2. Each text joins the node of the text that leads most of its roots. Nodes beyond ``NODE_TEXTS`` texts or
    ``NODE_SHINGLES`` shingles are split by hash, with the leader in each part. Inside a part all pairs that are not
    yet connected are compared, which gives first components.
-3. Roots with several components remain. Their components are cut into nodes of the same bounded size; pairs of nodes
-   that share a root and differ in component are pruned by size range and combined bitmap, and what is left is opened.
+3. Roots that still hold several components remain. The texts of a root are its tree; beyond the size of a node it is cut
+   by size band and hash. Pairs of nodes of a root in the same or the next band, others being too different in size, are
+   traversed together.
 
 Pairs that are already connected are skipped: links between them cannot change a component.
 """
@@ -22,6 +23,7 @@ Pairs that are already connected are skipped: links between them cannot change a
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import WordHashes, components, map_batches, mix, rows_in, shingles, words_of
 from tickloom.session import stored
 
-BANDS, BAND_ROWS = 24, 3
+BANDS, BAND_ROWS = 40, 5
 NODE_TEXTS, NODE_SHINGLES = 48, 400_000
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
@@ -230,18 +232,17 @@ def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys = ["first_component", "first_part", "second_component", "second_part"]
-    for _, rows in _groups(batches, keys, "side", "id", "hashes"):
-        ids = [r[1] for r in rows]
-        sets = [np.frombuffer(r[2], np.uint64) for r in rows]
+    for _, rows in _groups(batches, PAIR, "side", "component", "id", "hashes"):
+        ids = [r[2] for r in rows]
+        sets = [np.frombuffer(r[3], np.uint64) for r in rows]
         forest = Forest(len(ids))
-        sides = [[i for i, r in enumerate(rows) if r[0] == side] for side in (0, 1)]
-        for side in sides:  # each side is connected already
-            for i in side[1:]:
-                forest.join(side[0], i)
-        if all(sides):
-            traverse(tree(sides[0], sets), tree(sides[1], sets), sets, forest)
-        yield _edge_batch(_edges(ids, forest) if all(sides) and forest.root(sides[0][0]) == forest.root(sides[1][0]) else [])
+        of: dict[int, int] = {}
+        for i, r in enumerate(rows):  # components are connected already
+            forest.join(of.setdefault(r[1], i), i)
+        if len(of) > 1:
+            trees = [tree(x, sets) for side in (0, 1) if (x := [i for i, r in enumerate(rows) if r[0] == side])]
+            traverse(trees[0], trees[-1], sets, forest)
+        yield _edge_batch(_edges(ids, forest) if len(of) > 1 else [])
 
 
 def _parts(members: DataFrame, key: str) -> DataFrame:
@@ -254,20 +255,33 @@ def _parts(members: DataFrame, key: str) -> DataFrame:
     return members.join(parts, key).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
 
 
-def node_pairs(shared: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of nodes of different components that share a root and can hold a link by size.
+#: What names a pair of nodes of a root.
+PAIR = ["root", "first_band", "first_part", "second_band", "second_part"]
 
-    ``shared`` has ``root, component, part``; ``nodes`` has ``component, part, least, most``.
+
+def _root_nodes(texts: DataFrame) -> DataFrame:
+    """``texts`` (root, id, n, component) with ``band`` and ``part``, which name their node in the root.
+
+    A root of the size of a node is one node. In larger ones a band holds sizes up to a factor of 100 / PERCENT, so texts that
+    link are in the same or the next band, and a band is dealt into parts by hash.
     """
-    sized = shared.join(nodes, ["component", "part"])
-    one = sized.select("root", *[F.col(c).alias(f"first_{c}") for c in ("component", "part", "least", "most")])
-    two = sized.select("root", *[F.col(c).alias(f"second_{c}") for c in ("component", "part", "least", "most")])
-    return (
-        one.join(two, "root")
-        .filter("first_component < second_component")
-        .filter(f"100 * first_most >= {PERCENT} * second_least and 100 * second_most >= {PERCENT} * first_least")
-        .select("first_component", "first_part", "second_component", "second_part").distinct()
-    )
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / NODE_TEXTS, F.sum("n") / NODE_SHINGLES)).cast("int")
+    whole = stored(texts.groupBy("root").agg(parts.alias("whole")), "roots")
+    band = F.when(F.col("whole") == 1, 0).otherwise(F.floor(F.log("n") / math.log(100 / PERCENT) + 1e-9)).cast("int")
+    banded = stored(texts.join(whole, "root").select(*texts.columns, band.alias("band")), "bands")
+    count = stored(banded.groupBy("root", "band").agg(parts.alias("parts")), "parts")
+    return stored(
+        banded.join(count, ["root", "band"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")),
+        "nodes")
+
+
+def _node_pairs(nodes: DataFrame) -> DataFrame:
+    """Rows of ``PAIR``: all pairs of nodes of a root, and each node with itself, that sizes allow."""
+    named = nodes.select("root", "band", "part").distinct()
+    one = named.toDF("root", "first_band", "first_part")
+    two = named.toDF("root", "second_band", "second_part")
+    return one.join(two, "root").filter(
+        "second_band - first_band between 0 and 1 and (second_band > first_band or second_part >= first_part)")
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
@@ -304,25 +318,26 @@ def similar_components(docs: DataFrame) -> DataFrame:
     labels = components(edges)
     labelled = stored(
         members.join(labels, "id", "left").select("id", "n", F.coalesce("component", "id").alias("component")), "labelled")
-    nodes_of = stored(_parts(labelled, "component").select("component", "part", "id", "n"), "nodes")
-    nodes = nodes_of.groupBy("component", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    at_root = stored(shared.select("root", "id").join(nodes_of.select("id", "component", "part"), "id").select("root", "component", "part").distinct(), "rooted")
-    mixed = stored(at_root.groupBy("root").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("root"), "mixed")
-    pairs = stored(node_pairs(at_root.join(mixed, "root"), nodes), "pairs")
+    at_root = stored(shared.select("root", "id").join(labelled, "id"), "rooted")
+    mixed = stored(
+        at_root.groupBy("root").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+        .filter("x < y").select("root"), "mixed")
+    nodes = _root_nodes(at_root.join(mixed, "root").select("root", "id", "n", "component"))
+    pairs = stored(_node_pairs(nodes), "pairs")
 
     def side(number: int, name: str) -> DataFrame:
+        chosen = pairs if number == 0 else pairs.filter("first_band <> second_band or first_part <> second_part")
         return (
-            pairs.withColumns({"component": F.col(f"{name}_component"), "part": F.col(f"{name}_part")})
-            .join(nodes_of.select("component", "part", "id"), ["component", "part"])
-            .select(*pairs.columns, F.lit(number).alias("side"), "id")
+            chosen.withColumns({"band": F.col(f"{name}_band"), "part": F.col(f"{name}_part")})
+            .join(nodes.select("root", "band", "part", "id", "component"), ["root", "band", "part"])
+            .select(*PAIR, F.lit(number).alias("side"), "component", "id")
         )
 
     opened = (
-        side(0, "first").union(side(1, "second")).join(sets, "id")
-        .repartition(*pairs.columns).sortWithinPartitions(*pairs.columns)
+        side(0, "first").union(side(1, "second")).join(sets, "id").repartition(*PAIR).sortWithinPartitions(*PAIR)
     )
-    between = map_batches(opened.select(*pairs.columns, "side", "id", "hashes"), _between, "a bigint, b bigint")
-    labels = stored(components(edges.union(between)), "components")
+    between = map_batches(opened.select(*PAIR, "side", "component", "id", "hashes"), _between, "a bigint, b bigint")
+    labels = stored(components(edges.union(stored(between, "links"))), "components")
 
     of_class = stored(
         classes.select("class", "id").join(labels, "id", "left").select("class", F.coalesce("component", "id").alias("component")),
