@@ -242,7 +242,8 @@ def _between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(of) > 1:
             trees = [tree(x, sets) for side in (0, 1) if (x := [i for i, r in enumerate(rows) if r[0] == side])]
             traverse(trees[0], trees[-1], sets, forest)
-        yield _edge_batch(_edges(ids, forest) if len(of) > 1 else [])
+        name = {forest.root(i): component for component, i in of.items()}
+        yield _edge_batch([(c, name[forest.root(i)]) for c, i in of.items() if name[forest.root(i)] != c])
 
 
 def _parts(members: DataFrame, key: str) -> DataFrame:
@@ -337,10 +338,11 @@ def similar_components(docs: DataFrame) -> DataFrame:
         side(0, "first").union(side(1, "second")).join(sets, "id").repartition(*PAIR).sortWithinPartitions(*PAIR)
     )
     between = map_batches(opened.select(*PAIR, "side", "component", "id", "hashes"), _between, "a bigint, b bigint")
-    labels = stored(components(edges.union(stored(between, "links"))), "components")
+    merged = components(between).withColumnsRenamed({"id": "component", "component": "merged"})
+    final = labelled.join(merged, "component", "left").select("id", F.coalesce("merged", "component").alias("component"))
 
     of_class = stored(
-        classes.select("class", "id").join(labels, "id", "left").select("class", F.coalesce("component", "id").alias("component")),
+        classes.select("class", "id").join(final, "id", "left").select("class", F.coalesce("component", "id").alias("component")),
         "of_class",
     )
     return signed.select("doc_id", "n_shingles", "class").join(of_class, "class", "left").select(
