@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,12 @@ class WordHashes(dict):
         return value
 
 
+@cache
+def word_hashes() -> WordHashes:
+    """One for all tasks of a Python worker."""
+    return WordHashes()
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Runs of characters other than U+0020 and U+0009 to U+000D, A-Z in lower case."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

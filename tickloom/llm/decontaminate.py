@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import WordHashes, map_batches, rows_in, shingles, words_of
+from tickloom.llm.common import map_batches, rows_in, shingles, word_hashes, words_of
 from tickloom.session import stored
 
 #: An item is in a document if 100 * common shingles >= PERCENT * shingles of the item.
@@ -34,7 +34,7 @@ def item_shingles(items: DataFrame) -> DataFrame:
     """``item_id, n_item, size_class, hash, in_sketch``; an item without words has no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             for item, text in rows_in(batch, "item_id", "text"):
                 found = shingles(words_of(text), hashes)
@@ -77,7 +77,7 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketches, wholes = filters.value
         mask = np.uint64(FILTER_BITS - 1)
-        hashes = WordHashes()
+        hashes = word_hashes()
 
         def among(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
             return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)

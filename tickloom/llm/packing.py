@@ -11,8 +11,9 @@ import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import cache
+from struct import pack as pack_ids
 
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -23,11 +24,12 @@ from tickloom.session import stored
 
 CAPACITY = 2048
 END_ID = 0
+END = pack_ids("<I", END_ID)
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordTokens:
-    """Token ids of words between ASCII white space, remembered in one flat array.
+class WordTokens(dict[bytes, bytes]):
+    """Token ids of each word between ASCII white space, as little-endian 32-bit numbers, remembered.
 
     The tokenizer splits at white space before anything else, so the ids of a text are those of its words in order.
     """
@@ -36,56 +38,44 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.starts = np.zeros(1024, np.int64)
-        self.lengths = np.zeros(1024, np.int64)
-        self.flat = np.zeros(4096, np.uint32)
-        self.used = 0
-
-    def _add(self, words: list[bytes]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
-        total, known = sum(map(len, found)), len(self.place)
-        while len(self.flat) < self.used + total:
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while len(self.starts) < known + len(words):
-            self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
-        for k, (word, ids) in enumerate(zip(words, found, strict=True), known):
-            self.place[word] = k
-            self.starts[k], self.lengths[k] = self.used, len(ids)
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
-
-    def ids(self, text: str | None) -> np.ndarray:
-        words = text.encode("utf-8", "replace").split() if text else []
-        if len(self.place) > WORD_CACHE:
+
+    def learn(self, texts: list[list[bytes]]) -> None:
+        """Remember the words of a batch of texts."""
+        if len(self) > WORD_CACHE:
             self.clear()
-        unseen = list({w for w in words if w not in self.place})
-        if unseen:
-            self._add(unseen)
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        lengths = self.lengths[at]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.starts[at] - (ends - lengths), lengths) + np.arange(total)]
+        unseen = list(set().union(*texts).difference(self))
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in unseen], add_special_tokens=False)
+        for word, tokens in zip(unseen, found, strict=True):
+            ids = tokens.ids
+            self[word] = pack_ids(f"<{len(ids)}I", *ids)
+
+    def ids(self, words: list[bytes]) -> bytes:
+        """Token ids of the words, which are remembered, and the end id."""
+        return b"".join(map(self.__getitem__, words)) + END
+
+
+@cache
+def word_tokens(path: str) -> WordTokens:
+    """One for all tasks of a Python worker."""
+    return WordTokens(path)
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
     """Per piece of a document ``doc_id, piece, start, length, ids_crc32``; a null text has the end id alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(tokenizer)
+        tokens = word_tokens(tokenizer)
         for batch in batches:
             columns: tuple[list, ...] = ([], [], [], [], [])
-            for doc, text in rows_in(batch, "doc_id", "text"):
-                ids = np.append(tokens.ids(text), np.uint32(END_ID)).astype("<u4")
-                for number, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start:start + capacity]
-                    for column, value in zip(columns, (doc, number, start, len(part), zlib.crc32(part.tobytes())), strict=True):
+            texts = [t.encode("utf-8", "replace").split() if t else [] for (t,) in rows_in(batch, "text")]
+            tokens.learn(texts)
+            for (doc,), words in zip(rows_in(batch, "doc_id"), texts, strict=True):
+                ids = tokens.ids(words)
+                for number, start in enumerate(range(0, len(ids) // 4, capacity)):
+                    part = ids[4 * start:4 * (start + capacity)]
+                    for column, value in zip(columns, (doc, number, start, len(part) // 4, zlib.crc32(part)), strict=True):
                         column.append(value)
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.record_batch(

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import WordHashes, components, map_batches, mix, rows_in, shingles, words_of
+from tickloom.llm.common import components, map_batches, mix, rows_in, shingles, word_hashes, words_of
 from tickloom.session import stored
 
 BANDS, BAND_ROWS = 40, 5
@@ -163,7 +163,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     """Per row ``doc_id, n_shingles, class, roots``; ``class`` is null for a text without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             ids, sizes, classes, roots = [], [], [], []
             for doc, text in rows_in(batch, "doc_id", "text"):
@@ -186,7 +186,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     """Per row ``id`` and the sorted shingle hashes as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = word_hashes()
         for batch in batches:
             ids, sets = [], []
             for doc, text in rows_in(batch, "doc_id", "text"):

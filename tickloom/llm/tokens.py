@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import public_tokenizers
 import pyarrow as pa
@@ -92,6 +93,12 @@ class WordCounts(dict):
         return count
 
 
+@cache
+def word_counts(model: str) -> WordCounts:
+    """One for all tasks of a Python worker."""
+    return WordCounts(TokenTrie(unigram_scores(model)))
+
+
 def token_counts(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """Per row of ``docs`` (``doc_id, text``; other columns are ignored) ``doc_id, n_pretokens, n_tokens``.
 
@@ -101,7 +108,7 @@ def token_counts(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = WordCounts(TokenTrie(unigram_scores(model)))
+        counts = word_counts(model)
         for batch in batches:
             ids, words_in, tokens_in = [], [], []
             for doc, text in rows_in(batch, "doc_id", "text"):
