@@ -1,0 +1,394 @@
+"""The training-data operators against brute force, exact round trips and awkward tables."""
+
+import gzip
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tests.llm.brute import groups, item_hits, word_list
+from tickloom.llm import decontaminate, html_text, licences, packing, quality, queries, secret_scan, similar, tokens, urls, warc
+from tickloom.session import workspace
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, length int, piece string"
+rng = random.Random(5)
+VOCABULARY = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(400)]
+
+
+def prose(n):
+    return " ".join(rng.choice(VOCABULARY) for _ in range(n))
+
+
+def changed(text, share):
+    words = text.split()
+    for i in rng.sample(range(len(words)), int(share * len(words))):
+        words[i] = rng.choice(VOCABULARY)
+    return " ".join(words)
+
+
+BASE = prose(300)
+TEXTS = [
+    None, "", " \t\n ", "one two", "One  TWO", "alpha", BASE, BASE.upper(), changed(BASE, 0.01), changed(BASE, 0.02),
+    changed(BASE, 0.2), prose(80), prose(80), prose(9000), "same line\n" * 40, "\u00a0x\u2028y " * 30,
+    *[changed(BASE, 0.015) for _ in range(120)],
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en", "s", None, 1, "x") for i, t in enumerate(TEXTS)]
+    rows += [rows[6], rows[6], (None, BASE, None, None, None, None, None), (None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, DOCS).repartition(4)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def test_similar_components_on_awkward_rows(docs, empty):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    named = [(i, t) for i, t in rows if i is not None]
+    want = groups(named)
+    got = similar.similar_components(docs).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == {
+        (i, n, c) for i, (n, c) in want.items()}
+    assert {(r.n_shingles, r.component_id) for r in got if r.doc_id is None} == {(0, None), (want[6][0], 6)}
+    assert similar.similar_components(empty).collect() == []
+
+
+def test_similar_components_on_the_table(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op7(spark, sf_dir).collect()}
+    assert got == groups([(r.doc_id, r.text) for r in table.select("doc_id", "text").collect()])
+
+
+def test_large_roots_are_cut_into_nodes(docs, monkeypatch):
+    want = {(r.doc_id, r.component_id) for r in similar.similar_components(docs).collect()}
+    monkeypatch.setattr(similar, "NODE_TEXTS", 3)
+    assert {(r.doc_id, r.component_id) for r in similar.similar_components(docs).collect()} == want
+
+
+def test_pruned_nodes_hold_no_links():
+    sets = [similar.shingles(word_list_bytes(t), similar.word_hashes()) for t in TEXTS if t and len(t) > 20]
+    for i, x in enumerate(sets[:20]):
+        for y in sets[i + 1:20]:
+            one, other = (similar.Node([0], [s], {0: similar.bitmap(s)}) for s in (x, y))
+            assert one.may_link(other) or not similar.linked(x, y)
+
+
+def word_list_bytes(text):
+    return [w.encode() for w in word_list(text)]
+
+
+def test_contained_items(spark, docs, empty):
+    item = BASE.split()[40:80]
+    items = [(0, " ".join(item)), (1, " ".join([*item[:34], *"v w x y z u".split()])), (2, None), (3, ""), (4, "one two"),
+             (5, " ".join(item[:20] + prose(20).split())), (0, " ".join(item))]
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    named = docs.filter("doc_id is not null")
+    got = {(r.doc_id, r.item_id, r.n_item, r.n_common) for r in decontaminate.contained(named, table).collect()}
+    assert got == item_hits([(r.doc_id, r.text) for r in named.collect()], items)
+    assert any(r.doc_id is None for r in decontaminate.contained(docs, table).collect())
+    assert decontaminate.contained(empty, table).collect() == []
+    assert decontaminate.contained(docs, table.filter("false")).collect() == []
+
+
+def test_packing_keeps_all_tokens(docs, empty):
+    tokenizer = Tokenizer.from_file(packing.TOKENIZER)
+    rows = packing.pack(docs).collect()
+    want = Counter()
+    for r in docs.collect():
+        ids = [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0]
+        for k in range(0, len(ids), 2048):
+            part = ids[k:k + 2048]
+            raw = b"".join(i.to_bytes(4, "little") for i in part)
+            want[r.doc_id, k // 2048, k, len(part), zlib.crc32(raw)] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    fills = {}
+    for r in sorted(rows, key=lambda r: r.offset):
+        assert r.offset == fills.get(r.sequence_id, 0)
+        fills[r.sequence_id] = r.offset + r.length
+    assert max(fills.values()) <= 2048
+    assert len(fills) <= 1 + math.ceil(sum(r.length for r in rows) / 2048 * 1.1)
+    assert packing.pack(empty).collect() == []
+
+
+def test_plan_is_best_fit_decreasing():
+    for _ in range(30):
+        lengths = [rng.randint(1, 50) for _ in range(rng.randint(1, 400))]
+        room = []
+        for length in sorted(lengths, reverse=True):
+            fitting = [i for i, r in enumerate(room) if r >= length]
+            if fitting:
+                room[min(fitting, key=room.__getitem__)] -= length
+            else:
+                room.append(50 - length)
+        slots = packing.plan(Counter(lengths), 50)
+        assert sum(n for _, _, n, _, _ in slots) == len(lengths)
+        assert len({first + k for _, _, n, first, _ in slots for k in range(n)}) == len(room)
+
+
+def test_secrets():
+    allowed = secret_scan.allow_list()
+    key = "q9Zx7Lm2Vb4Nc8Rt1Ky6Pd3W"
+    text = f"é PassWord = 'abcdefghijkl' x token:short AKIA{'A' * 14} AKIAB {'ab12' * 5} 0123456789012345 {key}"
+    base, added = secret_scan.scan(text, allowed)
+    assert [(secret_scan.KINDS[k], text[s:e]) for s, k, e in base] == [
+        ("assign", "PassWord = 'abcdefghijkl"), ("access", "AKIA" + "A" * 14), ("hex", "ab12" * 5), ("hex", "0123456789012345")]
+    assert [text[s:e] for s, _, e in added] == [key]
+    assert secret_scan.scan(key.replace("q9Z", "example"), allowed)[1] == []
+    assert secret_scan.scan("Donaudampfschifffahrtsgesellschaftskapitaen " + "1234567890" * 3, allowed)[1] == []
+    assert secret_scan.masked("a token=abcdefghijklmnop b", allowed, "#") == "a # b"
+
+
+def test_entropy_windows_match_recounting():
+    for _ in range(200):
+        text = "".join(rng.choice("abc0123456789XYZ") for _ in range(rng.randint(1, 60)))
+        marked = set()
+        for at in range(len(text) - 19):
+            part = text[at:at + 20]
+            entropy = -sum(n / 20 * math.log2(n / 20) for n in Counter(part).values())
+            if entropy >= 3.2 - 1e-9 and sum(map(str.isdigit, part)) > 1 and sum(map(str.isalpha, part)) > 1:
+                marked |= set(range(at, at + 20))
+        assert {i for s, e in secret_scan.entropy_windows(text, 3.2) for i in range(s, e)} == marked
+
+
+def test_secrets_of_rows(docs, empty):
+    rows = secret_scan.find_secrets(docs).collect()
+    assert len(rows) == docs.count()
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert all(r.base_sha256 == nothing and r.spans == "" for r in rows)
+    assert secret_scan.find_secrets(empty).collect() == []
+
+
+@pytest.mark.parametrize("model", [tokens.MODEL])
+def test_trie_counts_match_viterbi(model, docs, empty):
+    scores = tokens.unigram_scores(model)
+    trie = tokens.TokenTrie(scores, nodes=50)  # cleared again and again
+
+    def viterbi(word):
+        best = [(0.0, 0)] + [(-math.inf, 0)] * len(word)
+        for end in range(1, len(word) + 1):
+            size = len(word[end - 1].encode())
+            options = [(best[end - 1][0] + size * trie.byte, -(-best[end - 1][1] + size))]
+            options = [(options[0][0], best[end - 1][1] - size)]
+            for start in range(end):
+                if word[start:end] in scores:
+                    options.append((best[start][0] + scores[word[start:end]], best[start][1] - 1))
+            best[end] = max(options)
+        return -best[-1][1]
+
+    words = ["▁" + w for w in ["", "a", "hello", "unbelievable", "été", "日本", "x" * 40, "\u0001", *VOCABULARY[:60]]]
+    assert [trie.count(w) for w in words] == [viterbi(w) for w in words]
+    rows = tokens.token_counts(docs).collect()
+    assert len(rows) == docs.count()
+    assert {(r.n_pretokens, r.n_tokens) for r in rows if r.doc_id in (0, 1, 2)} == {(0, 0)}
+    assert tokens.token_counts(empty).collect() == []
+
+
+def test_urls(spark):
+    addresses = {
+        "http://NET/": ("net", "/", "net/", "block"), "http://a.example.net/en/x?q": ("a.example.net", "/en/x", "example.net/en/", "allow"),
+        "x://b.example.com/de/": ("b.example.com", "/de/", "example.com/de/", "block"), "http://fish.org/fr/#a": ("fish.org", "/fr/", "org/fr/", "allow"),
+        "http://internet": ("internet", "", None, "allow"), None: ("", "", None, "allow"), "no address": ("", "", None, "allow"),
+        "https://free-casino.example.com/en/1": ("free-casino.example.com", "/en/1", None, "block"),
+    }
+    pages = spark.createDataFrame([(i, u, "h", "r") for i, u in enumerate(addresses)], "page_id bigint, url string, host string, rule string")
+    model = urls.fit(urls.labelled_urls(spark))
+    got = [tuple(r)[1:5] for r in urls.judge(pages, model).orderBy("page_id").collect()]
+    assert got == list(addresses.values())
+    assert urls.judge(pages.filter("false"), model).collect() == []
+
+
+def test_urls_held_out(spark):
+    labelled = urls.labelled_urls(spark).collect()
+    held = [r for i, r in enumerate(labelled) if i % 4 == 0]
+    rest = spark.createDataFrame([r for i, r in enumerate(labelled) if i % 4], "host string, path string, label double")
+    pages = spark.createDataFrame([(i, f"http://{r.host}{r.path}") for i, r in enumerate(held)], "page_id bigint, url string")
+    verdicts = {r.page_id: r.verdict for r in urls.judge(pages, urls.fit(rest), ()).collect()}
+    right = sum((verdicts[i] == "block") == (r.label == 1.0) for i, r in enumerate(held))
+    assert right >= 0.75 * len(held)
+
+
+def test_archives_round_trip_and_salvage(spark, tmp_path):
+    body = "<p>" + "x" * 200
+    rows = [(3, "u", body), (1, "u", body), (2, "v\nw", "é" * 60), (4, None, None), (5, "u", "short"), (6, "u", "short"), (None, "u", body)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    folder = workspace(spark, "archive")
+    warc.write_archives(pages, folder)
+    got = {tuple(r) for r in warc.page_records(warc.read_archives(spark, folder)).collect()}
+    assert got == {
+        (i, len((h or "").encode()), hashlib.sha256((h or "").encode()).hexdigest(), *(("revisit", 1) if i == 3 else ("response", None)))
+        for i, _, h in rows}
+
+    records = [warc.record(i, "u", 50, hashlib.sha256(b"y" * 50).digest(), b"y" * 50) for i in range(6)]
+    members = [gzip.compress(r, mtime=0) for r in records]
+    bad = bytearray(members[2])
+    bad[30] ^= 255
+    data = [members[0], b"junk", members[1], bytes(bad), members[3], members[4][:40], members[5], b"\x1f\x8b"]
+    (tmp_path / "broken.warc").write_bytes(b"".join(data))
+    found = warc.read_archives(spark, str(tmp_path)).orderBy("offset").collect()
+    at = [sum(map(len, data[:k])) for k in range(9)]
+    assert [(r.kind, r.offset, r.offset + r.length) for r in found] == [
+        ("record", at[0], at[1]), ("gap", at[1], at[2]), ("record", at[2], at[3]), ("gap", at[3], at[4]),
+        ("record", at[4], at[5]), ("gap", at[5], at[6]), ("record", at[6], at[7]), ("gap", at[7], at[8])]
+
+    plain = tmp_path / "plain"
+    plain.mkdir()
+    odd = warc.record(9, "u", 30, hashlib.sha256(b"z WARC/1.1 inside the payload z").digest(), b"z WARC/1.1 inside the payload z")
+    (plain / "a").write_bytes(records[0] + odd + records[1][:-9] + records[2])
+    found = warc.read_archives(spark, str(plain), plain=True).orderBy("offset").collect()
+    assert [(r.kind, r.record_id) for r in found] == [
+        ("record", "<urn:page:0>"), ("record", "<urn:page:9>"), ("gap", None), ("record", "<urn:page:2>")]
+
+
+PAGE = """<html><head><title>T</title><style>p{}</style><script>var a="</p><p>no</p>";</script></head><body>
+<header><h2>Site</h2></header><nav><ul><li><a href=/>Home</a></ul></nav><div class="cookie-notice">We use cookies, yes.</div>
+%s<aside class=sidebar><p>Side text, that is long enough, to score.</p></aside><div id="comments"><p>A reader says, this is
+a long comment, really long, with commas, and more.</p></div><form>Search <input></form><div class="ad">Buy, now.</div>
+<footer>&copy; us</footer></body></html>"""
+
+
+@pytest.mark.parametrize("inside, wanted", [
+    ("<article><h1>Head &amp; line</h1><p>First  one,\n with <b>bold</b> text,<br>that goes on.<p>Second\u00a0one &eacute;.</article>",
+     "Head & line\nFirst one, with bold text, that goes on.\nSecond one é."),
+    ("<div class=content><h1>Head</h1><p>Some long text, with commas, and more words to score well.</p><ul><li>An item, first"
+     "<li>An item, second</ul><p>Closing words, of this article, quite long as well.</p></div>",
+     "Head\nSome long text, with commas, and more words to score well.\nAn item, first\nAn item, second\n"
+     "Closing words, of this article, quite long as well."),
+    ("", ""),
+])
+def test_main_text(inside, wanted):
+    assert html_text.main_text(PAGE % inside) == wanted
+
+
+def test_main_text_of_odd_pages(spark):
+    assert html_text.main_text(None) == html_text.main_text("") == ""
+    assert html_text.main_text("<div>" * 5000 + "<p>Deep text, long enough to be found.") == "Deep text, long enough to be found."
+    pages = spark.createDataFrame([(1, None, None, "x"), (1, None, None, "x")], "page_id bigint, url string, html string, text string")
+    assert [tuple(r) for r in html_text.extract(pages).collect()] == [(1, None, "", 0)] * 2
+    assert html_text.extract(pages.filter("false")).collect() == []
+
+
+def brute_quality(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = Counter(zip(words, words[1:], words[2:]))
+    repeat = {i + k for i in range(len(words) - 2) if windows[tuple(words[i:i + 3])] > 1 for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    symbols = len(re.findall(r"[#*$%&|<>]", text or ""))
+    failed = len(words) < 50 or 100 * len(repeat) > 50 * len(words)
+    return len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(repeat), failed
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_quality(docs, empty, few, monkeypatch):
+    monkeypatch.setattr(quality, "FEW_REPEATS", few)
+    rows = quality.judge(docs).collect()
+    assert Counter(tuple(r)[:7] for r in rows) == Counter((r.doc_id, *brute_quality(r.text)) for r in docs.collect())
+    kept = Counter(r.doc_id for r in rows if r.kept)
+    assert Counter(r.doc_id for r in quality.keep(docs).collect()) == kept and kept[6] == 3
+    assert quality.keep(docs).columns == docs.columns
+    assert quality.judge(empty).collect() == quality.keep(empty).collect() == []
+
+
+def test_cascade_order_does_not_change_the_verdict(docs):
+    from pyspark.sql import functions as F
+
+    verdicts = [
+        Counter(r[0] for r in docs.filter(quality.with_words(lambda t, w, o=order: quality.cascade(t, w, o))).select("doc_id").collect())
+        for order in (quality.RULES, quality.RULES[::-1])]
+    assert verdicts[0] == verdicts[1]
+    assert quality.estimate(docs.filter(F.col("doc_id") < 0)) is not None
+
+
+def test_licences(spark):
+    files = [
+        ("a/LICENSE", "Licensed under the Apache License, Version 2.0."), ("a/b/c/x.py", "code"), ("a/b/LICENSE", "text\nReleased under the MIT License.\nmore"),
+        ("a/b/y.py", None), ("z.py", "no licence here"), ("d/e", ""), (None, "Released under the MIT License."), ("a/b/y.py", None), ("a/q", "under the License"),
+    ]
+    table = spark.createDataFrame([(p, t, "old") for p, t in files], "path string, text string, licence string")
+    got = {r.path: (r.licence, r.stated_by, r.levels_up) for r in licences.scan(table).collect() if r.path}
+    assert got == {
+        "a/LICENSE": ("Apache-2.0", "a/LICENSE", 0), "a/b/c/x.py": ("MIT", "a/b/LICENSE", 2), "a/b/LICENSE": ("MIT", "a/b/LICENSE", 0),
+        "a/b/y.py": ("MIT", "a/b/LICENSE", 1), "z.py": (None, None, None), "d/e": (None, None, None), "a/q": ("Apache-2.0", "a/LICENSE", 1)}
+    assert licences.scan(table).count() == len(files)
+    assert licences.scan(table.filter("false")).collect() == []
+
+
+def test_licence_cosines_match_brute_force(spark, sf_dir):
+    files = licences.document_files(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    rows = [(r.path, r.text or "") for r in files.collect()]
+    seen = Counter(t for _, text in rows for t in set(licences.terms(text)))
+    templates = [(k, Counter(licences.terms(t))) for k, texts in licences.TEMPLATES.items() for t in texts]
+    known = {t for _, c in templates for t in c}
+
+    def weights(counts):
+        return {t: n * licences.inverse_frequency(len(rows), seen[t] if t in known else 0) for t, n in counts.items()}
+
+    sides = [(k, weights(c)) for k, c in templates]
+    longest = max(sum(c.values()) for _, c in templates)
+    want = {}
+    for path, text in rows:
+        units = text.split("\n") + ([text] if len(licences.terms(text)) <= 2 * longest else [])
+        best = (0.0, "")
+        for unit in units:
+            own = weights(Counter(licences.terms(unit)))
+            for name, other in sides:
+                dot = sum(x * other[t] for t, x in own.items() if t in other)
+                if dot:
+                    score = round(dot / math.hypot(*own.values()) / math.hypot(*other.values()), 6)
+                    best = max(best, (score, name), key=lambda b: b[0])
+        if best[0] >= licences.COSINE:
+            want[path] = best[::-1]
+    got = {r.path: (r.licence, round(r.score, 6)) for r in licences.own_licences(files.withColumn("text", files.text)).collect()}
+    assert got == want and want
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_sql(name, spark, sf_dir):
+    import glob
+
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        con.execute(f"create view {path.rsplit('/', 1)[1][:-8]} as select * from '{path}'")
+    names = [r[0] for r in con.execute(f"describe {queries.SQL[name]}").fetchall()]
+    rows = queries.REGISTRY[name](spark, sf_dir).select(*names).collect()
+    assert Counter(map(tuple, rows)) == Counter(con.execute(queries.SQL[name]).fetchall())
+
+
+def test_pipeline_stages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    kept = corpus_pipeline.quality_rules(spark, docs, sf_dir)
+    good = {r.doc_id for r in queries.op9(spark, sf_dir).collect() if r.kept}
+    assert {r.doc_id for r in kept.collect()} == good and kept.columns == docs.columns
+    first = {i for i, (_, c) in groups([(i, texts[i]) for i in good]).items() if i == c}
+    unique = corpus_pipeline.near_duplicates(spark, kept, sf_dir)
+    assert {r.doc_id for r in unique.collect()} == first and unique.columns == docs.columns
+    leaks = {i for i, *_ in item_hits([(i, texts[i]) for i in first], items)}
+    clean = corpus_pipeline.benchmark_decontamination(spark, unique, sf_dir)
+    assert {r.doc_id for r in clean.collect()} == first - leaks and leaks
+    masked = corpus_pipeline.secret_scans(spark, clean, sf_dir)
+    found = {r.doc_id: r for r in masked.collect()}
+    assert found.keys() == first - leaks and masked.columns == docs.columns
+    assert all(secret_scan.base_spans(r.text) == [] and r.n_chars == len(r.text) for r in found.values())
+    assert all(r.text == texts[i] for i, r in found.items() if "<secret>" not in r.text)
+    packed = corpus_pipeline.best_fit_packing(spark, masked, sf_dir)
+    assert {r.doc_id for r in packed.select("doc_id").collect()} == first - leaks
+
+
+def test_pipeline_on_awkward_rows(spark, docs, empty, sf_dir):
+    for table in (docs, empty):
+        for _, stage in corpus_pipeline.STAGES:
+            table = stage(spark, table, sf_dir)
+        table.collect()

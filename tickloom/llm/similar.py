@@ -338,7 +338,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
         side(0, "first").union(side(1, "second")).join(sets, "id").repartition(*PAIR).sortWithinPartitions(*PAIR)
     )
     between = map_batches(opened.select(*PAIR, "side", "component", "id", "hashes"), _between, "a bigint, b bigint")
-    merged = components(between).withColumnsRenamed({"id": "component", "component": "merged"})
+    merged = components(between).select(F.col("id").alias("component"), F.col("component").alias("merged"))
     final = labelled.join(merged, "component", "left").select("id", F.coalesce("merged", "component").alias("component"))
 
     of_class = stored(
