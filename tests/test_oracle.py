@@ -9,9 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from tickloom.plans import REGISTRY
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = {name: plan for name, plan in entry_module.queries().items() if name in REGISTRY}
+ORACLE = {name: sql for name, sql in entry_module.oracle_sql().items() if name in REGISTRY}
 
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",

@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_module
-from tickloom.plans import streams
+from tickloom.plans import REGISTRY, streams
 
 STREAMS = {n for n in vars(streams) if n in entry_module.queries()}
-BATCH = sorted(set(entry_module.queries()) - STREAMS - {"lr_fit", "lr_metrics"})
+BATCH = sorted(set(REGISTRY) - STREAMS - {"lr_fit", "lr_metrics"})
 
 
 def plan_of(df):
@@ -45,3 +45,10 @@ def test_ordered_scans_are_one_shuffle_without_large_keys(name, spark, sf_dir):
     df.collect()
     final = plan_of(df).split("== Initial Plan ==")[0]
     assert final.count("Exchange hashpartitioning") == 1 and final.count("Window [") == 1
+
+
+def test_bars_aggregate_by_hash_and_bounds_reach_the_scan(spark, sf_dir):
+    plans = {name: plan_of(entry_module.queries()[name](spark, sf_dir)) for name in ("bars_h1", "bars_latest_n", "deals_next_page")}
+    assert "SortAggregate" not in plans["bars_h1"] + plans["bars_latest_n"]
+    assert "GreaterThanOrEqual(ts," in plans["bars_latest_n"] and "LessThan(ts," in plans["bars_latest_n"]
+    assert "GreaterThanOrEqual(" in plans["deals_next_page"]

@@ -216,3 +216,51 @@ def test_split_is_stable(spark):
     again, _ = M.split_rows(rows.repartition(3), ["id"])
     assert train.count() + test.count() == 5000 and 0.65 < train.count() / 5000 < 0.75
     assert sorted(train.collect()) == sorted(again.collect())
+
+
+def test_duplicate_list_rows_do_not_multiply(spark):
+    light = spark.createDataFrame([(1, 10, 20, 30)], "symbolId long, symbolCategoryId long, baseAssetId long, quoteAssetId long")
+    details = spark.createDataFrame([(1, "new", 2), (1, "old", 1)], "symbolId long, note string, position int")
+    assets = spark.createDataFrame([(20, "A", "a", 1), (20, "B", "b", 2), (30, "C", "c", 3)], "assetId long, name string, displayName string, position int")
+    classes = spark.createDataFrame([(5, "FX", 1), (5, "Forex", 2)], "id long, name string, position int")
+    categories = spark.createDataFrame([(10, 5, "x", 1), (10, 5, "y", 2)], "id long, assetClassId long, name string, position int")
+    rows = R.symbol_dimension(light, details, assets, classes, categories).collect()
+    assert [(r.note, r.baseAsset, r.quoteAsset, r.assetClass, r.symbolCategory) for r in rows] == [("new", "B", "C", "Forex", "y")]
+    traders = spark.createDataFrame([(7, 20)], "account long, depositAssetId long")
+    assert [r.depositCurrency for r in R.deposit_currency(traders, assets).collect()] == ["B"]
+
+
+def test_first_listed_name_wins(spark):
+    ticks = spark.createDataFrame([(7,)], "symbolId long")
+    names = spark.createDataFrame([(7, "ABC", 2), (7, "ZED", 1)], "symbolId long, symbolName string, position int")
+    assert [r.Symbol for r in Q.with_symbol_name(ticks, names).collect()] == ["ZED"]
+
+
+def test_first_reply_answers_the_request(spark):
+    requests = spark.sql("select 'a' as clientMsgId, timestamp_ntz'2024-01-01 00:00:00' as sentAt")
+    replies = spark.sql("select 'a' as clientMsgId, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, s) as receivedAt from values (2), (1) as t(s)")
+    rows = Q.match_responses(requests, replies, 5).collect()
+    assert [(r.receivedAt.second, r.timed_out) for r in rows] == [(1, False)]
+
+
+def test_margin_is_exact_and_unpriced_positions_are_counted(spark):
+    from tickloom.operators import accounts as A
+
+    ladders = spark.sql("select 1L as leverageId, array(named_struct('volume', 0L, 'leverage', 1L)) as tiers")
+    symbols = spark.sql("select 1L as symbolId, 1L as leverageId, 1L as bid, 90071992547409931L as ask")
+    assert A.expected_margin(symbols, [1], ladders).first().buyMargin == 90071992547409931
+    positions = spark.createDataFrame(
+        [(1, 1, "BUY", 2, 100), (1, 9, "SELL", 5, 100)], "account long, symbolId long, tradeSide string, volume long, entry_raw long")
+    quotes = spark.sql("select 1L as symbolId, 110L as bid, 111L as ask")
+    traders = spark.sql("select 1L as account, 1000L as balance")
+    row = A.account_snapshot(positions, quotes, traders).first()
+    assert (row.unrealizedPnL, row.usedMargin, row.unpricedPositions, row.unpricedVolume) == (20, 2, 1, 5)
+
+
+def test_ordering_numbers_follow_time_then_tie(spark):
+    from pyspark.sql import functions as F
+    from tickloom.functions.times import packed_order
+
+    rows = spark.sql("select timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, s) as ts, e from values (0, -5L), (0, null), (1, -9223372036854775807L), (0, 9223372036854775807L) as t(s, e)")
+    ordered = rows.orderBy(packed_order(rows, "ts", ("e",))).collect()
+    assert ordered == rows.orderBy(F.col("ts"), F.col("e").asc_nulls_first()).collect()

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def epoch_micros(ts: Column) -> Column:
@@ -45,3 +49,16 @@ def second_of_week(ts: Column, zone: str | Column = "UTC") -> Column:
     if isinstance(zone, Column) or zone != "UTC":
         local = F.from_utc_timestamp(local, zone)
     return F.pmod(F.unix_seconds(local) + F.lit(4 * 86400), F.lit(7 * 86400)).cast("bigint")
+
+
+def packed_order(rows: DataFrame, ts: str, tie: Sequence[str] = ()) -> Column:
+    """One number that orders rows by ``ts`` and then ``tie``, where that is a single whole number, else a struct.
+
+    ``min_by`` and ``max_by`` over a number of fixed width aggregate by hash; over a struct they sort.
+    """
+    if not tie:
+        return F.col(ts)
+    if len(tie) > 1 or not isinstance(rows.schema[tie[0]].dataType, T.IntegralType):
+        return F.struct(ts, *tie)
+    last = F.coalesce(F.col(tie[0]).cast("bigint"), F.lit(-(2**63))).cast("decimal(19,0)")
+    return epoch_micros(F.col(ts)).cast("decimal(18,0)") * F.lit(Decimal(2**64)) + last

@@ -165,6 +165,7 @@ def open_totals(positions: DataFrame) -> DataFrame:
     return positions.groupBy("account", "symbolId", "tradeSide").agg(
         exact_sum(F.col("volume")).alias("volume"),
         F.sum((F.col("volume") * F.col("entry_raw")).cast("decimal(38,0)")).alias("cost"),
+        F.count(F.lit(1)).alias("positions"),
     )
 
 
@@ -174,22 +175,25 @@ def account_snapshot(
     """Profit of open positions, used margin, equity and margin level per account.
 
     Positions are folded before they meet the quotes, so a busy symbol reaches the join as one row per
-    account and side. Symbols without a quote count neither towards profit nor margin.
+    account and side. Positions of a symbol without a quote add nothing to profit and margin, which is then incomplete;
+    ``unpricedPositions`` and ``unpricedVolume`` say how many they are.
     """
     totals = open_totals(positions)
     close = F.when(F.col("tradeSide") == "BUY", F.col("bid")).otherwise(F.col("ask"))
     notional = close.cast("decimal(20,0)") * F.col("volume")
     priced = (
-        totals.join(latest_quotes.select("symbolId", "bid", "ask"), "symbolId")
+        totals.join(latest_quotes.select("symbolId", "bid", "ask"), "symbolId", "left")
         .withColumn("pnl", signed(F.col("tradeSide"), notional - F.col("cost")))
         .withColumn("notional", notional)
     )
     sums = priced.groupBy("account").agg(
         F.sum("pnl").cast("bigint").alias("unrealizedPnL"),
         F.floor(F.sum("notional") / leverage).cast("bigint").alias("usedMargin"),
+        F.coalesce(F.sum(F.when(close.isNull(), F.col("positions"))), F.lit(0)).alias("unpricedPositions"),
+        F.coalesce(F.sum(F.when(close.isNull(), F.col("volume"))), F.lit(0)).cast("bigint").alias("unpricedVolume"),
     )
     full = traders.select("account", "balance").join(sums, "account", "left").fillna(
-        0, ["unrealizedPnL", "usedMargin"]
+        0, ["unrealizedPnL", "usedMargin", "unpricedPositions", "unpricedVolume"]
     )
     equity = F.col("balance") + F.col("unrealizedPnL")
     return full.withColumn("equity", equity).withColumn(
@@ -223,7 +227,9 @@ def expected_margin(
     tiered = leverage_tier(asked, ladders)
 
     def margin(price: str) -> Column:
-        return F.floor(F.col("volume") * F.col(price) / F.col("leverage")).cast("bigint")
+        """Whole numbers throughout: a double would lose cents above 2 to the 53."""
+        return F.expr(
+            f"(cast(volume as decimal(19,0)) * cast({price} as decimal(19,0))) div cast(leverage as decimal(19,0))")
 
     return tiered.withColumn("buyMargin", margin(ask)).withColumn("sellMargin", margin(bid))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.prices import decode_trendbar, encode_trendbar
+from tickloom.functions.times import packed_order
 from tickloom.operators.latest import first_per_key
 
 # Period name to window length; W1 starts on Monday, MN1 is the calendar month.
@@ -32,7 +33,7 @@ def bars_from_ticks(
     tie: Sequence[str] = ("event_id",),
 ) -> DataFrame:
     """Bars of one period. Volume is the tick count. All five aggregates combine before the shuffle."""
-    at = F.struct(ts, *tie) if tie else F.col(ts)
+    at = packed_order(ticks, ts, tie)
     start = bar_start(F.col(ts), period).cast(ticks.schema[ts].dataType)
     return (
         ticks.withColumn("bar_time", start)
@@ -84,8 +85,13 @@ def trend_bars(
     ticks: DataFrame, period: str, start: Column, end: Column, count: int | None = None,
     keys: Sequence[str] = ("symbolId",),
 ) -> DataFrame:
-    """Bars of ``[start, end]``; only the newest ``count`` of each key when a count is given."""
-    bars = bars_from_ticks(ticks, period, keys)
+    """Bars of ``[start, end]``; only the newest ``count`` of each key when a count is given.
+
+    Ticks outside these bars are left out by their own time, a filter that reaches the scan.
+    """
+    length = {"W1": "7 days", "MN1": "1 month"}.get(period) or PERIOD_WINDOWS[period]
+    inside = ticks.filter((F.col("ts") >= start) & (F.col("ts") < end + F.expr(f"interval {length}")))
+    bars = bars_from_ticks(inside, period, keys)
     if count is None:
         return bars.filter(F.col("bar_time").between(start, end))
     return newest_bars(bars, start, end, count, keys)

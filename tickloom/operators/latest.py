@@ -61,7 +61,8 @@ def page_after(df: DataFrame, order: Sequence[str], after: Sequence | None, max_
     rows = df
     if after is not None:
         last = [F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, after, strict=True)]
-        rows = rows.filter(F.struct(*order) > F.struct(*last))
+        # the first column alone is implied, and a filter on it reaches the scan
+        rows = rows.filter(F.col(order[0]) >= last[0]).filter(F.struct(*order) > F.struct(*last))
     ahead = rows.orderBy(*order).limit(max_rows + 1)
     numbered = ahead.withColumn("row_no", F.row_number().over(Window.orderBy(*order)))
     more = F.max("row_no").over(Window.partitionBy()) > max_rows

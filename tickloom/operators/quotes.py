@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions import prices, text, times
-from tickloom.functions.times import epoch_micros
+from tickloom.functions.times import epoch_micros, packed_order
 from tickloom.operators.joins import lookup_join, salted_join
 from tickloom.operators.latest import latest_per_key, page_per_key
 from tickloom.operators.ordered import Timeline, as_of, fill_forward
@@ -35,8 +35,10 @@ def quote_events(spots: DataFrame, names: DataFrame, produced_at: Column | None
 
 def with_symbol_name(ticks: DataFrame, symbols: DataFrame) -> DataFrame:
     """Add ``Symbol``: the name of the tick's symbol or its id as text. The symbol list is made unique per
-    id first (the first name wins), so a tick is never duplicated."""
-    names = symbols.groupBy("symbolId").agg(F.min("symbolName").alias("__name"))
+    id first, so a tick is never duplicated: the first name by ``position`` in the list, or without that column the
+    smallest name."""
+    first = F.min_by("symbolName", "position") if "position" in symbols.columns else F.min("symbolName")
+    names = symbols.groupBy("symbolId").agg(first.alias("__name"))
     return lookup_join(ticks, names, ["symbolId"], counted=symbols).select(
         *ticks.columns, text.name_or_id(F.col("__name"), F.col("symbolId")).alias("Symbol")
     )
@@ -180,7 +182,7 @@ def session_close_change(ticks: DataFrame, price: str = "price") -> DataFrame:
     daily = (
         ticks.withColumn("session_day", F.to_date("ts"))
         .groupBy("symbolId", "session_day")
-        .agg(F.max_by(price, F.struct("ts", "event_id")).alias("last_price"))
+        .agg(F.max_by(price, packed_order(ticks, "ts", ("event_id",))).alias("last_price"))
     )
     close = F.lag("last_price").over(Window.partitionBy("symbolId").orderBy("session_day"))
     return (
@@ -287,11 +289,11 @@ def match_responses(
     requests: DataFrame, responses: DataFrame, timeout_seconds: int, sent: str = "sentAt",
     received: str = "receivedAt",
 ) -> DataFrame:
-    """Each request with its response inside the time-out; without one it is timed out."""
+    """Each request with its first response inside the time-out; without one it is timed out."""
     late = F.col(sent) + F.expr(f"interval {timeout_seconds} seconds")
     inner = responses.withColumnRenamed("clientMsgId", "__id")
     return requests.join(
         inner,
         (F.col("clientMsgId") == F.col("__id")) & F.col(received).between(F.col(sent), late),
         "left",
-    ).select("clientMsgId", sent, received, F.col("__id").isNull().alias("timed_out"))
+    ).groupBy("clientMsgId", sent).agg(F.min(received).alias(received)).withColumn("timed_out", F.col(received).isNull())

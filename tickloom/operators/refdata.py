@@ -19,8 +19,15 @@ def index_last(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return latest_per_key(rows, [key], order)
 
 
+def one_per_key(rows: DataFrame, key: str) -> DataFrame:
+    """The last row of each key by its ``position`` in the list, or without that column by the other columns in order."""
+    order = ["position"] if "position" in rows.columns else [c for c in rows.columns if c != key]
+    return index_last(rows, key, order).drop("position")
+
+
 def merge_records(light: DataFrame, details: DataFrame, key: str = "symbolId") -> DataFrame:
-    """All light rows with their details; a field both have takes the light value when it is set."""
+    """All light rows with the last details of their key; a field both have takes the light value when it is set."""
+    details = one_per_key(details, key)
     both = [c for c in details.columns if c in light.columns and c != key]
     extra = [c for c in details.columns if c not in light.columns]
     a, b = light.alias("a"), details.alias("b")
@@ -29,7 +36,8 @@ def merge_records(light: DataFrame, details: DataFrame, key: str = "symbolId") -
 
 
 def with_category(symbols: DataFrame, categories: DataFrame, classes: DataFrame) -> DataFrame:
-    """Category and, through it, asset class. An unknown id leaves nulls and keeps the row."""
+    """Category and, through it, asset class, of several with one id the last. An unknown id leaves nulls and keeps the row."""
+    categories, classes = one_per_key(categories, "id"), one_per_key(classes, "id")
     named = categories.select(
         F.col("id").alias("symbolCategoryId"), "assetClassId", F.col("name").alias("symbolCategory")
     )
@@ -38,17 +46,17 @@ def with_category(symbols: DataFrame, categories: DataFrame, classes: DataFrame)
 
 
 def with_asset(rows: DataFrame, assets: DataFrame, role: str, display: bool = True) -> DataFrame:
-    """Name of the asset whose id is in ``{role}AssetId``."""
+    """Name of the last asset whose id is in ``{role}AssetId``."""
     columns = [F.col("assetId").alias(f"{role}AssetId"), F.col("name").alias(f"{role}Asset")]
     if display:
         columns.append(F.col("displayName").alias(f"{role}AssetDisplayName"))
-    return rows.join(assets.select(*columns), f"{role}AssetId", "left")
+    return rows.join(one_per_key(assets, "assetId").select(*columns), f"{role}AssetId", "left")
 
 
 def symbol_dimension(
     light: DataFrame, details: DataFrame, assets: DataFrame, classes: DataFrame, categories: DataFrame
 ) -> DataFrame:
-    """The wide symbol table: every light symbol once, with details, category, class and both assets."""
+    """The wide symbol table: every light row once, with details, category, class and both assets."""
     joined = with_category(merge_records(light, details), categories, classes)
     return with_asset(with_asset(joined, assets, "base"), assets, "quote")
 

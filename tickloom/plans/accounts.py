@@ -215,11 +215,13 @@ with latest as (select symbolId, arg_max(bid, row(ts, event_id)) as bid, arg_max
                 from v_firm group by 1),
      priced as (select account, case when tradeSide = 'BUY' then (bid - entry_raw) * volume
                                      else -((ask - entry_raw) * volume) end as pnl,
-                       case when tradeSide = 'BUY' then bid else ask end * volume as notional
-                from v_open join latest using (symbolId)),
-     sums as (select account, sum(pnl)::bigint as pnl, (sum(notional)::hugeint // 100)::bigint as margin
+                       case when tradeSide = 'BUY' then bid else ask end * volume as notional, volume
+                from v_open left join latest using (symbolId)),
+     sums as (select account, sum(pnl)::bigint as pnl, (sum(notional)::hugeint // 100)::bigint as margin,
+                     count(*) filter (notional is null) as n, sum(volume) filter (notional is null) as v
               from priced group by 1)
 select account, balance, coalesce(pnl, 0) as unrealizedPnL, coalesce(margin, 0) as usedMargin,
+       coalesce(n, 0) as unpricedPositions, coalesce(v, 0)::bigint as unpricedVolume,
        balance + coalesce(pnl, 0) as equity,
        (balance + coalesce(pnl, 0)) * 100 / nullif(coalesce(margin, 0), 0) as marginLevel
 from v_balances left join sums using (account)""")
