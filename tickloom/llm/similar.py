@@ -14,8 +14,8 @@ none with a probability of (1 - 0.8**5)**40 = 1.3e-7.
    ``NODE_SHINGLES`` shingles are split by hash, with the leader in each part. Inside a part all pairs that are not
    yet connected are compared, which gives first components.
 3. Roots that still hold several components remain. The texts of a root are its tree; beyond the size of a node it is cut
-   by size band and hash. Pairs of nodes of a root in the same or the next band, others being too different in size, are
-   traversed together.
+   by size band and hash, a large component apart from the rest. Pairs of nodes of a root in the same or the next band,
+   others being too different in size, are traversed together, unless they hold one and the same component.
 
 Pairs that are already connected are skipped: links between them cannot change a component.
 """
@@ -256,33 +256,43 @@ def _parts(members: DataFrame, key: str) -> DataFrame:
     return members.join(parts, key).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
 
 
-#: What names a pair of nodes of a root.
-PAIR = ["root", "first_band", "first_part", "second_band", "second_part"]
+#: What names a node of a root, and a pair of them.
+NODE = ["band", "own", "part"]
+PAIR = ["root", *[f"first_{c}" for c in NODE], *[f"second_{c}" for c in NODE]]
+MIXED = -(2**63)
 
 
 def _root_nodes(texts: DataFrame) -> DataFrame:
-    """``texts`` (root, id, n, component) with ``band`` and ``part``, which name their node in the root.
+    """``texts`` (root, id, n, component) with ``band``, ``own`` and ``part``, which name their node in the root.
 
     A root of the size of a node is one node. In larger ones a band holds sizes up to a factor of 100 / PERCENT, so texts that
-    link are in the same or the next band, and a band is dealt into parts by hash.
+    link are in the same or the next band. In a band a component of more than half a node has nodes of its own, named by it;
+    the rest is ``MIXED``. Either is dealt into parts by hash.
     """
     parts = F.ceil(F.greatest(F.count(F.lit(1)) / NODE_TEXTS, F.sum("n") / NODE_SHINGLES)).cast("int")
     whole = stored(texts.groupBy("root").agg(parts.alias("whole")), "roots")
     band = F.when(F.col("whole") == 1, 0).otherwise(F.floor(F.log("n") / math.log(100 / PERCENT) + 1e-9)).cast("int")
-    banded = stored(texts.join(whole, "root").select(*texts.columns, band.alias("band")), "bands")
-    count = stored(banded.groupBy("root", "band").agg(parts.alias("parts")), "parts")
+    banded = stored(texts.join(whole, "root").select(*texts.columns, "whole", band.alias("band")), "bands")
+    alike = stored(banded.groupBy("root", "band", "component").agg(F.count(F.lit(1)).alias("alike")), "alike")
+    own = F.when((F.col("whole") > 1) & (2 * F.col("alike") > NODE_TEXTS), F.col("component")).otherwise(F.lit(MIXED))
+    owned = stored(banded.join(alike, ["root", "band", "component"]).select(*texts.columns, "band", own.alias("own")), "owned")
+    count = stored(owned.groupBy("root", "band", "own").agg(parts.alias("parts")), "parts")
     return stored(
-        banded.join(count, ["root", "band"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")),
+        owned.join(count, ["root", "band", "own"])
+        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")),
         "nodes")
 
 
 def _node_pairs(nodes: DataFrame) -> DataFrame:
-    """Rows of ``PAIR``: all pairs of nodes of a root, and each node with itself, that sizes allow."""
-    named = nodes.select("root", "band", "part").distinct()
-    one = named.toDF("root", "first_band", "first_part")
-    two = named.toDF("root", "second_band", "second_part")
+    """Rows of ``PAIR``: the pairs of nodes of a root, and each node with itself, that may hold an unknown link. Sizes have
+    to allow it, and nodes of one component hold none."""
+    named = nodes.select("root", *NODE).distinct()
+    one = named.toDF("root", *[f"first_{c}" for c in NODE])
+    two = named.toDF("root", *[f"second_{c}" for c in NODE])
     return one.join(two, "root").filter(
-        "second_band - first_band between 0 and 1 and (second_band > first_band or second_part >= first_part)")
+        "second_band - first_band between 0 and 1 and (second_band > first_band or second_own > first_own "
+        "or second_own = first_own and second_part >= first_part)"
+    ).filter(f"first_own <> second_own or first_own = {MIXED}")
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
@@ -327,10 +337,11 @@ def similar_components(docs: DataFrame) -> DataFrame:
     pairs = stored(_node_pairs(nodes), "pairs")
 
     def side(number: int, name: str) -> DataFrame:
-        chosen = pairs if number == 0 else pairs.filter("first_band <> second_band or first_part <> second_part")
+        itself = " and ".join(f"first_{c} = second_{c}" for c in NODE)
+        chosen = pairs if number == 0 else pairs.filter(f"not ({itself})")
         return (
-            chosen.withColumns({"band": F.col(f"{name}_band"), "part": F.col(f"{name}_part")})
-            .join(nodes.select("root", "band", "part", "id", "component"), ["root", "band", "part"])
+            chosen.withColumns({c: F.col(f"{name}_{c}") for c in NODE})
+            .join(nodes.select("root", *NODE, "id", "component"), ["root", *NODE])
             .select(*PAIR, F.lit(number).alias("side"), "component", "id")
         )
 
