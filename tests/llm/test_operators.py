@@ -74,6 +74,7 @@ def test_similar_components_on_the_table(spark, sf_dir):
 def test_large_roots_are_cut_into_nodes(docs, monkeypatch):
     want = {(r.doc_id, r.component_id) for r in similar.similar_components(docs).collect()}
     monkeypatch.setattr(similar, "NODE_TEXTS", 3)
+    monkeypatch.setattr(similar, "ROOT_TEXTS", 3)
     assert {(r.doc_id, r.component_id) for r in similar.similar_components(docs).collect()} == want
 
 

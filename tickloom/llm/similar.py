@@ -36,6 +36,8 @@ from tickloom.session import stored
 
 BANDS, BAND_ROWS = 40, 5
 NODE_TEXTS, NODE_SHINGLES = 48, 400_000
+#: Texts of a node of a large root: fewer nodes meet fewer others, so each text is sent less often.
+ROOT_TEXTS = 384
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Children of a node, and texts of a node without children.
@@ -269,12 +271,12 @@ def _root_nodes(texts: DataFrame) -> DataFrame:
     link are in the same or the next band. In a band a component of more than half a node has nodes of its own, named by it;
     the rest is ``MIXED``. Either is dealt into parts by hash.
     """
-    parts = F.ceil(F.greatest(F.count(F.lit(1)) / NODE_TEXTS, F.sum("n") / NODE_SHINGLES)).cast("int")
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / ROOT_TEXTS, F.sum("n") / NODE_SHINGLES)).cast("int")
     whole = stored(texts.groupBy("root").agg(parts.alias("whole")), "roots")
     band = F.when(F.col("whole") == 1, 0).otherwise(F.floor(F.log("n") / math.log(100 / PERCENT) + 1e-9)).cast("int")
     banded = stored(texts.join(whole, "root").select(*texts.columns, "whole", band.alias("band")), "bands")
     alike = stored(banded.groupBy("root", "band", "component").agg(F.count(F.lit(1)).alias("alike")), "alike")
-    own = F.when((F.col("whole") > 1) & (2 * F.col("alike") > NODE_TEXTS), F.col("component")).otherwise(F.lit(MIXED))
+    own = F.when((F.col("whole") > 1) & (2 * F.col("alike") > ROOT_TEXTS), F.col("component")).otherwise(F.lit(MIXED))
     owned = stored(banded.join(alike, ["root", "band", "component"]).select(*texts.columns, "band", own.alias("own")), "owned")
     count = stored(owned.groupBy("root", "band", "own").agg(parts.alias("parts")), "parts")
     return stored(
