@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +15,9 @@ from tickloom.session import stored
 
 #: Rows of an Arrow batch between Spark and Python. Texts can be long, so a batch holds few of them.
 BATCH_ROWS = 256
-#: Distinct words a Python worker remembers before it starts afresh.
-WORD_CACHE = 1_000_000
+#: Distinct words whose hashes a Python worker remembers before it starts afresh. Rare words fill it; frequent ones are
+#: back at once.
+WORD_CACHE = 250_000
 SHINGLE_WORDS = 5
 
 _STEP = np.uint64(0x9E3779B97F4A7C17)
@@ -54,10 +55,22 @@ class WordHashes(dict):
         return value
 
 
-@cache
+_held: dict[tuple, Any] = {}
+
+
+def held(make: Callable[..., Any], *key: str) -> Any:
+    """``make(*key)``, made once for all tasks of a Python worker that ask for it in a row.
+
+    A worker serves several operators in turn; what another one left behind is dropped, so that memory does not add up.
+    """
+    if (make, *key) not in _held:
+        _held.clear()
+        _held[make, *key] = make(*key)
+    return _held[make, *key]
+
+
 def word_hashes() -> WordHashes:
-    """One for all tasks of a Python worker."""
-    return WordHashes()
+    return held(WordHashes)
 
 
 def words_of(text: str | None) -> list[bytes]:

@@ -11,7 +11,6 @@ import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import cache
 from struct import pack as pack_ids
 
 import public_tokenizers
@@ -19,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import WORD_CACHE, map_batches, rows_in, spread
+from tickloom.llm.common import held, map_batches, rows_in, spread
 from tickloom.session import stored
 
 CAPACITY = 2048
 END_ID = 0
 END = pack_ids("<I", END_ID)
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Distinct words whose ids a Python worker remembers before it starts afresh.
+WORD_CACHE = 1_000_000
 
 
 class WordTokens(dict[bytes, bytes]):
@@ -56,17 +57,11 @@ class WordTokens(dict[bytes, bytes]):
         return b"".join(map(self.__getitem__, words)) + END
 
 
-@cache
-def word_tokens(path: str) -> WordTokens:
-    """One for all tasks of a Python worker."""
-    return WordTokens(path)
-
-
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
     """Per piece of a document ``doc_id, piece, start, length, ids_crc32``; a null text has the end id alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = word_tokens(tokenizer)
+        tokens = held(WordTokens, tokenizer)
         for batch in batches:
             columns: tuple[list, ...] = ([], [], [], [], [])
             texts = [t.encode("utf-8", "replace").split() if t else [] for (t,) in rows_in(batch, "text")]
