@@ -8,19 +8,22 @@ at the lowest piece score less ``BYTE_PENALTY``. The best segmentation has the h
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
-from functools import cache
 
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import WORD_CACHE, map_batches, rows_in
+from tickloom.llm.common import held, map_batches, rows_in
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_PENALTY = 10.0
-TRIE_NODES = 2_000_000
+#: Nodes of a worker's trie, some 200 bytes each, before it is built anew.
+TRIE_NODES = 1_000_000
+#: Distinct words whose counts a worker remembers.
+WORD_CACHE = 500_000
 START = "\u2581"
 
 
@@ -49,8 +52,8 @@ class TokenTrie:
 
     def clear(self) -> None:
         self.children: list[dict[str, int]] = [{}]
-        self.forward = [0.0]
-        self.tokens = [0]
+        self.forward = array("d", [0.0])
+        self.tokens = array("q", [0])
 
     def count(self, word: str) -> int:
         if len(self.children) > self.nodes:
@@ -93,9 +96,7 @@ class WordCounts(dict):
         return count
 
 
-@cache
 def word_counts(model: str) -> WordCounts:
-    """One for all tasks of a Python worker."""
     return WordCounts(TokenTrie(unigram_scores(model)))
 
 
@@ -108,7 +109,7 @@ def token_counts(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = word_counts(model)
+        counts = held(word_counts, model)
         for batch in batches:
             ids, words_in, tokens_in = [], [], []
             for doc, text in rows_in(batch, "doc_id", "text"):
