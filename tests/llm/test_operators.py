@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
@@ -86,6 +87,20 @@ def test_pruned_nodes_hold_no_links():
             assert one.may_link(other) or not similar.linked(x, y)
 
 
+@pytest.mark.parametrize(("few", "many", "percent", "trials"), [
+    (126, 131, 80, 40), (126, 131, 85, 40), (126, 131, 90, 40), (1000, 1040, 90, 20), (4000, 4200, 82, 5), (4000, 4200, 85, 5),
+    (4000, 4200, 90, 5), (4000, 4200, 95, 5), (130_000, 135_000, 90, 1)])
+def test_signature_bound_holds_across_bitmap_lengths(few, many, percent, trials):
+    random = np.random.default_rng(few + percent)
+    shared = -(-percent * (few + many) // (100 + percent))
+    for _ in range(trials):
+        hashes = random.integers(0, 2**64, few + many - shared, dtype=np.uint64)
+        x, y = np.sort(hashes[:few]), np.sort(hashes[few - shared:])
+        one, other = similar.tree([0], [x]), similar.tree([0], [y])
+        assert len(one.bits) != len(other.bits) and similar.linked(x, y)
+        assert one.may_link(other) and other.may_link(one)
+
+
 def word_list_bytes(text):
     return [w.encode() for w in word_list(text)]
 

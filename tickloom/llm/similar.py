@@ -81,13 +81,15 @@ def combined(bitmaps: list[np.ndarray]) -> np.ndarray:
 def may_link(size: tuple[int, int], bits: np.ndarray, slack: int, other_size: tuple[int, int], other: np.ndarray, other_slack: int) -> bool:
     """Whether a text of one node can be similar enough to one of the other node.
 
-    Their common shingles set common bits; a text has at most ``slack`` more shingles than bits.
+    Their common shingles set common bits, and at one length of bitmap are at most as many more than those as a text has more
+    shingles than bits. ``slack`` is the most of that at the own length, so it bounds nothing after folding to a shorter one.
     """
     low, high = max(size[0], other_size[0]), min(size[1], other_size[1])
     if 100 * high < PERCENT * low:
         return False
     length = min(len(bits), len(other))
-    most = int(np.bitwise_count(folded(bits, length) & folded(other, length)).sum()) + min(slack, other_slack)
+    extra = min(s for s, b in ((slack, bits), (other_slack, other)) if len(b) == length)
+    most = int(np.bitwise_count(folded(bits, length) & folded(other, length)).sum()) + extra
     # |x and y| * (100 + PERCENT) >= PERCENT * (|x| + |y|)
     return most * (100 + PERCENT) >= PERCENT * (size[0] + other_size[0])
 
