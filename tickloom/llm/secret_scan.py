@@ -103,7 +103,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]], allowed: re.Pattern[str]) -> list[tuple[int, int, int]]:
-    """Entropy spans outside the base spans; overlapping ones of several classes are joined."""
+    """Entropy spans; overlapping ones of several classes are joined, and what base spans hold of them is cut out."""
     raw = []
     for candidate in CANDIDATE.finditer(text):
         value, at = candidate[0], candidate.start()
@@ -118,7 +118,16 @@ def added_spans(text: str, base: list[tuple[int, int, int]], allowed: re.Pattern
             joined[-1][1] = max(joined[-1][1], y)
         else:
             joined.append([x, y])
-    return [(x, 3, y) for x, y in joined if not any(x < end and start < y for start, _, end in base)]
+    rest = []
+    for x, y in joined:
+        for start, _, end in base:  # sorted by their starts
+            if start < y and x < end:
+                if x < start:
+                    rest.append((x, 3, start))
+                x = end
+        if x < y:
+            rest.append((x, 3, y))
+    return rest
 
 
 def scan(text: str | None, allowed: re.Pattern[str]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
