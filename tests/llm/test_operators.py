@@ -179,6 +179,26 @@ def test_entropy_spans_keep_what_base_spans_leave(text, hidden, rest):
     assert set(secret_scan.masked(text, allowed, "#")) == {"#"}
 
 
+@pytest.mark.parametrize("text", [
+    "com/services/T0A1B2C3D/B9Z8Y7X6W/%s", "/home/user/app/%s", "/home/example/app/%s", "com/example/a/b/%s/x", "users/sample/%s"])
+def test_keys_behind_paths(text):
+    key = "k3JfQ9zXw2LmR7tVb1NcYp5D"
+    assert key not in (left := secret_scan.masked(text % key, secret_scan.allow_list(), "#")) and key[-4:] not in left
+
+
+def test_allow_list_hides_paths_and_no_random_keys():
+    allowed, nothing = secret_scan.allow_list(), secret_scan.allow_list(())
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    random = np.random.default_rng(3)
+    for length in (40, 64, 88, 200):
+        for _ in range(500):
+            text = "".join(letters[i] for i in random.integers(0, 64, length))
+            assert bool(secret_scan.scan(text, allowed)[1]) == bool(secret_scan.scan(text, nothing)[1]), text
+    for text in ("/usr/local/lib/python312/site-packages/numpy/core2/src", "/a/b/c/123e4567-e89b-42d3-a456-426614174000/x",
+                 "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"):
+        assert secret_scan.scan(text, allowed)[1] == []
+
+
 def test_entropy_windows_match_recounting():
     for _ in range(200):
         text = "".join(rng.choice("abc0123456789XYZ") for _ in range(rng.randint(1, 60)))

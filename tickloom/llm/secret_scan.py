@@ -2,7 +2,8 @@
 
 Candidates are long runs of key characters. Over each run of one character class a window slides; its Shannon entropy
 follows from character counts that change by one in and one out per step. Windows at or above the class's threshold are
-joined to spans. Strings on the allow list give no entropy spans; spans of the fixed patterns always stay.
+joined to spans. A candidate is cut at its slashes into segments, and windows that lie wholly in segments on the allow list
+are left out; spans of the fixed patterns always stay.
 """
 
 from __future__ import annotations
@@ -46,25 +47,31 @@ CLASSES = (
     CharacterClass("alphanumeric", re.compile(r"[0-9A-Za-z]{20,}"), 3.7),
     CharacterClass("base64", re.compile(r"[0-9A-Za-z+/_=-]{20,}"), 4.0),
 )
-#: Candidates that hold one of these are known not to be secrets.
+#: A path; only its segments that are names are known not to be secrets.
+PATH = r"^(?:[A-Za-z0-9_-]*/){3,}"
+#: Segments that hold one of these are known not to be secrets.
 ALLOWED = (
     r"(?i)example|sample|placeholder|dummy|changeme|your[_-]",
     r"(?i)0123456789|abcdefghij|deadbeef|(.)\1{7}",
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
-    r"^(?:[A-Za-z0-9_-]*/){3,}",
+    PATH,
 )
+#: Words in one case or in camel case with a short number, numbers with a short unit, and what dashes make of them.
+_WORD = r"(?:[a-z]+|[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]+)+|[A-Z][a-z]+)[0-9]{0,4}|[0-9]+[a-z]{0,3}"
+NAME = re.compile(rf"[_-]*(?:(?:{_WORD})(?:[_-]+(?:{_WORD}))*[_-]*)?")
 _TERM = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 _MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
 
 
-def entropy_windows(text: str, bits: float) -> Iterator[tuple[int, int]]:
-    """Joined windows of ``text`` with letters and digits whose Shannon entropy is at least ``bits``.
+def entropy_windows(text: str, bits: float, known: bytes | None = None) -> Iterator[tuple[int, int]]:
+    """Joined windows of ``text`` with letters and digits whose Shannon entropy is at least ``bits``, without those whose
+    characters are all ``known``.
 
     The entropy of a window of w characters is log2(w) - sum(c * log2(c)) / w over its character counts c.
     """
     counts: dict[str, int] = {}
     total, digits, letters = 0.0, 0, 0
-    start = end = -1
+    start = end = unknown = -1
     most = (math.log2(WINDOW) - bits) * WINDOW + 1e-9
     for at, char in enumerate(text):
         count = counts.get(char, 0)
@@ -72,6 +79,8 @@ def entropy_windows(text: str, bits: float) -> Iterator[tuple[int, int]]:
         counts[char] = count + 1
         digits += char.isdigit()
         letters += char.isalpha()
+        if known is None or not known[at]:
+            unknown = at
         if at >= WINDOW:
             old = text[at - WINDOW]
             count = counts[old]
@@ -79,7 +88,7 @@ def entropy_windows(text: str, bits: float) -> Iterator[tuple[int, int]]:
             counts[old] = count - 1
             digits -= old.isdigit()
             letters -= old.isalpha()
-        if at >= WINDOW - 1 and total <= most and digits > 1 and letters > 1:
+        if at >= WINDOW - 1 and total <= most and digits > 1 and letters > 1 and unknown > at - WINDOW:
             if start >= 0 and at - WINDOW + 1 > end:
                 yield start, end
                 start = -1
@@ -102,16 +111,59 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def added_spans(text: str, base: list[tuple[int, int, int]], allowed: re.Pattern[str]) -> list[tuple[int, int, int]]:
+@dataclass(frozen=True)
+class AllowList:
+    """The patterns but ``PATH`` in one, and whether ``PATH`` is among them."""
+
+    pattern: re.Pattern[str]
+    paths: bool
+
+
+def known_characters(value: str, allowed: AllowList) -> bytes | None:
+    """One byte per character of a candidate, 1 where it is known to be no secret; ``None`` if none is.
+
+    An allow-list match makes the segments known in which it lies, and shorter ones than a window next to them. In a path
+    names are known. Slashes belong to no segment and are known.
+    """
+    matches = [m.span() for m in allowed.pattern.finditer(value)]
+    segments = [m.span() for m in re.finditer(r"[^/]+", value)]
+    names = allowed.paths and re.match(PATH, value) is not None
+    if not matches and not names and len(segments) == 1:
+        return None
+    held = [
+        any(x < max(end, start + 1) and start < y for start, end in matches) or allowed.pattern.search(value[x:y]) is not None
+        for x, y in segments
+    ]
+    short = [y - x < WINDOW for x, y in segments]
+    for order in (range(1, len(segments)), range(len(segments) - 2, -1, -1)):
+        step = -1 if order.step > 0 else 1
+        for i in order:
+            held[i] = held[i] or short[i] and held[i + step]
+    if names:
+        held = [h or NAME.fullmatch(value[x:y]) is not None for h, (x, y) in zip(held, segments, strict=True)]
+    if not any(held):
+        return None
+    known = bytearray(b"\1" * len(value))
+    for h, (x, y) in zip(held, segments, strict=True):
+        if not h:
+            known[x:y] = bytes(y - x)
+    return bytes(known)
+
+
+def added_spans(text: str, base: list[tuple[int, int, int]], allowed: AllowList) -> list[tuple[int, int, int]]:
     """Entropy spans; overlapping ones of several classes are joined, and what base spans hold of them is cut out."""
     raw = []
     for candidate in CANDIDATE.finditer(text):
         value, at = candidate[0], candidate.start()
-        if not _MIXED.match(value) or allowed.search(value):
+        if not _MIXED.match(value):
+            continue
+        known = known_characters(value, allowed)
+        if known and 0 not in known:
             continue
         for kind in CLASSES:
             for run in kind.pattern.finditer(value):
-                raw += [(at + run.start() + x, at + run.start() + y) for x, y in entropy_windows(run[0], kind.bits)]
+                own = known and known[run.start():run.end()]
+                raw += [(at + run.start() + x, at + run.start() + y) for x, y in entropy_windows(run[0], kind.bits, own)]
     joined: list[list[int]] = []
     for x, y in sorted(raw):
         if joined and x <= joined[-1][1]:
@@ -130,7 +182,7 @@ def added_spans(text: str, base: list[tuple[int, int, int]], allowed: re.Pattern
     return rest
 
 
-def scan(text: str | None, allowed: re.Pattern[str]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def scan(text: str | None, allowed: AllowList) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     base = base_spans(text or "")
     return base, added_spans(text or "", base, allowed)
 
@@ -139,8 +191,8 @@ def spelled(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
-def allow_list(patterns: tuple[str, ...] = ALLOWED) -> re.Pattern[str]:
-    flagged = [(p[4:], "i") if p.startswith("(?i)") else (p, "") for p in patterns]
+def allow_list(patterns: tuple[str, ...] = ALLOWED) -> AllowList:
+    flagged = [(p[4:], "i") if p.startswith("(?i)") else (p, "") for p in patterns if p != PATH]
     joined = []
     groups = 0
     for body, flag in flagged:  # each pattern keeps its own flag and group numbers
@@ -148,7 +200,7 @@ def allow_list(patterns: tuple[str, ...] = ALLOWED) -> re.Pattern[str]:
         body = re.sub(r"\\(\d+)", lambda m, shift=groups: f"\\{int(m[1]) + shift}", body)
         joined.append(f"(?{flag}:{body})" if flag else f"(?:{body})")
         groups += own
-    return re.compile("|".join(joined) or r"(?!)")
+    return AllowList(re.compile("|".join(joined) or r"(?!)"), PATH in patterns)
 
 
 def find_secrets(docs: DataFrame, patterns: tuple[str, ...] = ALLOWED) -> DataFrame:
@@ -178,7 +230,7 @@ def find_secrets(docs: DataFrame, patterns: tuple[str, ...] = ALLOWED) -> DataFr
         "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_entropy bigint")
 
 
-def masked(text: str, allowed: re.Pattern[str], mask: str) -> str:
+def masked(text: str, allowed: AllowList, mask: str) -> str:
     """The text with each span, or run of overlapping spans, replaced by ``mask``."""
     base, added = scan(text, allowed)
     out, done, upto = [], 0, 0
