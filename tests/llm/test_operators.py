@@ -320,6 +320,17 @@ def test_main_text(inside, wanted):
     assert html_text.main_text(PAGE % inside) == wanted
 
 
+@pytest.mark.parametrize("start, end", [
+    ('<div class="content with-sidebar">', "</div>"), ('<div class="no-sidebar entry-content">', "</div>"),
+    ('<div class="content share-enabled">', "</div>"), ('<article class="post has-comments">', "</article>"),
+    ('<form action=/page><div>', "</div></form>"), ('<div id="right-sidebar-layout"><article>', "</article></div>"),
+    ('<div class="header-wrap"><div>', "</div></div>"), ('<div class="form"><main>', "</main></div>"),
+])
+def test_main_text_in_elements_named_like_boilerplate(start, end):
+    words = ["Some long text, with commas, and more words to score well.", "Closing words, of this article, quite long as well."]
+    assert html_text.main_text(PAGE % f"{start}<p>{words[0]}</p><p>{words[1]}</p>{end}") == "\n".join(words)
+
+
 def test_main_text_of_odd_pages(spark):
     assert html_text.main_text(None) == html_text.main_text("") == ""
     assert html_text.main_text("<div>" * 5000 + "<p>Deep text, long enough to be found.") == "Deep text, long enough to be found."

@@ -3,6 +3,8 @@
 Paragraphs earn points for their length and commas and pass them to their parent in full, to the next ancestors in
 shrinking shares. A container's points are discounted by the share of its text that stands in links. The best container is
 kept, with its siblings that read like part of it, and its text is given block by block.
+
+Elements with names of boilerplate, and forms, are dropped before that, unless the page's article stands in them.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ BOILERPLATE = re.compile(
     r"comments?|comment-?(?:list|section|form)|commentlist|disqus|discussion|replies|respond|responses|form|login|sign-?up|"
     r"subscribe|newsletter|share|sharing|social|related|recommend\w*|breadcrumbs?|pagination|pager|popup|modal|overlay|"
     r"widget|skip-?link|toolbar|copyright)(?:$|[^a-z0-9])")
+#: Names that say what the page around an element has or allows, not what the element is.
+STATE = re.compile(r"(?:has|have|no|with|without|show|hide)[-_].*|.*[-_](?:enabled|disabled|open|closed)")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 CONTAINERS = frozenset(("article", "main"))
 
@@ -47,12 +51,20 @@ SIBLING_SHARE, SIBLING_CHARS, SIBLING_LINKS = 0.2, 80, 0.25
 MENU_LINKS = 0.6
 
 
+EXACT, PART = 1, 2
+
+
+def _spaced(names: str) -> str:
+    return re.sub(r"[_\s]+", " ", names).lower()
+
+
 class Tree(HTMLParser):
     """Elements in page order with their parents, and their texts with block borders between them (``None``)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.dropped = ["#page"], [-1], [False]
+        self.named = [0]
         self.stack = [0]
         self.texts: list[tuple[int, str | None]] = []
 
@@ -91,21 +103,34 @@ class Tree(HTMLParser):
         at = len(self.tags)
         self.tags.append(tag)
         self.parents.append(parent)
-        self.dropped.append(self.dropped[parent] or self._is_boilerplate(tag, parent, dict(attrs)))
+        self.dropped.append(self.dropped[parent] or self._is_boilerplate(tag, dict(attrs)))
+        self.named.append(0 if self.dropped[at] else self._boilerplate_name(tag, dict(attrs)))
         self.stack.append(at)
 
-    def _is_boilerplate(self, tag: str, parent: int, attrs: dict[str, str | None]) -> bool:
-        if tag in SKIPPED or "hidden" in attrs or attrs.get("aria-hidden") == "true":
+    def _is_boilerplate(self, tag: str, attrs: dict[str, str | None]) -> bool:
+        if tag in SKIPPED and tag != "form" or "hidden" in attrs or attrs.get("aria-hidden") == "true":
             return True
         if (attrs.get("role") or "").lower() in BOILERPLATE_ROLES or HIDDEN.search(attrs.get("style") or ""):
             return True
-        if tag == "header":  # that of the article holds its headline
-            return not any(self.tags[i] in CONTAINERS for i in self.stack)
+        # that of the article holds its headline
+        return tag == "header" and not any(self.tags[i] in CONTAINERS for i in self.stack)
+
+    def _boilerplate_name(self, tag: str, attrs: dict[str, str | None]) -> int:
+        """Whether a name of the element is one of boilerplate (``EXACT``) or holds one (``PART``, so does a form), or 0."""
+        if tag == "header":
+            return 0
         if tag in ("html", "body", "article", "main", *HEADINGS):
             names = attrs.get("class") or "" if tag == "article" else ""
         else:
             names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-        return bool(names.strip()) and bool(BOILERPLATE.search(re.sub(r"[_\s]+", " ", names).lower()))
+        found = PART if tag == "form" else 0
+        if names.strip() and BOILERPLATE.search(_spaced(names)):
+            tokens = [t for t in names.lower().split() if not STATE.fullmatch(t)]
+            if any(BOILERPLATE.fullmatch(_spaced(t)) for t in tokens):
+                return EXACT
+            if BOILERPLATE.search(_spaced(" ".join(tokens))):
+                return PART
+        return found
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -156,16 +181,50 @@ def _sizes(tree: Tree) -> tuple[list[int], list[int], list[int], list[int], list
     return chars, linked, commas, links, own
 
 
-def _points(tree: Tree, sizes: tuple[list[int], ...]) -> list[float]:
-    chars, linked, commas, _, own = sizes
-    points = [0.0] * len(tree.tags)
+def _earned(tree: Tree, sizes: tuple[list[int], ...]) -> list[float]:
+    """What each element that is a paragraph, or has text of its own like one, earns."""
+    chars, _, commas, _, own = sizes
+    earned = [0.0] * len(tree.tags)
     for i, tag in enumerate(tree.tags):
         if tree.dropped[i] or i == 0 or tag in INLINE or tag in HEADINGS:
             continue
         text = chars[i] if tag in PARAGRAPHS else own[i]
         if text < PARAGRAPH_CHARS:
             continue
-        earned = 1 + commas[i] * (1 if tag in PARAGRAPHS else own[i] / max(chars[i], 1)) + min(text / POINT_CHARS, POINT_LIMIT)
+        earned[i] = 1 + commas[i] * (1 if tag in PARAGRAPHS else own[i] / max(chars[i], 1)) + min(text / POINT_CHARS, POINT_LIMIT)
+    return earned
+
+
+def _drop_named(tree: Tree) -> None:
+    """Drop the elements with names of boilerplate in which the page's article does not stand.
+
+    It stands in one that has a main element, or the page's articles and most of its paragraph points. If the name only holds
+    a word of boilerplate, most of the points are enough, or the page's only article.
+    """
+    for kind in (EXACT, PART):
+        if kind not in tree.named:
+            continue
+        count = len(tree.tags)
+        inside = _earned(tree, _sizes(tree))
+        real = [t in CONTAINERS and not tree.dropped[i] and not tree.named[i] for i, t in enumerate(tree.tags)]
+        articles, mains = [int(x) for x in real], [int(x and t == "main") for x, t in zip(real, tree.tags, strict=True)]
+        for i in range(count - 1, 0, -1):
+            for values in (inside, articles, mains):
+                values[tree.parents[i]] += values[i]
+        for i in range(1, count):
+            if tree.named[i] == kind and not tree.dropped[i]:
+                most, whole = 2 * inside[i] > inside[0], articles[i] == articles[0] > 0
+                held = most or whole and articles[i] == 1 if kind == PART else mains[i] > 0 or whole and most
+                tree.dropped[i] = not held
+            tree.dropped[i] = tree.dropped[i] or tree.dropped[tree.parents[i]]
+
+
+def _points(tree: Tree, sizes: tuple[list[int], ...]) -> list[float]:
+    chars, linked = sizes[:2]
+    points = [0.0] * len(tree.tags)
+    for i, (tag, earned) in enumerate(zip(tree.tags, _earned(tree, sizes), strict=True)):
+        if not earned:
+            continue
         if tag not in PARAGRAPHS:
             points[i] += earned
         above, share = tree.parents[i], 1.0
@@ -182,6 +241,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     tree = _parse(html)
+    _drop_named(tree)
     sizes = _sizes(tree)
     chars, linked, _, links, _ = sizes
     points = _points(tree, sizes)
