@@ -243,6 +243,14 @@ def test_first_reply_answers_the_request(spark):
     assert [(r.receivedAt.second, r.timed_out) for r in rows] == [(1, False)]
 
 
+def test_each_request_row_is_answered(spark):
+    requests = spark.sql("select id as clientMsgId, timestamp_ntz'2024-01-01 00:00:00' as sentAt from values ('a'), ('a'), ('b'), (null), (null) as t(id)")
+    replies = spark.sql("select 'a' as clientMsgId, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, s) as receivedAt from values (2), (1), (9) as t(s)")
+    rows = Q.match_responses(requests, replies, 5).collect()
+    got = sorted((r.clientMsgId or "", r.receivedAt.second if r.receivedAt else -1, r.timed_out) for r in rows)
+    assert got == [("", -1, True), ("", -1, True), ("a", 1, False), ("a", 1, False), ("b", -1, True)]
+
+
 def test_margin_is_exact_and_unpriced_positions_are_counted(spark):
     from tickloom.operators import accounts as A
 

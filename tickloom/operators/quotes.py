@@ -289,11 +289,11 @@ def match_responses(
     requests: DataFrame, responses: DataFrame, timeout_seconds: int, sent: str = "sentAt",
     received: str = "receivedAt",
 ) -> DataFrame:
-    """Each request with its first response inside the time-out; without one it is timed out."""
+    """Each request row with its first response inside the time-out; without one it is timed out."""
     late = F.col(sent) + F.expr(f"interval {timeout_seconds} seconds")
+    asked = requests.select("clientMsgId", sent)
     inner = responses.withColumnRenamed("clientMsgId", "__id")
-    return requests.join(
-        inner,
-        (F.col("clientMsgId") == F.col("__id")) & F.col(received).between(F.col(sent), late),
-        "left",
-    ).groupBy("clientMsgId", sent).agg(F.min(received).alias(received)).withColumn("timed_out", F.col(received).isNull())
+    first = asked.distinct().join(
+        inner, (F.col("clientMsgId") == F.col("__id")) & F.col(received).between(F.col(sent), late),
+    ).groupBy("clientMsgId", sent).agg(F.min(received).alias(received))
+    return asked.join(first, ["clientMsgId", sent], "left").withColumn("timed_out", F.col(received).isNull())
