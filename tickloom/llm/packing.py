@@ -8,6 +8,7 @@ plan says which sequence and offset the pieces of a length get by their rank, an
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -25,14 +26,22 @@ CAPACITY = 2048
 END_ID = 0
 END = pack_ids("<I", END_ID)
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-#: Distinct words whose ids a Python worker remembers before it starts afresh.
-WORD_CACHE = 1_000_000
-
-
-class WordTokens(dict[bytes, bytes]):
-    """Token ids of each word between ASCII white space, as little-endian 32-bit numbers, remembered.
-
-    The tokenizer splits at white space before anything else, so the ids of a text are those of its words in order.
+#: Bytes of tokenized parts that a Python worker remembers before it starts afresh, and what an entry takes besides its own.
+CACHE_BYTES, ENTRY_BYTES = 240_000_000, 200
+#: Texts whose pieces can be told without the tokenizer: its normalizer only lowers their letters, and its own pattern, as far
+#: as these characters go, is ``PIECE``. A text with ``SPECIAL`` may hold a special token.
+PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*+")
+SPECIAL = "<|"
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\t-\r ]+")
+WORD_END = "</w>"
+
+
+class PartTokens(dict[str | bytes, bytes]):
+    """Token ids of each part of texts, as little-endian 32-bit numbers, remembered.
+
+    The parts of a plain text are the pieces that the tokenizer would cut it into; those of a batch are tokenized as one text,
+    in which each ends with a token that ends a word. The parts of another text are its words between ASCII white space, at
+    which the tokenizer splits before anything else, as bytes.
     """
 
     def __init__(self, path: str):
@@ -41,33 +50,64 @@ class WordTokens(dict[bytes, bytes]):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def learn(self, texts: list[list[bytes]]) -> None:
-        """Remember the words of a batch of texts."""
-        if len(self) > WORD_CACHE:
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = bytearray(max(vocabulary.values()) + 1)
+        for token, number in vocabulary.items():
+            self.ends[number] = token.endswith(WORD_END)
+        self.held = 0
+
+    @staticmethod
+    def parts(text: str | None) -> list[str] | list[bytes]:
+        if not text:
+            return []
+        plain = PLAIN.fullmatch(text) and SPECIAL not in text
+        return PIECE.findall(text.lower()) if plain else text.encode("utf-8", "replace").split()
+
+    def learn(self, texts: list[list]) -> None:
+        """Remember the parts of a batch of texts."""
+        if self.held > CACHE_BYTES:
             self.clear()
-        unseen = list(set().union(*texts).difference(self))
-        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in unseen], add_special_tokens=False)
-        for word, tokens in zip(unseen, found, strict=True):
+            self.held = 0
+        unseen = [p for p in set().union(*texts) if p not in self]
+        self._learn_pieces([p for p in unseen if isinstance(p, str)])
+        words = [p for p in unseen if isinstance(p, bytes)]
+        found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        for word, tokens in zip(words, found, strict=True):
             ids = tokens.ids
-            self[word] = pack_ids(f"<{len(ids)}I", *ids)
+            self._keep(word, pack_ids(f"<{len(ids)}I", *ids))
+
+    def _learn_pieces(self, unseen: list[str]) -> None:
+        if not unseen:
+            return
+        ids = self.tokenizer.encode_batch_fast([" ".join(unseen)], add_special_tokens=False)[0].ids
+        packed, ends, start, at = pack_ids(f"<{len(ids)}I", *ids), self.ends, 0, iter(unseen)
+        for place, number in enumerate(ids, 1):
+            if ends[number]:
+                self._keep(next(at), packed[4 * start:4 * place])
+                start = place
+        if start != len(ids) or next(at, None) is not None:
+            raise ValueError("the tokenizer does not end each piece with a token that ends a word")
+
+    def _keep(self, part: str | bytes, ids: bytes) -> None:
+        self[part] = ids
+        self.held += len(part) + len(ids) + ENTRY_BYTES
 
-    def ids(self, words: list[bytes]) -> bytes:
-        """Token ids of the words, which are remembered, and the end id."""
-        return b"".join(map(self.__getitem__, words)) + END
+    def ids(self, parts: list) -> bytes:
+        """Token ids of the parts, which are remembered, and the end id."""
+        return b"".join(map(self.__getitem__, parts)) + END
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
     """Per piece of a document ``doc_id, piece, start, length, ids_crc32``; a null text has the end id alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = held(WordTokens, tokenizer)
+        tokens = held(PartTokens, tokenizer)
         for batch in batches:
             columns: tuple[list, ...] = ([], [], [], [], [])
-            texts = [t.encode("utf-8", "replace").split() if t else [] for (t,) in rows_in(batch, "text")]
+            texts = [tokens.parts(t) for (t,) in rows_in(batch, "text")]
             tokens.learn(texts)
-            for (doc,), words in zip(rows_in(batch, "doc_id"), texts, strict=True):
-                ids = tokens.ids(words)
+            for (doc,), parts in zip(rows_in(batch, "doc_id"), texts, strict=True):
+                ids = tokens.ids(parts)
                 for number, start in enumerate(range(0, len(ids) // 4, capacity)):
                     part = ids[4 * start:4 * (start + capacity)]
                     for column, value in zip(columns, (doc, number, start, len(part) // 4, zlib.crc32(part)), strict=True):
