@@ -77,16 +77,56 @@ def test_previous(rows, frame, max_rows):
     assert got == dict(zip(frame.id, clean(shifted), strict=True))
 
 
-def test_chunks_stay_small_on_a_hot_key(rows):
-    """The key with half of all rows, many in one minute, is cut well below its size."""
-    line = O.Timeline(("k",), "ts", ("id",), 20)
-    sizes = O._cut(rows, line).groupBy(*line.chunk).count()
+def ranges_of(rows, line):
+    cuts = O.splitters(rows, line).cache()
+    most = cuts.agg(F.max(F.size("__splitters"))).first()[0]
+    return O.in_ranges(rows, line, cuts, most)
+
+
+def test_ranges_stay_small_on_a_hot_key(rows):
+    """The key with half of all rows, a dense day among them, is cut into ranges of equal size; small keys are not cut."""
     hot = rows.filter("k = 7").count()
-    assert hot > 200
-    whole_days = rows.filter("k = 7").groupBy(F.to_date("ts")).count().agg(F.max("count")).first()[0]
-    spread = O._cut(rows.filter("day(ts) <> 4"), line).groupBy(*line.chunk).count().agg(F.max("count")).first()[0]
-    assert spread <= 40 < whole_days
-    assert sizes.agg(F.sum("count")).first()[0] == rows.count()
+    line = O.Timeline(("k",), "ts", ("id",), hot // 10)
+    sizes = ranges_of(rows, line).groupBy(*line.chunk).count().collect()
+    assert hot > 200 and sum(r["count"] for r in sizes) == rows.count()
+    assert max(r["count"] for r in sizes) <= hot // 10
+    assert max(r["__range"] for r in sizes if r.k == 7) >= 9
+
+
+def test_one_instant_is_cut_too(spark):
+    """A thousand rows with one stamp, told apart by the tie column alone."""
+    rows = spark.createDataFrame([(1, BASE, (i * 37) % 1000, i) for i in range(1000)], DDL).repartition(7)
+    line = O.Timeline(("k",), "ts", ("id",), 10)
+    sizes = ranges_of(rows, line).groupBy("__range").agg(F.count("*").alias("n"), F.min("id"), F.max("id")).collect()
+    assert max(r.n for r in sizes) <= 20 and len(sizes) == 100
+    ends = sorted((r["min(id)"], r["max(id)"], r["__range"]) for r in sizes)
+    assert all(a[1] < b[0] and a[2] < b[2] for a, b in zip(ends, ends[1:], strict=False))
+    sums = as_map(O.running_sum(rows, line, {"s": F.lit(1).cast("long")}), "s")
+    assert sums == {i: i + 1 for i in range(1000)}
+
+
+def test_sampled_splitters_keep_near_the_wanted_size(spark):
+    """With one row in fifteen sampled, ranges stay within half of the wanted size."""
+    rows = spark.range(40_000).selectExpr(
+        "1L as k", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id div 20000 as int)) as ts", "id", "id as v")
+    line = O.Timeline(("k",), "ts", ("id",), 1000)
+    sizes = [r["count"] for r in ranges_of(rows, line).groupBy("__range").count().collect()]
+    assert 30 <= len(sizes) <= 50 and max(sizes) < 1500
+
+
+def test_source_is_read_twice_with_a_hot_key(spark, rows, tmp_path):
+    """Once for the sample, once for the rows; all else reads the stored ranges."""
+    rows.write.parquet(f"{tmp_path}/rows")
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(v):
+        seen.add(1)
+        return v
+
+    source = spark.read.parquet(f"{tmp_path}/rows").withColumn("v", counted.asNondeterministic()("id"))
+    O.running_sum(source, O.Timeline(("k",), "ts", ("id",), 20), {"s": F.col("v")}).collect()
+    assert rows.count() <= seen.value <= 2 * rows.count()
 
 
 @pytest.mark.parametrize("max_rows", [10_000, 5])

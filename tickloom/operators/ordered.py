@@ -1,17 +1,20 @@
 """Per-key operators that depend on row order, written so that no key is ever one task.
 
 A plain ``Window.partitionBy(key)`` puts a key's whole history into one task, which fails as soon as one
-symbol or account owns a large share of the table. Here the keys are counted first. A key with at most
-``max_rows`` rows is one window group. The time line of a larger one is cut into chunks:
-
-1. window functions run inside ``(key, chunk)``;
-2. one summary row per chunk is aggregated with map-side combine;
-3. the summaries, a small table, are scanned per key to get the value carried into each chunk;
-4. the carry is joined back on ``(key, chunk)``, which the detail rows are already partitioned by.
-
-Steps 2 to 4 read the rows of large keys only; adaptive execution leaves them out when there are none.
-Chunks are days; a day with more than ``max_rows`` rows is cut further into equal time slices, as many as
-its row count asks for. Keys must not be null and ``(ts, *tie)`` must order a key's rows uniquely.
+symbol or account owns a large share of the table. Here the rows of a large key are cut into ranges of the
+full order ``(ts, *tie)``, so that a day or a single instant with many rows is cut like any other stretch:
+
+1. a sample, rows picked by the hash of their position, says which keys have more than ``max_rows`` rows and
+   gives their splitters, one for every ``max_rows`` rows;
+2. each row finds its range by binary search among its key's splitters, and window functions run inside
+   ``(key, range)``;
+3. one summary row per range is aggregated with map-side combine and scanned per key for the value carried
+   into each range, which is joined back.
+
+Without a large key the second step is all there is: one shuffle and one window. With one, the rows of step 2
+are stored, so the source is read twice, for the sample and for the rows. What is broadcast, splitters and
+carries, has an entry per ``max_rows`` rows. Keys must not be null and ``(ts, *tie)`` must order a key's rows
+uniquely.
 """
 
 from __future__ import annotations
@@ -22,12 +25,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.times import epoch_micros
+from tickloom.session import stored
 
-DAY_MICROS = 86_400_000_000
 MAX_CHUNK_ROWS = 2_000_000
+#: Sampled rows per range. A range strays from ``max_rows`` by an eighth of it, as one standard deviation.
+SAMPLED = 64
 
-_HOT, _DAY, _SLICE = "__hot", "__day", "__slice"
+_SPLITTERS, _RANGE = "__splitters", "__range"
 
 
 @dataclass(frozen=True)
@@ -45,69 +49,92 @@ class Timeline:
 
     @property
     def chunk(self) -> list[str]:
-        return [*self.keys, _DAY, _SLICE]
+        return [*self.keys, _RANGE]
 
     def position(self) -> Column:
         return F.struct(*self.order)
 
-    def rows(self) -> Window:
-        return Window.partitionBy(*self.chunk).orderBy(*self.order)
+    def rows(self, split: bool = True) -> Window:
+        return Window.partitionBy(*(self.chunk if split else self.keys)).orderBy(*self.order)
 
     def chunks(self) -> Window:
-        return Window.partitionBy(*self.keys).orderBy(_DAY, _SLICE)
+        return Window.partitionBy(*self.keys).orderBy(_RANGE)
 
 
-def _cut(df: DataFrame, line: Timeline) -> DataFrame:
-    """Add the chunk columns and ``__hot``, true in rows of large keys.
+def splitters(df: DataFrame, line: Timeline) -> DataFrame:
+    """Positions at which the rows of each large key are cut, in order, as one array per key.
 
-    Both lists that are broadcast, large keys and overfull days, have entries that stand for more than
-    ``max_rows`` rows each, so they are smaller than the table by that factor.
+    One row in ``every`` is sampled. Where fewer than ``SAMPLED`` rows make a range, all rows are.
     """
-    keys = list(line.keys)
-    micros = epoch_micros(F.col(line.ts))
-    day = F.floor(micros / DAY_MICROS)
-    hot = F.broadcast(
-        df.groupBy(*keys).agg((F.count(F.lit(1)) > line.max_rows).alias(_HOT)).filter(F.col(_HOT))
-    )
-    overfull = F.broadcast(
-        df.join(hot, keys).groupBy(*keys, day.alias(_DAY))
-        .agg(F.ceil(F.count(F.lit(1)) / line.max_rows).alias("__slices"))
-        .filter(F.col("__slices") > 1)
-    )
-    offset = micros - F.col(_DAY) * DAY_MICROS
-    return (
-        df.join(hot, keys, "left")
-        .withColumn(_DAY, F.when(F.col(_HOT), day).otherwise(F.lit(0).cast("bigint")))
-        .join(overfull, [*keys, _DAY], "left")
-        .withColumn(_SLICE, F.coalesce(F.floor(offset * F.col("__slices") / DAY_MICROS), F.lit(0).cast("bigint")))
-        .drop("__slices")
-    )
+    every = max(1, line.max_rows // SAMPLED)
+    spacing = line.max_rows // every
+    sample = df.select(*line.keys, *line.order).filter(
+        F.pmod(F.xxhash64(*line.keys, *line.order), F.lit(every)) == 0)
+    inside = Window.partitionBy(*line.keys)
+    placed = sample.withColumn("__n", F.row_number().over(inside.orderBy(*line.order)) - 1)
+    # the first row of a key starts its first range and splits nothing
+    cuts = placed.filter((F.col("__n") > 0) & (F.col("__n") % spacing == 0))
+    return cuts.groupBy(*line.keys).agg(F.sort_array(F.collect_list(line.position())).alias(_SPLITTERS))
+
+
+def in_ranges(df: DataFrame, line: Timeline, cuts: DataFrame, most: int) -> DataFrame:
+    """The rows with the number of their range: how many splitters of their key are not above them, ``most`` at most."""
+    position = line.position()
+
+    def halve(found: Column, _: Column) -> Column:
+        middle = F.shiftright(found["low"] + found["high"], 1)
+        passed = F.get(F.col(_SPLITTERS), middle) <= position
+        return (
+            F.when(found["low"] >= found["high"], found)
+            .when(passed, F.struct((middle + 1).alias("low"), found["high"].alias("high")))
+            .otherwise(F.struct(found["low"].alias("low"), middle.alias("high")))
+        )
+
+    whole = F.struct(F.lit(0).alias("low"), F.size(_SPLITTERS).alias("high"))
+    steps = F.sequence(F.lit(1), F.lit(most.bit_length()))
+    search = F.aggregate(steps, whole, halve, lambda found: found["low"])
+    number = F.when(F.col(_SPLITTERS).isNotNull(), search).otherwise(0)
+    return df.join(F.broadcast(cuts), list(line.keys), "left").withColumn(_RANGE, number).drop(_SPLITTERS)
 
 
 def _carried(
     df: DataFrame,
     line: Timeline,
-    local: dict[str, Column],
+    local: Callable[[Window], dict[str, Column]],
     summary: dict[str, Column],
     carry: dict[str, Callable[[Window], Column]],
     final: dict[str, Column],
 ) -> DataFrame:
-    """The four steps above. ``local`` and ``summary`` see the rows, ``carry`` the summaries,
-    ``final`` both ``local`` and ``carry``."""
-    cut = _cut(df, line)
-    rows = cut.withColumns(local)
-    chunks = cut.filter(F.col(_HOT)).groupBy(*line.chunk).agg(*[c.alias(n) for n, c in summary.items()])
-    carries = chunks.withColumns({n: f(line.chunks()) for n, f in carry.items()}).select(*line.chunk, *carry)
-    joined = rows.join(carries, line.chunk, "left")
+    """``local`` sees the rows of a range, ``summary`` too, ``carry`` the summaries, ``final`` both ``local`` and ``carry``."""
+    cuts = stored(splitters(df, line), "splitters")
+    most = cuts.agg(F.max(F.size(_SPLITTERS))).first()[0]
+    if most is None:
+        rows = df.withColumns(local(line.rows(split=False)))
+        nothing = {n: F.lit(None).cast(_kind(df, summary, n)) for n in carry}
+        joined = rows.withColumns(nothing)
+    else:
+        rows = stored(in_ranges(df, line, cuts, most).withColumns(local(line.rows())), "ranges")
+        large = rows.join(F.broadcast(cuts.select(*line.keys)), list(line.keys), "left_semi")
+        chunks = large.groupBy(*line.chunk).agg(*[c.alias(n) for n, c in summary.items()])
+        carries = chunks.withColumns({n: f(line.chunks()) for n, f in carry.items()}).select(*line.chunk, *carry)
+        joined = rows.join(F.broadcast(carries), line.chunk, "left")
     return joined.withColumns(final).select(*df.columns, *[n for n in final if n not in df.columns])
 
 
+def _kind(df: DataFrame, summary: dict[str, Column], carried: str):
+    """Type of the summary that a carry continues."""
+    name = carried.replace("__c_", "__s_", 1)
+    return df.agg(summary[name].alias(name)).schema[name].dataType
+
+
 def fill_forward(df: DataFrame, line: Timeline, columns: dict[str, Column]) -> DataFrame:
     """Last non-null value of each expression up to and including the row."""
-    local, summary, carry, final = {}, {}, {}, {}
-    upto = line.rows().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    def local(rows: Window) -> dict[str, Column]:
+        upto = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return {f"__l_{name}": F.last(value, ignorenulls=True).over(upto) for name, value in columns.items()}
+
+    summary, carry, final = {}, {}, {}
     for name, value in columns.items():
-        local[f"__l_{name}"] = F.last(value, ignorenulls=True).over(upto)
         summary[f"__s_{name}"] = F.max_by(value, F.when(value.isNotNull(), line.position()))
         carry[f"__c_{name}"] = lambda w, n=f"__s_{name}": F.last(F.col(n), ignorenulls=True).over(
             w.rowsBetween(Window.unboundedPreceding, -1)
@@ -118,10 +145,12 @@ def fill_forward(df: DataFrame, line: Timeline, columns: dict[str, Column]) -> D
 
 def running_sum(df: DataFrame, line: Timeline, columns: dict[str, Column]) -> DataFrame:
     """Sum of each expression over the key's rows up to and including the row."""
-    local, summary, carry, final = {}, {}, {}, {}
-    upto = line.rows().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    def local(rows: Window) -> dict[str, Column]:
+        upto = rows.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return {f"__l_{name}": F.sum(value).over(upto) for name, value in columns.items()}
+
+    summary, carry, final = {}, {}, {}
     for name, value in columns.items():
-        local[f"__l_{name}"] = F.sum(value).over(upto)
         summary[f"__s_{name}"] = F.sum(value)
         carry[f"__c_{name}"] = lambda w, n=f"__s_{name}": F.sum(F.col(n)).over(
             w.rowsBetween(Window.unboundedPreceding, -1)
@@ -132,10 +161,12 @@ def running_sum(df: DataFrame, line: Timeline, columns: dict[str, Column]) -> Da
 
 def previous(df: DataFrame, line: Timeline, columns: dict[str, Column]) -> DataFrame:
     """Value of each expression in the key's preceding row; null in its first row."""
-    local = {"__first": F.row_number().over(line.rows()) == 1}
+    def local(rows: Window) -> dict[str, Column]:
+        lags = {f"__l_{name}": F.lag(value).over(rows) for name, value in columns.items()}
+        return {"__first": F.row_number().over(rows) == 1} | lags
+
     summary, carry, final = {}, {}, {}
     for name, value in columns.items():
-        local[f"__l_{name}"] = F.lag(value).over(line.rows())
         summary[f"__s_{name}"] = F.max_by(value, line.position())
         carry[f"__c_{name}"] = lambda w, n=f"__s_{name}": F.lag(F.col(n)).over(w)
         final[name] = F.when(F.col("__first"), F.col(f"__c_{name}")).otherwise(F.col(f"__l_{name}"))
