@@ -106,13 +106,15 @@ def _carried(
     final: dict[str, Column],
 ) -> DataFrame:
     """``local`` sees the rows of a range, ``summary`` too, ``carry`` the summaries, ``final`` both ``local`` and ``carry``."""
-    cuts = stored(splitters(df, line), "splitters")
-    most = cuts.agg(F.max(F.size(_SPLITTERS))).first()[0]
-    if most is None:
+    found = splitters(df, line)
+    cuts = found.collect()  # one position per ``max_rows`` rows
+    if not cuts:
         rows = df.withColumns(local(line.rows(split=False)))
         nothing = {n: F.lit(None).cast(_kind(df, summary, n)) for n in carry}
         joined = rows.withColumns(nothing)
     else:
+        most = max(len(row[_SPLITTERS]) for row in cuts)
+        cuts = df.sparkSession.createDataFrame(cuts, found.schema)
         rows = stored(in_ranges(df, line, cuts, most).withColumns(local(line.rows())), "ranges")
         large = rows.join(F.broadcast(cuts.select(*line.keys)), list(line.keys), "left_semi")
         chunks = large.groupBy(*line.chunk).agg(*[c.alias(n) for n, c in summary.items()])

@@ -1,14 +1,18 @@
 """Streaming queries: the given tables as file streams, run to the end, results read back.
 
-Append-mode results hold the closed windows only; their SQL counterparts cut at the final watermark.
+Append-mode results hold the closed windows only; their SQL counterparts cut at the final watermark. Queries with state of
+their own get their rows in several loads, each run to the end and gone on from; some rows come a load late.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
-from tickloom.functions.times import parse_iso
+from tickloom.functions.times import epoch_micros, parse_iso
 from tickloom.operators import quotes as Q
 from tickloom.operators.ordered import Timeline
 from tickloom.plans import quotes as batch
@@ -22,9 +26,10 @@ from tickloom.session import workspace
 from tickloom.sources.readers import read_event_stream
 from tickloom.sources.writers import bus_messages
 from tickloom.streaming import live as L
-from tickloom.streaming.state import KeyedLog, read_batches
+from tickloom.streaming.state import HeldRows, KeyedState, read_batches
 
 DELAY = "10 minutes"
+DELAY_SECONDS, JITTER_SECONDS, LOADS, BUCKETS = 600, 420, 3, 16
 LINE = Timeline(("account",), "ts", ("event_id",))
 _CLOSED = "(select max(ts) from v_spot) - interval 10 minute"
 
@@ -138,8 +143,22 @@ def fanout(db: Tables):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _log(db: Tables, path: str, view: str, keys: list[str], order: list[str]) -> KeyedLog:
-    return KeyedLog(db.spark, path, db.view(view).schema, keys, order)
+def in_loads(rows: DataFrame, ts: str, inbox: str, start: Callable[[DataFrame], StreamingQuery], loads: int = LOADS) -> None:
+    """Land the rows in ``loads`` parts by time, rows near a border in either part, and let the stream take each part
+    before the next one is there, every time from its checkpoint."""
+    at = epoch_micros(F.col(ts))
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    if low is None:
+        return
+    strayed = at + F.pmod(F.xxhash64(*rows.columns), F.lit(JITTER_SECONDS * 1_000_000)) - low
+    part = F.least(F.floor(strayed * loads / (high - low + 1)).cast("int"), F.lit(loads - 1))
+    for k in range(loads):
+        rows.filter(part == k).write.mode("append").parquet(inbox)
+        drain(start(rows.sparkSession.readStream.schema(rows.schema).parquet(inbox)))
+
+
+def _state(db: Tables, path: str, view: str, keys: list[str], order: list[str], **options) -> KeyedState:
+    return KeyedState(db.spark, path, db.view(view).schema, keys, order, BUCKETS, **options)
 
 
 @query("live_book", ("v_depth",), """
@@ -147,17 +166,17 @@ with last as (select symbolId, quoteId, arg_max(row(action, size), row(ts, event
 select symbolId, quoteId, a[2] as size from last where a[1] = 'N'""")
 def live_book(db: Tables):
     out, checkpoint = _folders(db, "live-book")
-    log = _log(db, out, "v_depth", ["symbolId", "quoteId"], ["ts", "event_id"])
-    drain(L.live_latest(db.stream("v_depth"), log, checkpoint))
-    return Q.price_book(log.current())
+    state = _state(db, out, "v_depth", ["symbolId", "quoteId"], ["ts", "event_id"], gone=F.col("action") == "D")
+    in_loads(db.view("v_depth"), "ts", f"{out}-in", lambda rows: L.live_latest(rows, state, checkpoint))
+    return Q.price_book(state.current())
 
 
 @query("live_order_state", ("v_orders",), LATEST_STATE)
 def live_order_state(db: Tables):
     out, checkpoint = _folders(db, "live-orders")
-    log = _log(db, out, "v_orders", ["positionId"], ["createdAt", "orderId"])
-    drain(L.live_latest(db.stream("v_orders"), log, checkpoint))
-    return log.current()
+    state = _state(db, out, "v_orders", ["positionId"], ["createdAt", "orderId"])
+    in_loads(db.view("v_orders"), "createdAt", f"{out}-in", lambda rows: L.live_latest(rows, state, checkpoint))
+    return state.current()
 
 
 @query("symbol_refresh", ("v_symbols",), """
@@ -172,42 +191,73 @@ def symbol_refresh(db: Tables):
         return symbols.join(ids.withColumnRenamed("ts", "changedAt"), "symbolId")
 
     shape = symbols.withColumn("changedAt", F.lit(None).cast("timestamp_ntz")).schema
-    log = KeyedLog(db.spark, out, shape, ["symbolId"], ["changedAt"])
-    drain(L.refresh_symbols(db.stream("v_spot").select("symbolId", "ts"), load, log, checkpoint))
-    return log.current()
+    state = KeyedState(db.spark, out, shape, ["symbolId"], ["changedAt"], BUCKETS)
+    in_loads(db.view("v_spot").select("symbolId", "ts"), "ts", f"{out}-in",
+             lambda rows: L.refresh_symbols(rows, load, state, checkpoint))
+    return state.current()
+
+
+def _levels(sql: str) -> str:
+    """The SQL over the rows whose time has come when the stream ends."""
+    settled = "v_settled as (select * from v_levels where ts <= (select max(ts) from v_levels) - interval 10 minute)"
+    return f"with {settled}, {sql.strip().removeprefix('with ').replace('from v_levels', 'from v_settled')}"
+
+
+def _changes(db: Tables, out: str) -> tuple[KeyedState, HeldRows]:
+    schema = db.view("v_levels").schema
+    state = KeyedState(db.spark, f"{out}-state", schema, ["account"], ["ts", "event_id"], BUCKETS)
+    return state, HeldRows(db.spark, f"{out}-held", schema, ["account"], ["ts", "event_id"], DELAY_SECONDS)
 
 
-@query("live_alerts", ("v_levels",), batch.EDGES)
+@query("live_alerts", ("v_levels",), _levels(batch.EDGES))
 def live_alerts(db: Tables):
     out, checkpoint = _folders(db, "live-alerts")
-    log = _log(db, f"{out}-state", "v_levels", ["account"], ["ts", "event_id"])
+    state, held = _changes(db, out)
     rule = F.col("marginLevel") > 100
-    drain(L.live_alerts(db.stream("v_levels"), rule, log, LINE, out, checkpoint))
+    in_loads(db.view("v_levels"), "ts", f"{out}-in",
+             lambda rows: L.live_alerts(rows, rule, state, held, LINE, out, checkpoint))
     return read_batches(db.spark, out, db.view("v_levels").schema)
 
 
-@query("live_margin_calls", ("v_levels",), batch.CROSSINGS)
+@query("live_margin_calls", ("v_levels",), _levels(batch.CROSSINGS))
 def live_margin_calls(db: Tables):
     out, checkpoint = _folders(db, "live-margin-calls")
-    log = _log(db, f"{out}-state", "v_levels", ["account"], ["ts", "event_id"])
-    drain(L.live_margin_calls(db.stream("v_levels"), THRESHOLDS, log, LINE, out, checkpoint))
-    shape = batch.margin_call_crossings(db).schema
-    return read_batches(db.spark, out, shape)
+    state, held = _changes(db, out)
+    in_loads(db.view("v_levels"), "ts", f"{out}-in",
+             lambda rows: L.live_margin_calls(rows, THRESHOLDS, state, held, LINE, out, checkpoint))
+    return read_batches(db.spark, out, batch.margin_call_crossings(db).schema)
+
+
+@query("late_levels", ("v_levels",), f"""
+select * from v_levels where event_id % 50 = 0 and ts <= (select max(ts) from v_levels where event_id % 50 <> 0) - interval 10 minute""")
+def late_levels(db: Tables):
+    """Dead letters: every fiftieth row comes after all others, most of them too late for alerts."""
+    out, checkpoint = _folders(db, "late-levels")
+    state, held = _changes(db, out)
+    rows, inbox = db.view("v_levels"), f"{out}-in"
+    for part in (rows.filter("event_id % 50 <> 0"), rows.filter("event_id % 50 = 0")):
+        part.write.mode("append").parquet(inbox)
+        source = db.spark.readStream.schema(rows.schema).parquet(inbox)
+        drain(L.live_alerts(source, F.col("marginLevel") > 100, state, held, LINE, out, checkpoint))
+    return held.late()
 
 
 @query("live_timeouts", ("v_requests", "v_responses"), """
-with matched as (select q.clientMsgId, sentAt, receivedAt, receivedAt is null as timed_out
-     from v_requests q left join v_responses r
-       on q.clientMsgId = r.clientMsgId and receivedAt between sentAt and sentAt + interval 5 second),
-     clock as (select least((select max(sentAt) from v_requests), (select max(receivedAt) from v_responses))
+with twice as (select clientMsgId, receivedAt from v_responses
+               union all select clientMsgId, receivedAt + interval 1 second from v_responses),
+     matched as (select q.clientMsgId, sentAt, min(receivedAt) as receivedAt
+     from v_requests q left join twice r
+       on q.clientMsgId = r.clientMsgId and receivedAt between sentAt and sentAt + interval 5 second group by 1, 2),
+     clock as (select least((select max(sentAt) from v_requests), (select max(receivedAt) from twice))
                       - interval 10 minute as mark)
-select matched.* from matched, clock where not timed_out or sentAt + interval 5 second < mark""")
+select matched.*, receivedAt is null as timed_out from matched, clock where sentAt + interval 5 second < mark""")
 def live_timeouts(db: Tables):
-    """Answered requests, and unanswered ones once the watermark says that no answer can come any more."""
+    """Requests once no first reply can come any more; each reply is sent twice, the second time in another load."""
     out, checkpoint = _folders(db, "live-timeouts")
+    sent, back = _on_clock(db.stream("v_requests"), "sentAt"), db.view("v_responses")
     with L.state_partitions(db.spark):
-        drain(L.live_timeouts(
-            _on_clock(db.stream("v_requests"), "sentAt"), _on_clock(db.stream("v_responses"), "receivedAt"),
-            5, DELAY, out, checkpoint,
-        ))
+        for again in (F.col("receivedAt"), F.col("receivedAt") + F.expr("interval 1 second")):
+            back.withColumn("receivedAt", again).write.mode("append").parquet(f"{out}-in")
+            replies = _on_clock(db.spark.readStream.schema(back.schema).parquet(f"{out}-in"), "receivedAt")
+            drain(L.live_timeouts(sent, replies, 5, DELAY, out, checkpoint))
     return _off_clock(db.spark.read.parquet(out), "sentAt", "receivedAt")

@@ -1,7 +1,7 @@
 """Live quotes, bars, counts, sessions, books, alerts, margin calls and time-outs.
 
 Each function returns a started query and takes the trigger as an argument. State is either Spark's own
-(watermarked aggregates and joins) or a ``KeyedLog`` updated per micro-batch; no Python runs per row.
+(watermarked aggregates and joins) or a ``KeyedState`` updated per micro-batch; no Python runs per row.
 """
 
 from __future__ import annotations
@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tickloom.operators.accounts import crossings_between, edges_between
+from tickloom.functions.times import packed_order
 from tickloom.operators.bars import PERIOD_WINDOWS
 from tickloom.operators.joins import spread_over
 from tickloom.operators.ordered import Timeline, previous
 from tickloom.operators.quotes import sessions_from_slots, with_symbol_name
 from tickloom.sources.writers import bus_messages, hot_rows
-from tickloom.streaming.state import KeyedLog, newer_rows, tagged_state, write_batch
+from tickloom.streaming.state import HeldRows, KeyedState, tagged_state, write_batch
 
 Trigger = dict
 ONCE: Trigger = {"availableNow": True}
@@ -75,7 +76,7 @@ def fan_out(quotes: DataFrame, ts: str, rule: Column, root: str, checkpoint: str
 def live_bars(ticks: DataFrame, period: str, delay: str, path: str, checkpoint: str,
               trigger: Trigger = ONCE) -> StreamingQuery:
     """Closed bars of a fixed-length period. Calendar months are not a fixed window: batch only."""
-    at = F.struct("ts", "event_id")
+    at = packed_order(ticks, "ts", ("event_id",))
     window = F.window("ts", "7 days", "7 days", "4 days") if period == "W1" else F.window("ts", PERIOD_WINDOWS[period])
     bars = (
         ticks.withWatermark("ts", delay)
@@ -150,63 +151,65 @@ def live_sessions(slots: DataFrame, gap_seconds: int = 300) -> DataFrame:
     return sessions_from_slots(slots, gap_seconds)
 
 
-def live_latest(events: DataFrame, log: KeyedLog, checkpoint: str, trigger: Trigger = ONCE) -> StreamingQuery:
+def live_latest(events: DataFrame, state: KeyedState, checkpoint: str, trigger: Trigger = ONCE) -> StreamingQuery:
     """Keep the latest row per key: book quotes, order, position and account states."""
-    return _per_batch(events, log.write, checkpoint, trigger)
+    return _per_batch(events, state.write, checkpoint, trigger)
 
 
-def refresh_symbols(changed: DataFrame, load: Callable[[DataFrame], DataFrame], log: KeyedLog, checkpoint: str,
+def refresh_symbols(changed: DataFrame, load: Callable[[DataFrame], DataFrame], state: KeyedState, checkpoint: str,
                     trigger: Trigger = ONCE) -> StreamingQuery:
     """Reload the symbols a change event names, and only these. ``load`` gets their distinct ids with the
-    time of the newest change and returns rows in the log's schema."""
+    time of the newest change and returns rows in the state's schema."""
     def write(batch: DataFrame, n: int) -> None:
-        log.write(load(batch.groupBy("symbolId").agg(F.max("ts").alias("ts"))), n)
+        state.write(load(batch.groupBy("symbolId").agg(F.max("ts").alias("ts"))), n)
 
     return _per_batch(changed, write, checkpoint, trigger)
 
 
-def _ordered_changes(events: DataFrame, log: KeyedLog, line: Timeline, name: str, value: Column,
+def _ordered_changes(events: DataFrame, state: KeyedState, held: HeldRows, line: Timeline, name: str, value: Column,
                      emit: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
                      trigger: Trigger) -> StreamingQuery:
-    """Compare each row with its key's previous row, which may lie in an earlier batch. Rows that come after
-    their key has moved on emit nothing and leave the state alone."""
+    """Compare each row with its key's previous row, which may lie in an earlier batch. Rows are held back until they are
+    in order, so the result does not depend on how they are dealt out to files; rows later than that are in
+    ``held.late()``."""
     def write(batch: DataFrame, n: int) -> None:
-        state = log.before(n)
-        fresh = newer_rows(batch, state, log.keys, log.order).persist()
-        try:
-            rows = previous(tagged_state(state, fresh), line, {name: value})
-            write_batch(emit(rows.filter(~F.col("__old")).drop("__old")), path, n)
-            log.write(fresh, n)
-        finally:
-            fresh.unpersist()
+        ready = held.take(batch, n)
+        rows = previous(tagged_state(state.before(n, ready), ready), line, {name: value})
+        write_batch(emit(rows.filter(~F.col("__old")).drop("__old")), path, n)
+        state.write(ready, n)
 
     return _per_batch(events, write, checkpoint, trigger)
 
 
-def live_alerts(events: DataFrame, rule: Column, log: KeyedLog, line: Timeline, path: str, checkpoint: str,
-                trigger: Trigger = ONCE) -> StreamingQuery:
+def live_alerts(events: DataFrame, rule: Column, state: KeyedState, held: HeldRows, line: Timeline, path: str,
+                checkpoint: str, trigger: Trigger = ONCE) -> StreamingQuery:
     """Rows at which a rule starts to hold for a key, across batches."""
-    return _ordered_changes(events, log, line, "__before", rule, lambda rows: edges_between(rows, rule), path,
+    return _ordered_changes(events, state, held, line, "__before", rule, lambda rows: edges_between(rows, rule), path,
                             checkpoint, trigger)
 
 
-def live_margin_calls(levels: DataFrame, thresholds: Sequence[tuple[str, float]], log: KeyedLog, line: Timeline,
-                      path: str, checkpoint: str, trigger: Trigger = ONCE) -> StreamingQuery:
+def live_margin_calls(levels: DataFrame, thresholds: Sequence[tuple[str, float]], state: KeyedState, held: HeldRows,
+                      line: Timeline, path: str, checkpoint: str, trigger: Trigger = ONCE) -> StreamingQuery:
     """One event per threshold a key's margin level falls through."""
     return _ordered_changes(
-        levels, log, line, "previousLevel", F.col("marginLevel"),
+        levels, state, held, line, "previousLevel", F.col("marginLevel"),
         lambda rows: crossings_between(rows, thresholds, "marginLevel"), path, checkpoint, trigger,
     )
 
 
 def live_timeouts(requests: DataFrame, responses: DataFrame, timeout_seconds: int, delay: str, path: str,
                   checkpoint: str, trigger: Trigger = ONCE) -> StreamingQuery:
-    """Requests with their response in time; one without is emitted once none can come any more."""
+    """Requests with their first response in time, one row each, once none can come any more.
+
+    The replies of a request meet it in the join's state and are folded in an aggregate behind it, both bounded by the
+    watermark. A request sent again with the same id and time is one request.
+    """
     late = F.expr(f"sentAt + interval {timeout_seconds} seconds")
     sent = requests.withWatermark("sentAt", delay)
     back = responses.withColumnRenamed("clientMsgId", "__id").withWatermark("receivedAt", delay)
     matched = sent.join(
         back, (F.col("clientMsgId") == F.col("__id")) & F.col("receivedAt").between(F.col("sentAt"), late),
         "leftOuter",
-    ).select("clientMsgId", "sentAt", "receivedAt", F.col("__id").isNull().alias("timed_out"))
-    return append(matched, path, checkpoint, trigger)
+    )
+    first = matched.groupBy("clientMsgId", "sentAt").agg(F.min("receivedAt").alias("receivedAt"))
+    return append(first.withColumn("timed_out", F.col("receivedAt").isNull()), path, checkpoint, trigger)
