@@ -163,7 +163,7 @@ def test_first_per_key(rows, n):
 
 def test_page_flags(spark):
     df = spark.createDataFrame([(1, i) for i in range(5)] + [(2, i) for i in range(3)], "k long, o long")
-    got = page_per_key(df, ["k"], [F.col("o")], 3).collect()
+    got = page_per_key(df, ["k"], ["o"], 3).collect()
     assert {(r.k, r.has_more) for r in got} == {(1, True), (2, False)} and len(got) == 6
 
 

@@ -33,16 +33,15 @@ def deals_page(
     deals: DataFrame, max_rows: int, start: Column | None = None, end: Column | None = None,
     keys: Sequence[str] = ("account",),
 ) -> DataFrame:
-    order = [F.col(c) for c in DEAL_ORDER]
-    return page_per_key(in_range(deals, "executedAt", start, end), keys, order, max_rows)
+    return page_per_key(in_range(deals, "executedAt", start, end), keys, DEAL_ORDER, max_rows)
 
 
 def orders_page(
     orders: DataFrame, max_rows: int, start: Column | None = None, end: Column | None = None,
     keys: Sequence[str] = ("positionId",),
 ) -> DataFrame:
-    order = [F.col("createdAt"), F.col("orderId")]
-    return page_per_key(in_range(orders, "createdAt", start, end), keys, order, max_rows)
+    """First page of the orders of each position, or of each account with ``keys`` so."""
+    return page_per_key(in_range(orders, "createdAt", start, end), keys, ("createdAt", "orderId"), max_rows)
 
 
 def deals_by_position(
@@ -52,6 +51,13 @@ def deals_by_position(
     return in_range(deals, "executedAt", start, end).join(orders.select("orderId", "positionId"), "orderId")
 
 
+def deals_by_position_page(
+    deals: DataFrame, orders: DataFrame, max_rows: int, start: Column | None = None, end: Column | None = None
+) -> DataFrame:
+    """First page of each position's deals, with ``has_more``."""
+    return page_per_key(deals_by_position(deals, orders, start, end), ["positionId"], DEAL_ORDER, max_rows)
+
+
 def order_details(orders: DataFrame, deals: DataFrame) -> DataFrame:
     """Every order with its deals, one row per deal; an order without deals keeps one row.
 

@@ -170,7 +170,7 @@ def tick_data(
 ) -> DataFrame:
     """First page of each symbol's bid and ask ticks in ``[start, end]``, with ``has_more``."""
     inside = quote_sides(ticks).filter(F.col(ts).between(start, end))
-    return page_per_key(inside, keys, [F.col(ts), F.col("event_id")], max_rows)
+    return page_per_key(inside, keys, [ts, "event_id"], max_rows)
 
 
 def quotes_as_of(probes: DataFrame, ticks: DataFrame, values: tuple[str, ...], ts: str = "ts") -> DataFrame:
@@ -234,18 +234,24 @@ def in_session(
     return ticks.withColumn("second_of_week", times.second_of_week(F.col(ts), zone)).filter(inside)
 
 
-def in_symbol_session(ticks: DataFrame, details: DataFrame, ts: str = "ts") -> DataFrame:
-    """Ticks inside their own symbol's schedule, in the schedule's time zone."""
-    now = times.second_of_week(F.col(ts), F.coalesce("scheduleTimeZone", F.lit("UTC")))
-    inside = F.exists(
-        "schedule", lambda s: (F.col("second_of_week") >= s["startSecond"]) & (F.col("second_of_week") < s["endSecond"])
-    )
-    return (
-        ticks.join(details.select("symbolId", "scheduleTimeZone", "schedule"), "symbolId")
-        .withColumn("second_of_week", now)
-        .filter(inside)
-        .drop("scheduleTimeZone", "schedule")
-    )
+def in_symbol_session(ticks: DataFrame, details: DataFrame, ts: str = "ts", slot_seconds: int = 3600) -> DataFrame:
+    """Ticks inside their own symbol's schedule (``schedule`` of ``startSecond``, ``endSecond``, half-open seconds of the week)
+    in its ``scheduleTimeZone``, UTC where that is null, daylight saving included.
+
+    Each range stands in the slots of the week that it covers. A tick meets the ranges of its symbol and slot by an equi-join
+    and is tested against these only; ranges that overlap do not repeat it.
+    """
+    zones = details.select("symbolId", F.coalesce("scheduleTimeZone", F.lit("UTC")).alias("__zone"))
+    ranges = details.select("symbolId", F.inline("schedule")).filter("startSecond < endSecond")
+    first, last = (F.floor(F.col(c) / slot_seconds) for c in ("startSecond", "lastSecond"))
+    covered = ranges.withColumn("lastSecond", F.col("endSecond") - 1).select(
+        "symbolId", "startSecond", "endSecond", F.explode(F.sequence(first, last)).alias("__slot"))
+    timed = lookup_join(ticks, zones, ["symbolId"], "inner").withColumn(
+        "second_of_week", times.second_of_week(F.col(ts), F.col("__zone"))).drop("__zone")
+    inside = (F.col("second_of_week") >= F.col("startSecond")) & (F.col("second_of_week") < F.col("endSecond"))
+    return lookup_join(
+        timed.withColumn("__slot", F.floor(F.col("second_of_week") / slot_seconds)), covered, ["symbolId", "__slot"],
+        "left_semi", inside, counted=ranges).drop("__slot")
 
 
 def outside_holidays(ticks: DataFrame, holidays: DataFrame, ts: str = "ts") -> DataFrame:
@@ -285,6 +291,18 @@ def best_prices(book: DataFrame) -> DataFrame:
     return book.groupBy("symbolId").agg(F.max("bid").alias("best_bid"), F.min("ask").alias("best_ask"))
 
 
+def price_levels(book: DataFrame) -> DataFrame:
+    """Each symbol's ladder: quotes of one side and price as one level, numbered from the best price on."""
+    def of(side: str) -> Column:
+        return F.struct(F.lit(side).alias("side"), F.col(side.lower()).alias("price"))
+
+    sides = book.select("symbolId", "size", F.inline(F.array(of("BID"), of("ASK"))))
+    levels = sides.filter("price is not null").groupBy("symbolId", "side", "price").agg(
+        F.sum("size").alias("size"), F.count(F.lit(1)).alias("quotes"))
+    best_first = F.when(F.col("side") == "BID", -F.col("price")).otherwise(F.col("price"))
+    return levels.withColumn("level", F.row_number().over(Window.partitionBy("symbolId", "side").orderBy(best_first)))
+
+
 def match_responses(
     requests: DataFrame, responses: DataFrame, timeout_seconds: int, sent: str = "sentAt",
     received: str = "receivedAt",

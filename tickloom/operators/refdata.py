@@ -145,17 +145,46 @@ def conversion_steps(symbols: DataFrame, last_asset: int) -> DataFrame:
         reached = reached.unionByName(frontier)
 
 
+def conversion_chains(symbols: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The symbols that convert ``firstAssetId`` into ``lastAssetId``, in order, for each distinct pair of ``wanted``:
+    ``firstAssetId, lastAssetId, step, symbolId, fromAssetId, toAssetId``.
+
+    Of the shortest chains the one whose first symbol, then whose second and so on, has the smallest id. A pair that no chain
+    joins, or whose assets are the same, has no rows. All pairs are searched at once, breadth-first from their last assets;
+    a round is one join of the new frontier and is stored, and the search ends when every pair is found or nothing is new.
+    """
+    spark = symbols.sparkSession
+    pairs = stored(
+        symbols.filter("baseAssetId <> quoteAssetId").groupBy("baseAssetId", "quoteAssetId")
+        .agg(F.min("symbolId").alias("symbolId")), "pairs")
+    asked = stored(wanted.select(
+        F.col("firstAssetId").cast("bigint"), F.col("lastAssetId").cast("bigint")).distinct().filter(
+        "firstAssetId <> lastAssetId"), "wanted")
+    path = "ARRAY<STRUCT<symbolId: BIGINT, fromAssetId: BIGINT, toAssetId: BIGINT>>"
+    frontier = asked.select(
+        F.col("lastAssetId").alias("target"), F.col("lastAssetId").alias("assetId"), F.array().cast(path).alias("path")).distinct()
+    reached, found = frontier, spark.createDataFrame([], f"firstAssetId BIGINT, lastAssetId BIGINT, path {path}")
+    ends = [F.col("firstAssetId") == F.col("assetId"), F.col("lastAssetId") == F.col("target")]
+    while True:
+        taken = F.struct(F.col("symbolId"), F.col("baseAssetId").cast("bigint"), F.col("quoteAssetId").cast("bigint"))
+        step = (
+            pairs.join(frontier.withColumnRenamed("assetId", "quoteAssetId"), "quoteAssetId")
+            .groupBy("target", F.col("baseAssetId").cast("bigint").alias("assetId"))
+            .agg(F.min(F.struct("symbolId", "quoteAssetId", F.concat(F.array(taken).cast(path), "path").alias("path"))).alias("next"))
+            .join(reached.select("target", "assetId"), ["target", "assetId"], "left_anti")
+            .select("target", "assetId", "next.path")
+        )
+        frontier = stored(step, "frontier")
+        found = found.unionByName(asked.join(frontier, ends).select("firstAssetId", "lastAssetId", "path"))
+        asked = stored(asked.join(frontier, ends, "left_anti"), "wanted")
+        if asked.isEmpty() or frontier.isEmpty():
+            break
+        reached = reached.unionByName(frontier)
+    return found.select("firstAssetId", "lastAssetId", F.posexplode("path").alias("place", "link")).select(
+        "firstAssetId", "lastAssetId", (F.col("place") + 1).alias("step"), "link.*")
+
+
 def conversion_chain(symbols: DataFrame, first_asset: int, last_asset: int) -> DataFrame:
     """The symbols that convert ``first_asset`` into ``last_asset``, in order. No rows when none do."""
-    steps = conversion_steps(symbols, last_asset)
-    chain, asset = [], first_asset
-    while asset is not None and asset != last_asset:
-        row = steps.filter(F.col("assetId") == asset).first()
-        if row is None:
-            chain = []
-            break
-        chain.append((len(chain) + 1, row["symbolId"], asset, row["toAssetId"]))
-        asset = row["toAssetId"]
-    return symbols.sparkSession.createDataFrame(
-        chain, "step INT, symbolId BIGINT, fromAssetId BIGINT, toAssetId BIGINT"
-    )
+    wanted = symbols.sparkSession.createDataFrame([(first_asset, last_asset)], "firstAssetId BIGINT, lastAssetId BIGINT")
+    return conversion_chains(symbols, wanted).drop("firstAssetId", "lastAssetId").orderBy("step")

@@ -66,6 +66,28 @@ def deals_by_position(db: Tables):
     )
 
 
+@query("deals_by_position_page", ("v_deals", "v_orders"), f"""
+with theirs as (select d.*, o.positionId from v_deals d join v_orders o on d.orderId = o.orderId
+                where executedAt between timestamp '{FROM}' and timestamp '{TO}'),
+     numbered as (select *, row_number() over (partition by positionId order by {_DEALS}) as n,
+                         count(*) over (partition by positionId) as total from theirs)
+select positionId, orderId, lineNo, executedAt, cast(n as integer) as row_no, total > 10 as has_more from numbered where n <= 10""")
+def deals_by_position_page(db: Tables):
+    page = A.deals_by_position_page(db.view("v_deals"), db.view("v_orders"), 10, *_bounds())
+    return page.select("positionId", "orderId", "lineNo", "executedAt", "row_no", "has_more")
+
+
+@query("account_orders_page", ("v_account_orders",), f"""
+with numbered as (select *, row_number() over (partition by account order by createdAt, orderId) as n,
+                         count(*) over (partition by account) as total
+                  from v_account_orders where createdAt between timestamp '{FROM}' and timestamp '{TO}')
+select account, createdAt, orderId, positionId, cast(n as integer) as row_no, total > 500 as has_more from numbered where n <= 500""")
+def account_orders_page(db: Tables):
+    """Orders of each account, a large page."""
+    page = A.orders_page(db.view("v_account_orders"), 500, *_bounds(), keys=["account"])
+    return page.select("account", "createdAt", "orderId", "positionId", "row_no", "has_more")
+
+
 @query("orders_by_position", ("v_orders",), f"""
 with numbered as (select *, row_number() over (partition by positionId order by createdAt, orderId) as n,
                          count(*) over (partition by positionId) as total

@@ -204,6 +204,24 @@ def in_session_quotes(db: Tables):
     return Q.in_session(db.view("v_spot"), SESSIONS).select("event_id", "symbolId", "second_of_week")
 
 
+@query("symbol_session_quotes", ("v_spot", "v_hours"), """
+with zoned as (select event_id, symbolId, timezone(coalesce(zone, 'UTC'), timezone('UTC', ts)) as t, firstStart, firstEnd, secondStart, secondEnd
+               from v_spot join v_hours using (symbolId)),
+     timed as (select *, cast(dayofweek(t) * 86400 + hour(t) * 3600 + minute(t) * 60 + floor(second(t)) as bigint) as second_of_week
+               from zoned)
+select event_id, symbolId, second_of_week from timed
+where (second_of_week >= firstStart and second_of_week < firstEnd) or (second_of_week >= secondStart and second_of_week < secondEnd)""")
+def symbol_session_quotes(db: Tables):
+    """Quotes inside their own symbol's schedule, which is kept in one of four time zones."""
+    hours = db.view("v_hours")
+
+    def span(name: str):
+        return F.struct(F.col(f"{name}Start").cast("bigint").alias("startSecond"), F.col(f"{name}End").cast("bigint").alias("endSecond"))
+
+    details = hours.select("symbolId", F.col("zone").alias("scheduleTimeZone"), F.array(span("first"), span("second")).alias("schedule"))
+    return Q.in_symbol_session(db.view("v_spot"), details).select("event_id", "symbolId", "second_of_week")
+
+
 @query("holiday_anti", ("v_spot",), """
 select event_id, symbolId from v_spot
 where not (month(ts) = 1 and day(ts) = 1) and cast(ts as date) <> date '2024-01-15'""")
@@ -218,6 +236,63 @@ def depth_book(db: Tables):
     return Q.price_book(db.view("v_depth"))
 
 
+WIRE_BOOK = """
+with actions as (
+  select event_id, ts, symbolId, event_id % 40 as quoteId, true as added, size,
+         case when event_id % 2 = 0 then price end as bid, case when event_id % 2 = 1 then price + 100 end as ask from v_wire where adds
+  union all select event_id, ts, symbolId, (event_id + 21) % 40, true, size + 1, case when event_id % 2 = 1 then price - 10 end,
+         case when event_id % 2 = 0 then price + 110 end from v_wire where adds
+  union all select event_id, ts, symbolId, event_id % 40, false, null, null, null from v_wire where not adds
+  union all select event_id, ts, symbolId, (event_id + 1) % 40, false, null, null, null from v_wire where not adds),
+book as (select symbolId, quoteId, size, bid, ask
+         from (select * from actions qualify row_number() over (partition by symbolId, quoteId order by ts desc, event_id desc) = 1)
+         where added)
+"""
+
+
+def wire_events(rows):
+    """Depth events as they come from the wire: a list of new quotes, each with one side, and a list of deleted ids."""
+    odd, none = F.col("event_id") % 2 == 1, F.lit(None).cast("bigint")
+    price, size, first = F.col("price"), F.col("size"), F.col("event_id") % 40
+
+    def quote(number, size, bid, ask):
+        return F.struct(number.alias("id"), size.alias("size"), bid.alias("bid"), ask.alias("ask"))
+
+    added = F.array(
+        quote(first, size, F.when(~odd, price), F.when(odd, price + 100)),
+        quote((F.col("event_id") + 21) % 40, size + 1, F.when(odd, price - 10), F.when(~odd, price + 110)))
+    deleted = F.array(first, (F.col("event_id") + 1) % 40)
+    return rows.select(
+        "event_id", "ts", "symbolId", F.when(F.col("adds"), added).alias("newQuotes"),
+        F.when(~F.col("adds"), deleted).alias("deletedQuotes"))
+
+
+def _wire_book(db: Tables):
+    return Q.price_book(Q.depth_actions(wire_events(db.view("v_wire"))))
+
+
+@query("depth_wire", ("v_wire",), WIRE_BOOK + "select * from book")
+def depth_wire(db: Tables):
+    return _wire_book(db)
+
+
+BEST = WIRE_BOOK + "select symbolId, max(bid) as best_bid, min(ask) as best_ask from book group by 1"
+
+
+@query("depth_best", ("v_wire",), BEST)
+def depth_best(db: Tables):
+    return Q.best_prices(_wire_book(db))
+
+
+@query("depth_ladder", ("v_wire",), WIRE_BOOK + """, sides as (
+  select symbolId, 'BID' as side, bid as price, size, -bid as place from book where bid is not null
+  union all select symbolId, 'ASK', ask, size, ask from book where ask is not null),
+levels as (select symbolId, side, price, place, sum(size)::bigint as size, count(*) as quotes from sides group by all)
+select symbolId, side, price, size, quotes, (row_number() over (partition by symbolId, side order by place))::int as level from levels""")
+def depth_ladder(db: Tables):
+    return Q.price_levels(_wire_book(db))
+
+
 @query("request_response_match", ("v_requests", "v_responses"), """
 select q.clientMsgId, sentAt, receivedAt, receivedAt is null as timed_out
 from v_requests q left join v_responses r

@@ -116,6 +116,29 @@ def conversion_path(db: Tables):
     return R.conversion_steps(db.view("v_symbols"), 3)
 
 
+@query("conversion_chains", ("v_symbols", "v_assets"), """
+with recursive pairs as (select baseAssetId, quoteAssetId, min(symbolId) as symbolId from v_symbols
+               where baseAssetId <> quoteAssetId group by 1, 2),
+     wanted as (select assetId as firstAssetId, (assetId * 7 + 3) % 25 as lastAssetId from v_assets),
+     walk(target, assetId, hops) as (select distinct lastAssetId, lastAssetId, 0 from wanted
+       union select w.target, p.baseAssetId, hops + 1 from walk w join pairs p on p.quoteAssetId = w.assetId where hops < 60),
+     dist as (select target, assetId, min(hops) as hops from walk group by 1, 2),
+     link as (select d.target, d.assetId, p.symbolId, p.quoteAssetId as toAssetId,
+                     row_number() over (partition by d.target, d.assetId order by p.symbolId, p.quoteAssetId) as n
+              from dist d join pairs p on p.baseAssetId = d.assetId
+              join dist t on t.target = d.target and t.assetId = p.quoteAssetId and t.hops = d.hops - 1),
+     chain as (select firstAssetId, lastAssetId, 1 as step, symbolId, assetId as fromAssetId, toAssetId
+               from wanted join link on target = lastAssetId and assetId = firstAssetId and n = 1
+               union all
+               select c.firstAssetId, c.lastAssetId, c.step + 1, l.symbolId, l.assetId, l.toAssetId
+               from chain c join link l on l.target = c.lastAssetId and l.assetId = c.toAssetId and l.n = 1)
+select * from chain""")
+def conversion_chains(db: Tables):
+    """The symbols that convert each asset into another one, for all pairs at once."""
+    wanted = db.view("v_assets").selectExpr("assetId as firstAssetId", "(assetId * 7 + 3) % 25 as lastAssetId")
+    return R.conversion_chains(db.view("v_symbols"), wanted)
+
+
 @query("message_json", ("v_symbols",), """
 select cast(symbolId as varchar(20)) as clientMsgId, symbolId, symbolName, enabled, baseAssetId, quoteAssetId,
        symbolCategoryId, cast(null as varchar) as description from v_symbols""")

@@ -171,6 +171,18 @@ def live_book(db: Tables):
     return Q.price_book(state.current())
 
 
+@query("live_best", ("v_wire",), batch.BEST)
+def live_best(db: Tables):
+    """Best prices of a book that is fed by depth events in wire form."""
+    out, checkpoint = _folders(db, "live-best")
+    events = db.view("v_wire")
+    shape = Q.depth_actions(batch.wire_events(events)).schema
+    state = KeyedState(db.spark, out, shape, ["symbolId", "quoteId"], ["ts", "event_id"], BUCKETS, F.col("action") == "D")
+    in_loads(events, "ts", f"{out}-in",
+             lambda rows: L.live_latest(Q.depth_actions(batch.wire_events(rows)), state, checkpoint))
+    return Q.best_prices(Q.price_book(state.current()))
+
+
 @query("live_order_state", ("v_orders",), LATEST_STATE)
 def live_order_state(db: Tables):
     out, checkpoint = _folders(db, "live-orders")

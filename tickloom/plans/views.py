@@ -112,6 +112,19 @@ VIEWS = {
         "case when event_type = 'error' then 'D' else 'N' end as action",
         "cast(round(value * 100) as bigint) as size",
     )),
+    "v_wire": View("events", (
+        "event_id", "ts", "user_id as symbolId", "event_type <> 'error' as adds", f"{_MID} as price",
+        "cast(round(value * 100) as bigint) as size",
+    )),
+    "v_hours": View("customer", (
+        "c_custkey as symbolId",
+        "case c_custkey % 4 when 0 then 'America/New_York' when 1 then 'Europe/Berlin' when 2 then 'Asia/Tokyo' end as zone",
+        "86400 * (c_custkey % 5) + 30600 as firstStart", "86400 * (c_custkey % 5) + 57600 as firstEnd",
+        "86400 * (c_custkey % 3) + 36000 as secondStart", "86400 * (2 + c_custkey % 3) + 1800 as secondEnd",
+    )),
+    "v_account_orders": View("orders", (
+        "o_orderkey as orderId", "o_custkey as positionId", "o_custkey % 20 as account", "o_orderdate as createdAt",
+    )),
     "v_requests": View("events", (
         "cast(event_id as varchar(20)) as clientMsgId", "ts as sentAt",
     ), "event_type = 'click'"),
