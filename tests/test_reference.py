@@ -1,10 +1,12 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tickloom import schemas
 from tickloom.ml import direction as M
+from tickloom.ml import newton
 from tickloom.operators import accounts as A
 from tickloom.operators import quotes as Q
 from tickloom.operators import refdata as R
@@ -211,13 +213,39 @@ def test_six_row_model(spark):
 
 
 def test_split_is_stable(spark):
-    rows = spark.range(5000)
-    train, test = M.split_rows(rows, ["id"])
-    again, _ = M.split_rows(rows.repartition(3), ["id"])
+    rows = spark.range(5000).selectExpr("id", "timestamp_ntz'1960-01-01 00:00:00' + make_dt_interval(cast(pmod(hash(id), 40000) as int)) as day")
+    train, test = M.split_rows(rows, "id", "day")
+    again, _ = M.split_rows(rows.repartition(3), "id", "day")
     assert train.count() + test.count() == 5000 and 0.65 < train.count() / 5000 < 0.75
     assert sorted(train.collect()) == sorted(again.collect())
 
 
+def test_saved_pipeline(spark, tmp_path):
+    rows = spark.createDataFrame([(-1.0, 0.0), (1.0, 1.0), (0.5, 1.0)], "x double, label double")
+    model = M.fit(rows, penalty=0.1, features=["x"])
+    M.save(model, f"{tmp_path}/model")
+    assert M.predict(M.load(f"{tmp_path}/model"), rows).collect() == M.predict(model, rows).collect()
+
+
+def test_newton_fit(spark, tmp_path):
+    """Against Spark ML on standardised features, and its own gradient; null rows, constant features, separable classes, none."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(800, 2)) * [1, 50] + [0, 1000]
+    y = (x[:, 0] + 0.01 * (x[:, 1] - 1000) + rng.normal(size=800) > 0.3).astype(float)
+    data = [(float(a), float(b), 7.0, float(c)) for (a, b), c in zip(x, y, strict=True)] + [(None, 1.0, 7.0, 1.0), (1.0, 1.0, 7.0, None)]
+    rows = spark.createDataFrame(data, "a double, b double, c double, label double")
+    model = newton.fit(rows, ("a", "b", "c"), 1e-3)
+    assert max(map(abs, model.gradient)) < 1e-12 and model.coefficients[3] == 0
+    scaled = rows.dropna().select("label", *[((F.col(f) - m) / d).alias(f) for f, m, d in zip(model.features, model.means, model.deviations, strict=True)])
+    other = M.fit(scaled, 1e-3, ["a", "b"], 200).stages[-1]
+    assert np.allclose([other.intercept, *other.coefficients], model.coefficients[:3], atol=1e-4)
+    model.table(spark).write.parquet(f"{tmp_path}/m")
+    assert newton.load(spark.read.parquet(f"{tmp_path}/m")) == model
+    parted = spark.createDataFrame([(-1.0, 0.0), (1.0, 1.0), (2.0, 1.0)], "x double, label double")
+    assert [r.prediction for r in newton.fit(parted, ("x",), 1e-3).predict(parted).orderBy("x").collect()] == [0, 1, 1]
+    assert newton.fit(rows.filter("false"), ("a",), 1e-3).coefficients == (0.0, 0.0)
+
+
 def test_duplicate_list_rows_do_not_multiply(spark):
     light = spark.createDataFrame([(1, 10, 20, 30)], "symbolId long, symbolCategoryId long, baseAssetId long, quoteAssetId long")
     details = spark.createDataFrame([(1, "new", 2), (1, "old", 1)], "symbolId long, note string, position int")
