@@ -32,8 +32,10 @@ MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 #: Equal payloads of at least so many bytes are stored once.
 REVISIT_BYTES = 100
-#: A record that is incomplete after so many more bytes counts as damaged; it bounds what a reader holds.
-RECORD_BYTES = 256 << 20
+#: A record that would be longer counts as damaged: a cell of a table holds no more. Whatever the writer makes of a cell is
+#: shorter, so a lower limit, for archives from elsewhere, is the caller's to give.
+RECORD_BYTES = (1 << 31) - 1
+#: A header that has not ended after so many bytes counts as damaged, where the record's own end is not known.
 HEADER_BYTES = 1 << 20
 #: Payload bytes of an output batch, beyond which it is sent off.
 BATCH_BYTES = 8 << 20
@@ -140,13 +142,14 @@ class Damage(Exception):
     need: int = 0
 
 
-def parse_record(data: bytes) -> tuple[dict[str, str], bytes, int]:
-    """Header fields, block and length of the record at the start of ``data``; ``Damage`` if a check fails."""
+def parse_record(data: bytes, header: int = HEADER_BYTES) -> tuple[dict[str, str], bytes, int]:
+    """Header fields, block and length of the record at the start of ``data``; ``Damage`` if a check fails. Its header has
+    at most ``header`` bytes."""
     if not data.startswith(VERSION):
         raise Damage("version line")
-    end = data.find(b"\r\n\r\n", 0, HEADER_BYTES)
+    end = data.find(b"\r\n\r\n", 0, header)
     if end < 0:
-        raise Damage("header", len(data) + 1 if len(data) < HEADER_BYTES else 0)
+        raise Damage("header", len(data) + 1 if len(data) < header else 0)
     fields: dict[str, str] = {}
     for line in data[:end].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
@@ -284,7 +287,7 @@ class Salvage:
         found = []
         while content:
             try:
-                fields, block, used = parse_record(content)
+                fields, block, used = parse_record(content, len(content))
             except Damage as damage:
                 raise Damage(damage.reason) from None  # the member is whole: more bytes will not come
             found.append((fields, block))
@@ -308,18 +311,19 @@ class Salvage:
         return [{"kind": "gap", "offset": start, "length": self.offset - start, "reason": reason}]
 
 
-def read_archives(spark: SparkSession, folder: str, plain: bool = False) -> DataFrame:
+def read_archives(spark: SparkSession, folder: str, plain: bool = False, limit: int = RECORD_BYTES) -> DataFrame:
     """Records and gaps of all files in ``folder``, gzip members or, if ``plain``, uncompressed records: ``file, kind,
     offset, length, reason, warc_type, record_id, target_uri, refers_to, payload_digest, payload_bytes, payload``.
 
     ``kind`` is ``record`` or ``gap``; a gap has file, offset, length and reason only. Offsets count bytes of the file, and
     a record has those of its member. ``payload_bytes`` is the content length that the HTTP header gives, or the length of
-    the payload; ``payload_digest`` is the recorded one in hexadecimal. An empty file gives no rows.
+    the payload; ``payload_digest`` is the recorded one in hexadecimal. A record of more than ``limit`` bytes is a gap. An empty
+    file gives no rows.
     """
     mark = VERSION if plain else MAGIC
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, size, reader = None, 0, Salvage(mark)
+        file, size, reader = None, 0, Salvage(mark, limit)
         entries: list[tuple[str, dict]] = []
         weight = 0
         for batch in batches:
@@ -329,7 +333,7 @@ def read_archives(spark: SparkSession, folder: str, plain: bool = False) -> Data
                 else:
                     if file is not None:
                         entries += [(file, e) for e in reader.close(size)]
-                    file, size, reader = path, length, Salvage(mark)
+                    file, size, reader = path, length, Salvage(mark, limit)
                     found = reader.feed(piece)  # no mark stands before the first piece
                 for entry in found:
                     entries.append((file, entry))
