@@ -192,9 +192,11 @@ def scan(files: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
 
 
 def document_files(docs: DataFrame) -> DataFrame:
-    """Documents as files: ``source/language/`` and the id in groups of three digits, the last of which names the file."""
-    number = F.lpad(F.col("doc_id").cast("string"), 9, "0")
+    """Documents as files: ``source/language/`` and the id in groups of three digits, three groups at least, the last of which
+    names the file. Every id has a path of its own."""
+    digits = F.col("doc_id").cast("string")
+    width = F.greatest(F.lit(9), F.ceil(F.char_length(digits) / 3) * 3).cast("int")
+    number = F.regexp_replace(F.lpad(digits, width, F.lit("0")), "(.{3})(?=.)", "$1/")
     path = F.concat_ws(
-        "/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")),
-        F.substring(number, 1, 3), F.substring(number, 4, 3), F.concat(F.substring(number, 7, 3), F.lit(".txt")))
+        "/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.concat(number, F.lit(".txt")))
     return docs.select("doc_id", F.when(F.col("doc_id").isNotNull(), path).alias("path"), "text")
