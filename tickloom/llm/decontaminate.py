@@ -2,7 +2,8 @@
 
 Items are partitioned by the number of their shingles, in powers of two. The sketch of an item with q shingles is its
 q - ceil(0.8 q) + 1 smallest shingle hashes. A document that contains 0.8 of the item lacks at most q - ceil(0.8 q) of its
-shingles, so it holds one of the sketch: no item is missed. Documents test their shingles against one bit filter per
+shingles, so it holds one of the sketch: no item is missed. Where several rows share a doc_id the sketch may be in one and
+the rest in another, so their shingles are sent on without it. Documents test their shingles against one bit filter per
 class, of fixed size, and only against classes small enough to fit into them. Those with a hit send on their shingles that
 may be of an item; an equi-join on the hash and a count then give the exact containment.
 """
@@ -74,7 +75,8 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     filters = spark.sparkContext.broadcast((bit_filters(items.filter("in_sketch")), bit_filters(items)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[pa.RecordBatch]:
+        """Shingles that may be of an item, of rows that may hold one; of all rows if ``whole``."""
         sketches, wholes = filters.value
         mask = np.uint64(FILTER_BITS - 1)
         hashes = word_hashes()
@@ -89,7 +91,7 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
                 at = (found & mask).astype(np.int64)
                 hit = np.zeros(len(found), bool)
                 for size_class, bits in sketches.items():
-                    if len(found) >= least_common(1 << size_class - 1) and among(bits, at).any():
+                    if whole or len(found) >= least_common(1 << size_class - 1) and among(bits, at).any():
                         hit |= among(wholes[size_class], at)
                 chosen = found[hit].view(np.int64)
                 ids.append(np.full(len(chosen), -1 if doc is None else doc, np.int64) if doc is not None else [None] * len(chosen))
@@ -100,6 +102,12 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     held = stored(map_batches(rows, run, "doc_id bigint, hash bigint"), "held")
+    repeated = stored(rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        F.col("doc_id").alias("again")), "repeated")
+    if not repeated.isEmpty():
+        theirs = rows.join(repeated, F.col("doc_id").eqNullSafe(F.col("again")), "left_semi")
+        held = held.unionByName(stored(
+            map_batches(theirs, lambda batches: run(batches, whole=True), "doc_id bigint, hash bigint"), "held"))
     return (
         held.join(items, "hash").groupBy("doc_id", "item_id", "n_item")
         .agg(F.count_distinct("hash").alias("n_common"), F.max("in_sketch").alias("in_sketch"))
