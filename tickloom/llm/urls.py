@@ -116,7 +116,7 @@ def judge(pages: DataFrame, model: PipelineModel, rules: Sequence[Rule] = RULES)
 
     The longest rule that fits decides, else the model: ``score`` is its probability that the address is to be blocked, and
     0.5 or more blocks. A null url, or one without ``://``, has empty host and path, fits no rule and is allowed with score
-    0. Rows are judged one by one; an empty table gives none.
+    0, as is one that has neither behind its ``://``. Rows are judged one by one; an empty table gives none.
     """
     host, path = host_and_path(F.col("url").cast("string"))
     rows = pages.select(F.col("page_id").cast("bigint"), host.alias("host"), path.alias("path"))
@@ -126,7 +126,7 @@ def judge(pages: DataFrame, model: PipelineModel, rules: Sequence[Rule] = RULES)
         fits = one.fits(F.col("host"), F.col("path"))
         rule = F.when(fits, F.lit(one.site)).otherwise(rule)
         verdict = F.when(fits, F.lit(one.verdict)).otherwise(verdict)
-    score = F.when(F.col("host") == "", 0.0).otherwise(vector_to_array("__probability")[1])
+    score = F.when(F.concat("host", "path") == "", 0.0).otherwise(vector_to_array("__probability")[1])
     return scored.select("page_id", "host", "path", rule.alias("rule"), score.alias("score"), verdict.alias("ruled")).select(
         "page_id", "host", "path", "rule",
         F.coalesce("ruled", F.when(F.col("score") >= 0.5, "block").otherwise("allow")).alias("verdict"), "score")
