@@ -15,35 +15,53 @@ from tickloom.session import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that a rule rejects."""
+    """Without the documents that a rule rejects. Each row is judged by its own text, a null one as empty, so repeated rows
+    and rows without doc_id stay or go alike. An empty table stays empty."""
     return quality.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group, and one of rows that share a doc_id; of rows without doc_id,
-    one of each text."""
+    """The document with the smallest doc_id of each group, and one of the rows that share doc_id and text. Rows that share a
+    doc_id but not the text are one document and go or stay together; of rows without doc_id one of each text stays. Empty
+    and null texts are near to nothing. An empty table stays empty."""
     joined = stored(similar.similar_components(docs), "components")
     others = joined.filter("doc_id is not null and component_id <> doc_id").select("doc_id").distinct()
-    text = F.when(F.col("doc_id").isNull(), F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
-    kept = docs.join(others, "doc_id", "left_anti").withColumn("__text", text)
-    return kept.dropDuplicates(["doc_id", "__text"]).select(*docs.columns)
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    kept = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    copied = stored(
+        docs.groupBy("doc_id", digest.alias("__copied")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+            F.col("doc_id").alias("__again"), "__copied"), "copied")
+    if copied.isEmpty():  # no text is shuffled for what is not there
+        return kept
+    same = F.col("doc_id").eqNullSafe(F.col("__again")) & (digest == F.col("__copied"))
+    once = kept.join(copied, same, "left_semi").withColumn("__text", digest).dropDuplicates(["doc_id", "__text"])
+    return kept.join(copied, same, "left_anti").unionByName(once.drop("__text"))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that contain a benchmark item."""
-    found = decontaminate.contained(docs, table(spark, sf_dir, "benchmark"))
-    leaks = stored(found.filter("doc_id is not null").select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    """Without the documents that contain a benchmark item. Rows that share a doc_id are one document; a row without
+    doc_id is judged by its own text. Null and empty texts contain nothing. An empty table stays empty."""
+    benchmark = table(spark, sf_dir, "benchmark")
+    named, unnamed = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
+    found = stored(decontaminate.contained(named, benchmark).select("doc_id").distinct(), "leaks")
+    clean = named.join(found, "doc_id", "left_anti").select(*docs.columns)
+    if unnamed.isEmpty():
+        return clean
+    by_text = unnamed.withColumn("__row", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    texts = by_text.select(F.col("__row").alias("doc_id"), "text").distinct()
+    leaks = stored(decontaminate.contained(texts, benchmark).select(F.col("doc_id").alias("__row")).distinct(), "leaks")
+    return clean.unionByName(by_text.join(leaks, "__row", "left_anti").select(*docs.columns))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets masked; ``n_chars`` is that of the masked text."""
+    """All documents, their secrets masked; ``n_chars`` is that of the masked text, null for a null one."""
     masked = docs.withColumn("text", secret_scan.mask_secrets(docs))
     return masked.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of the pieces of all documents."""
+    """Places of the pieces of all documents, repeated rows and rows without doc_id among them; an empty or null text is its
+    end token alone. An empty table gives no rows."""
     return packing.pack(docs)
 
 
