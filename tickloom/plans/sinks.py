@@ -14,7 +14,7 @@ from tickloom.plans.scratch import scratch_database
 from tickloom.plans.views import Tables
 from tickloom.schemas import FLAT_SYMBOL
 from tickloom.session import workspace
-from tickloom.sources import bronze, writers
+from tickloom.sources import bronze, readers, writers
 
 _FLAT = ", ".join(f"{name} {kind}" for name, kind in FLAT_SYMBOL)
 ISO_DAY = "strftime(bar_time, '%Y-%m-%dT%H:%M:%S') || '+00:00'"
@@ -78,7 +78,7 @@ def sink_csv34(db: Tables):
 
 
 @query("sink_document", ("v_symbols", "v_symbol_details", "v_assets", "v_categories"), """
-select 'document' as section, count(*) as records, 'depositCurrency' as field from region where r_regionkey = 0
+select 'document' as section, count(*) as records, 'depositCurrency' as field from region
 union all select 'assets', count(*), 'assetId' from v_assets
 union all select 'symbolCategories', count(*), 'assetClassId' from v_categories
 union all select 'symbolDetails', count(*), 'pipPosition' from v_symbol_details
@@ -86,8 +86,8 @@ union all select 'lightSymbols', count(*), 'symbolName' from v_symbols""")
 def sink_document(db: Tables):
     """The metadata document as pretty-printed JSON, one folder per section; read back whole."""
     path = workspace(db.spark, "document")
-    header = db.table("region").filter("r_regionkey = 0").select(
-        F.lit(1).alias("ctidTraderAccountId"), F.col("r_name").alias("depositCurrency")
+    header = db.table("region").select(
+        F.col("r_regionkey").cast("bigint").alias("ctidTraderAccountId"), F.col("r_name").alias("depositCurrency")
     )
     writers.write_document(header, {
         "assets": db.view("v_assets"), "symbolCategories": db.view("v_categories"),
@@ -102,6 +102,45 @@ def sink_document(db: Tables):
     return hits.groupBy("section", "field").agg(F.count(F.lit(1)).alias("records"))
 
 
+@query("landed_accounts", ("v_accounts",), """
+select account as ctidTraderAccountId, isLive, account * 10 as traderLogin from v_accounts""")
+def landed_accounts(db: Tables):
+    """Account payloads, one JSON document of at most a thousand accounts per file, read with their schema."""
+    path = workspace(db.spark, "accounts")
+    one = F.struct(F.col("account").alias("ctidTraderAccountId"), "isLive", (F.col("account") * 10).alias("traderLogin"))
+    documents = db.view("v_accounts").groupBy(F.floor(F.col("account") / 1000).alias("part")).agg(
+        F.to_json(F.struct(F.collect_list(one).alias("data"))).alias("value"))
+    documents.repartition("part").write.partitionBy("part").text(path)
+    return readers.read_accounts(db.spark, f"{path}/*").select("ctidTraderAccountId", "isLive", "traderLogin")
+
+
+@query("landed_lists", ("v_assets", "v_symbols"), """
+select 'assets' as list, assetId as id, name from v_assets union all select 'lightSymbols', symbolId, symbolName from v_symbols""")
+def landed_lists(db: Tables):
+    """Reference lists as landed messages, each read with the schema of its list."""
+    path = workspace(db.spark, "lists")
+    for name, view in (("assets", "v_assets"), ("lightSymbols", "v_symbols")):
+        writers.write_json(db.view(view), f"{path}/{name}")
+    assets = readers.read_reference_list(db.spark, f"{path}/assets", "assets")
+    symbols = readers.read_reference_list(db.spark, f"{path}/lightSymbols", "lightSymbols")
+    return assets.select(F.lit("assets").alias("list"), F.col("assetId").alias("id"), "name").unionByName(
+        symbols.select(F.lit("lightSymbols").alias("list"), F.col("symbolId").alias("id"), F.col("symbolName").alias("name")))
+
+
+@query("landed_payloads", ("v_spot",), f"""
+with bars as ({bars_sql("D1")})
+select 'S' || symbolId as symbol, {ISO_DAY} as t, volume::double as v from bars""")
+def landed_payloads(db: Tables):
+    """Payload files, one JSON document of a symbol's bars each, read as bronze rows and parsed."""
+    path = workspace(db.spark, "payloads")
+    bar = F.struct(times.iso_utc(F.col("bar_time")).alias("t"), F.col("volume").cast("double").alias("v"))
+    symbol = F.concat(F.lit("S"), F.col("symbolId"))
+    documents = B.bars_from_ticks(db.view("v_spot"), "D1").groupBy("symbolId").agg(
+        F.to_json(F.struct(F.map_from_arrays(F.array(symbol), F.array(F.collect_list(bar))).alias("bars"))).alias("value"))
+    documents.repartition("symbolId").write.partitionBy("symbolId").text(path)
+    return bronze.parse_bars(readers.read_payload_files(db.spark, f"{path}/*")).select("symbol", "t", "v")
+
+
 @query("retention", (), """
 select cast(ts as date) as day, count(*) as ticks from events
 where cast(ts as date) >= (select cast(max(ts) - interval 1 day as date) from events) group by 1""")
