@@ -27,15 +27,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     joined = stored(similar.similar_components(docs), "components")
     others = joined.filter("doc_id is not null and component_id <> doc_id").select("doc_id").distinct()
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    kept = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
-    copied = stored(
-        docs.groupBy("doc_id", digest.alias("__copied")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
-            F.col("doc_id").alias("__again"), "__copied"), "copied")
-    if copied.isEmpty():  # no text is shuffled for what is not there
-        return kept
-    same = F.col("doc_id").eqNullSafe(F.col("__again")) & (digest == F.col("__copied"))
-    once = kept.join(copied, same, "left_semi").withColumn("__text", digest).dropDuplicates(["doc_id", "__text"])
-    return kept.join(copied, same, "left_anti").unionByName(once.drop("__text"))
+    kept = docs.join(others, "doc_id", "left_anti").withColumn("__text", digest)
+    return kept.dropDuplicates(["doc_id", "__text"]).select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
