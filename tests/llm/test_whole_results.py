@@ -1,10 +1,16 @@
 """Rows that caps, cut ids and per-row decisions would lose."""
 
 import hashlib
+import html
+import re
+import time
+
+import pytest
 
 import corpus_pipeline
 from tests.llm.brute import item_hits, shingle_set
-from tickloom.llm import decontaminate, licences, urls, warc
+from tickloom.llm import decontaminate, html_text, licences, urls, warc
+from tickloom.llm.common import table
 from tickloom.session import workspace
 
 rng_words = [f"word{i * 7919 % 1009}x{i}" for i in range(4000)]
@@ -72,3 +78,45 @@ def test_pipeline_stages_keep_rows_apart(spark, sf_dir):
     assert left == sorted((i or 0, t) for i, t in set(rows) - {(3, long + " end")})
     clean = corpus_pipeline.benchmark_decontamination(spark, docs, sf_dir)
     assert sorted((r.doc_id or 0, r.text) for r in clean.collect()) == sorted((i or 0, t) for i, t in rows if t != item)
+
+
+LONG = "Some long text, with commas, and more words to score well."
+
+
+@pytest.mark.parametrize("inside, wanted", [
+    ("<p>The area is <math><msup><mi>r</mi><mn>2</mn></msup><annotation>r^2</annotation></math> times pi.</p>", "The area is r2 times pi."),
+    ("<p>One <script>a<b</script>two <svg><g><path d=1 /></g><text>x</text></svg>three <button>b</button>four.</p>", "One two three four."),
+    ("<h2>Sources</h2><ul><li><a href=https://a.org/x>One</a><li><a href=//b.org>Two</a><li><a href='http://c.org'>Three</a></ul>",
+     "Sources\nOne\nTwo\nThree"),
+    ("<ul><li><a href=/a>One</a><li><a href=http://www.site.org/b>Two</a><li><a href='#c'>Three</a></ul>", ""),
+    (f"<div class=discussion><p>{LONG}</p></div><p class=related>Related work is found in these papers.</p>",
+     f"{LONG}\nRelated work is found in these papers."),
+    (f"<div class=discussion><div class=comment><p>{LONG}</p></div><p>{LONG}</p></div>", ""),
+    (f"</article><article><h2>Second</h2><p>{LONG}</p>", f"Second\n{LONG}"),
+    (f"</article><article><h2><a href=/x>Teaser</a></h2><p>{LONG}</p>", ""),
+])
+def test_article_text_is_kept(inside, wanted):
+    page = f"<nav><a href=/>Home</a></nav><article><p>{LONG}</p>{inside}</article><footer>Us, here.</footer>"
+    assert html_text.main_text(page, "http://site.org/p") == f"{LONG}\n{wanted}".strip()
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 100_000 + "</x>" * 100_000, "<b>" * 100_000 + "<p></b>" * 100_000, "<i><div>" + "<b>" * 100_000 + "</i>" * 100_000,
+    "<ul>" * 60_000 + "<li>" * 100_000, "<header>" * 90_000,
+])
+def test_stray_tags_take_linear_time(page):
+    start = time.process_time()
+    assert html_text.main_text(page) == ""
+    assert time.process_time() - start < 20  # some 2 s; a search of the open elements per tag takes half an hour
+
+
+def test_main_text_of_the_table_by_a_plain_reading(spark, sf_dir):
+    """The pages of the table have one article each, of headlines, paragraphs and lists, with adverts inside it."""
+    for page in html_text.extract(table(spark, sf_dir, "pages")).join(
+            table(spark, sf_dir, "pages").select("page_id", "html"), "page_id").collect():
+        article = re.search(r"<article[^>]*>(.*?)</article>", page.html, re.S).group(1)
+        article = re.sub(r"<(div class=\"ad\"|script|style|form).*?</(div|script|style|form)>", "\n", article, flags=re.S)
+        blocks = re.split(r"</?(?:h\d|p|li|ul|ol|div|blockquote|pre)\b[^>]*>", re.sub(r"\s+", " ", article))
+        plain = [re.sub(r"<[^>]+>", "", re.sub(r"<br[^>]*>", " ", b)) for b in blocks]
+        lines = [" ".join(html.unescape(x).split()) for x in plain]
+        assert page.text == "\n".join(x for x in lines if x), page.page_id
