@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import public_tokenizers
 import pyarrow as pa
@@ -22,8 +22,11 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_PENALTY = 10.0
 #: Nodes of a worker's trie, some 200 bytes each, before it is built anew.
 TRIE_NODES = 1_000_000
-#: Distinct words whose counts a worker remembers.
-WORD_CACHE = 500_000
+#: Depth of the trie. Pre-tokens that are longer are rare and share no more with others; below, their forward scores are kept in
+#: a window as long as the longest piece.
+TRIE_DEPTH = 256
+#: Distinct words whose counts a worker remembers, none longer than the trie is deep, and their bytes.
+WORD_CACHE, CACHE_BYTES = 500_000, 32_000_000
 START = "\u2581"
 
 
@@ -41,13 +44,15 @@ def unigram_scores(path: str = MODEL) -> dict[str, float]:
 
 class TokenTrie:
     """A node per prefix of a pre-token with its forward score, the best sum over segmentations of the prefix, and
-    the number of tokens of that segmentation; at the node where a pre-token ends this is its token count."""
+    the number of tokens of that segmentation; at the node where a pre-token ends this is its token count.
 
-    def __init__(self, scores: dict[str, float], nodes: int = TRIE_NODES):
+    The trie ends at ``depth``; the rest of a longer pre-token is scored in memory that does not depend on its length."""
+
+    def __init__(self, scores: dict[str, float], nodes: int = TRIE_NODES, depth: int = TRIE_DEPTH):
         self.scores = scores
         self.longest = max(map(len, scores), default=1)
         self.byte = min(scores.values(), default=0.0) - BYTE_PENALTY
-        self.nodes = nodes
+        self.nodes, self.depth = nodes, depth
         self.clear()
 
     def clear(self) -> None:
@@ -58,28 +63,44 @@ class TokenTrie:
     def count(self, word: str) -> int:
         if len(self.children) > self.nodes:
             self.clear()
-        scores, longest = self.scores, self.longest
+        forward, tokens = self.forward, self.tokens
         node, path = 0, [0]
-        for end, char in enumerate(word, 1):
+        for end, char in enumerate(word[:self.depth], 1):
             child = self.children[node].get(char)
             if child is None:
-                spelled = len(char.encode("utf-8", "surrogatepass"))
-                best = self.forward[node] + spelled * self.byte
-                fewest = self.tokens[node] + spelled
-                for start in range(max(0, end - longest), end):
-                    score = scores.get(word[start:end])
-                    if score is not None:
-                        before = path[start]
-                        score += self.forward[before]
-                        if score > best or score == best and self.tokens[before] < fewest - 1:
-                            best, fewest = score, self.tokens[before] + 1
                 child = self.children[node][char] = len(self.children)
+                self._extend(word, end, path, 0, forward, tokens)
                 self.children.append({})
-                self.forward.append(best)
-                self.tokens.append(fewest)
             node = child
             path.append(node)
-        return self.tokens[node]
+        if len(word) <= self.depth:
+            return tokens[node]
+        path = path[-self.longest:]
+        first = self.depth + 1 - len(path)
+        forward, tokens = array("d", [forward[n] for n in path]), array("q", [tokens[n] for n in path])
+        for end in range(self.depth + 1, len(word) + 1):
+            self._extend(word, end, range(len(tokens)), first, forward, tokens)
+            if len(tokens) > 64 * self.longest:
+                first = end + 1 - self.longest
+                del forward[:-self.longest], tokens[:-self.longest]
+        return tokens[-1]
+
+    def _extend(self, word: str, end: int, path: Sequence[int], first: int, forward: array, tokens: array) -> None:
+        """Append the score and tokens of ``word[:end]``; those of shorter prefixes stand at ``path``, which begins with the
+        prefix of ``first`` characters."""
+        scores = self.scores
+        spelled = len(word[end - 1].encode("utf-8", "surrogatepass"))
+        before = path[end - 1 - first]
+        best, fewest = forward[before] + spelled * self.byte, tokens[before] + spelled
+        for start in range(max(first, end - self.longest), end):
+            score = scores.get(word[start:end])
+            if score is not None:
+                before = path[start - first]
+                score += forward[before]
+                if score > best or score == best and tokens[before] < fewest - 1:
+                    best, fewest = score, tokens[before] + 1
+        forward.append(best)
+        tokens.append(fewest)
 
 
 class WordCounts(dict):
@@ -87,12 +108,16 @@ class WordCounts(dict):
 
     def __init__(self, trie: TokenTrie):
         super().__init__()
-        self.trie = trie
+        self.trie, self.bytes = trie, 0
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        count = self[word] = self.trie.count(START + word.decode("utf-8", "surrogatepass"))
+        count = self.trie.count(START + word.decode("utf-8", "surrogatepass"))
+        if len(word) <= self.trie.depth:
+            if len(self) >= WORD_CACHE or self.bytes >= CACHE_BYTES:
+                self.clear()
+                self.bytes = 0
+            self[word] = count
+            self.bytes += len(word)
         return count
 
 
@@ -104,7 +129,7 @@ def token_counts(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """Per row of ``docs`` (``doc_id, text``; other columns are ignored) ``doc_id, n_pretokens, n_tokens``.
 
     Pre-tokens are runs of characters other than U+0020 and U+0009 to U+000D behind a word mark, case kept. A null or
-    empty text has none of either. Each row is counted by itself, so repeated rows give repeated results; an empty
+    empty text has none of either; a pre-token of any length is counted whole. Each row is counted by itself, so repeated rows give repeated results; an empty
     table gives none. A worker's trie and its words are dropped at a fixed size and built anew.
     """
 
