@@ -300,3 +300,34 @@ def test_ordering_numbers_follow_time_then_tie(spark):
     rows = spark.sql("select timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, s) as ts, e from values (0, -5L), (0, null), (1, -9223372036854775807L), (0, 9223372036854775807L) as t(s, e)")
     ordered = rows.orderBy(packed_order(rows, "ts", ("e",))).collect()
     assert ordered == rows.orderBy(F.col("ts"), F.col("e").asc_nulls_first()).collect()
+
+
+def test_table_write_computes_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    spark.sql("create database if not exists staged_writes")
+    table = "staged_writes.rows"
+    spark.sql(f"drop table if exists {table}")
+    rows = spark.range(100).repartition(4).select(counted("id").alias("id"))
+    assert writers.write_table(rows, table, "overwrite") and seen.value == 100
+    assert writers.write_table(spark.table(table).filter("id < 40"), table, "overwrite")  # from itself
+    assert not writers.write_table(rows.filter("id < 0"), table, "overwrite")
+    failing = spark.range(9).select(F.raise_error(F.lit("lost")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        writers.write_table(failing, table, "overwrite")
+    assert spark.table(table).count() == 40
+    spark.sql("drop database staged_writes cascade")
+
+
+def test_document_records_come_back_one_by_one(spark, tmp_path):
+    header = spark.createDataFrame([(1, "a}\n{b")], "id bigint, name string")
+    odd = spark.createDataFrame([(None, None), (2, ["{", "}"]), (None, None)], "id bigint, parts array<string>").coalesce(1)
+    writers.write_document(header, {"odd": odd, "none": header.filter("false")}, str(tmp_path / "d"))
+    rows = readers.read_document(spark, str(tmp_path / "d")).collect()
+    got = sorted((r.section, json.dumps(json.loads(r.json))) for r in rows)
+    assert got == [("document", '{"id": 1, "name": "a}\\n{b"}'), ("odd", '{"id": 2, "parts": ["{", "}"]}'), ("odd", "{}"), ("odd", "{}")]

@@ -102,6 +102,45 @@ def sink_document(db: Tables):
     return hits.groupBy("section", "field").agg(F.count(F.lit(1)).alias("records"))
 
 
+_DOCUMENT_VIEWS = (*reference._DIMENSION_VIEWS, "v_traders")
+
+
+@query("document_contents", _DOCUMENT_VIEWS, f"""
+with joined as ({reference.DIMENSION_SQL})
+select 'document' as section, r_regionkey::bigint as id, r_name as name, null::bigint as number from region
+union all select 'assets', assetId, name, null from v_assets
+union all select 'assetClasses', id, name, null from v_asset_classes
+union all select 'symbolCategories', id, name, assetClassId from v_categories
+union all select 'trader', account, brokerName, balance from v_traders
+union all select 'symbols', symbolId, symbolName, pipPosition from joined
+union all select 'archivedSymbols', symbolId, symbolName, null from v_symbols where not enabled""")
+def document_contents(db: Tables):
+    """All sections of the metadata document, the joined symbols among them, written and read back record by record."""
+    path = workspace(db.spark, "document")
+    header = db.table("region").select(
+        F.col("r_regionkey").cast("bigint").alias("ctidTraderAccountId"), F.col("r_name").alias("depositCurrency"))
+    archived = db.view("v_symbols").filter("not enabled").select("symbolId", F.col("symbolName").alias("name"))
+    writers.write_document(header, {
+        "assets": db.view("v_assets"), "assetClasses": db.view("v_asset_classes"), "symbolCategories": db.view("v_categories"),
+        "trader": db.view("v_traders"), "symbols": reference.symbol_dimension(db), "archivedSymbols": archived,
+    }, path)
+    fields = {  # section: id, name and number of a record
+        "document": ("ctidTraderAccountId", "depositCurrency", None), "assets": ("assetId", "name", None),
+        "assetClasses": ("id", "name", None), "symbolCategories": ("id", "name", "assetClassId"),
+        "trader": ("account", "brokerName", "balance"), "symbols": ("symbolId", "symbolName", "pipPosition"),
+        "archivedSymbols": ("symbolId", "name", None),
+    }
+
+    def field(at: int, kind: str):
+        paths = {name: f"$.{names[at]}" for name, names in fields.items() if names[at]}
+        found = F.coalesce(*[
+            F.when(F.col("section") == name, F.get_json_object("json", path)) for name, path in paths.items()])
+        return found.cast(kind)
+
+    return readers.read_document(db.spark, path).select(
+        "section", field(0, "bigint").alias("id"), field(1, "string").alias("name"), field(2, "bigint").alias("number"))
+
+
 @query("landed_accounts", ("v_accounts",), """
 select account as ctidTraderAccountId, isLive, account * 10 as traderLogin from v_accounts""")
 def landed_accounts(db: Tables):

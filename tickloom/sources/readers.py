@@ -82,3 +82,11 @@ def read_history(spark: SparkSession, path: str, ts: str, start: Column, end: Co
     and prune partitions when the table is partitioned by them."""
     rows = spark.read.format(fmt).load(path).filter(F.col(ts).between(start, end))
     return rows if symbol_id is None else rows.filter(F.col("symbolId") == symbol_id)
+
+
+def read_document(spark: SparkSession, path: str) -> DataFrame:
+    """The records of a written metadata document as rows ``(section, json)``. A record starts with a brace at the start of a
+    line, so large sections are split between tasks."""
+    lines = spark.read.schema("value string, section string").option("lineSep", "\n{").text(path)
+    record = F.when(F.col("value").startswith("{"), F.col("value")).otherwise(F.concat(F.lit("{"), F.col("value")))
+    return lines.select("section", record.alias("json"))

@@ -9,14 +9,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tickloom.operators.refdata import flat_symbols
+from tickloom.session import remove, workspace
 
 
 def write_table(df: DataFrame, table: str, mode: str, fmt: str = "parquet") -> bool:
-    """Managed table write that does nothing when there are no rows. Returns whether it wrote."""
-    if df.isEmpty():
-        return False
-    df.write.format(fmt).mode(mode).saveAsTable(table)
-    return True
+    """Managed table write that does nothing when there are no rows. Returns whether it wrote.
+
+    The rows are computed once, into the shared folder, and the table is touched only when they are all there: a load that
+    comes out empty or fails leaves it as it was, and a table may be overwritten by rows that were read from it.
+    """
+    spark, path = df.sparkSession, workspace(df.sparkSession, "staged")
+    try:
+        df.write.parquet(path)
+        staged = spark.read.schema(df.schema).parquet(path)
+        if staged.isEmpty():
+            return False
+        staged.write.format(fmt).mode(mode).saveAsTable(table)
+        return True
+    finally:
+        remove(spark, path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tickloom.functions.times import epoch_micros
 from tickloom.operators.latest import latest_per_key
+from tickloom.session import remove
 
 
 def write_batch(df: DataFrame, path: str, batch: int, fmt: str = "parquet") -> None:
@@ -26,11 +27,6 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType | str, fmt
     return spark.read.schema(schema).option("recursiveFileLookup", True).format(fmt).load(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 class Notes:
     """A small JSON value per batch. Those of the last three batches are kept."""
 
