@@ -39,8 +39,14 @@ def groups(rows):
     return {i: (len(s), root(i)) for i, s in sets.items()}
 
 
+def runs_of(text):
+    """Shingles, and all runs of fewer than five words."""
+    words = word_list(text)
+    return {tuple(words[k:k + n]) for n in range(1, 6) for k in range(len(words) - n + 1)}
+
+
 def item_hits(docs, items):
-    sets = [(i, shingle_set(t)) for i, t in docs]
+    sets = [(i, runs_of(t)) for i, t in docs]
     found = set()
     for item, text in items:
         wanted = shingle_set(text)

@@ -61,6 +61,16 @@ def test_items_over_several_rows_of_a_document(spark):
     assert item_hits([(9, item)], [(1, item)])
 
 
+def test_short_items_inside_documents(spark):
+    items = [(1, "What is love"), (2, "love"), (3, "is  love in"), (4, "y what is love z"), (5, "love what"), (6, "a b c d"), (7, "one"), (8, None)]
+    texts = ["x y what is LOVE z", "what is love", "what is", "loved one", "", None, "a b c d e a b c d", "is love\nin", "d c b a " * 500 + "b c d"]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string")
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    got = [(r.doc_id, r.item_id, r.n_item, r.n_common) for r in decontaminate.contained(docs, table).collect()]
+    assert len(got) == len(set(got)) and set(got) == item_hits([*enumerate(texts)], items)
+    assert {(0, 1), (1, 1), (0, 4), (7, 3), (6, 6), (3, 7)} <= {g[:2] for g in got} and not {g for g in got if g[1] == 5}
+
+
 def test_paths_without_a_host_are_judged(spark):
     pages = spark.createDataFrame([(1, "file:///casino/free-slots"), (2, None), (3, "no address"), (4, "http://")], "page_id bigint, url string")
     rows = {r.page_id: r for r in urls.judge(pages, urls.fit(urls.labelled_urls(spark))).collect()}

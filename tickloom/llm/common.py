@@ -86,10 +86,14 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 def shingles(words: list[bytes], hashes: WordHashes) -> np.ndarray:
     """Hashes of the distinct shingles of five words, in order; of fewer words, the sequence as one; of none, empty."""
+    return runs(words, min(SHINGLE_WORDS, len(words)), hashes)
+
+
+def runs(words: list[bytes], width: int, hashes: WordHashes) -> np.ndarray:
+    """Hashes of the distinct runs of ``width`` words, in order; of no words, empty."""
     if not words:
         return np.empty(0, np.uint64)
     each = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    width = min(SHINGLE_WORDS, len(each))
     count = len(each) - width + 1
     value = each[:count].copy()
     for k in range(1, width):

@@ -6,18 +6,21 @@ shingles, so it holds one of the sketch: no item is missed. Where several rows s
 the rest in another, so their shingles are sent on without it. Documents test their shingles against one bit filter per
 class, of fixed size, and only against classes small enough to fit into them. Those with a hit send on their shingles that
 may be of an item; an equi-join on the hash and a count then give the exact containment.
+
+An item of fewer than five words is one shingle of its own length. Documents cut their words into runs of such a length too,
+for the lengths that items have; the length is part of the hash, so runs of different lengths never meet.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import map_batches, rows_in, shingles, word_hashes, words_of
+from tickloom.llm.common import SHINGLE_WORDS, WordHashes, map_batches, rows_in, runs, shingles, word_hashes, words_of
 from tickloom.session import stored
 
 #: An item is in a document if 100 * common shingles >= PERCENT * shingles of the item.
@@ -31,23 +34,32 @@ def least_common(count: int) -> int:
     return -(-PERCENT * count // 100)
 
 
+def runs_of_document(words: list[bytes], hashes: WordHashes, short: Sequence[int]) -> np.ndarray:
+    """Hashes of the distinct shingles and of the runs of ``short`` lengths, in order."""
+    found = [shingles(words, hashes), *(runs(words, width, hashes) for width in short if width < len(words))]
+    return np.unique(np.concatenate(found)) if len(found) > 1 else found[0]
+
+
 def item_shingles(items: DataFrame) -> DataFrame:
-    """``item_id, n_item, size_class, hash, in_sketch``; an item without words has no rows."""
+    """``item_id, n_words, n_item, size_class, hash, in_sketch``; an item without words has no rows. ``n_words`` is five for
+    items of more words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
         for batch in batches:
             for item, text in rows_in(batch, "item_id", "text"):
-                found = shingles(words_of(text), hashes)
+                words = words_of(text)
+                found = shingles(words, hashes)
                 count = len(found)
                 sketch = np.arange(count) <= count - least_common(count)
                 yield pa.record_batch([
-                    pa.array([item] * count, pa.int64()), pa.array([count] * count, pa.int64()),
+                    pa.array([item] * count, pa.int64()),
+                    pa.array([min(len(words), SHINGLE_WORDS)] * count, pa.int32()), pa.array([count] * count, pa.int64()),
                     pa.array([count.bit_length()] * count, pa.int32()), pa.array(found.view(np.int64)), pa.array(sketch),
-                ], names=["item_id", "n_item", "size_class", "hash", "in_sketch"])
+                ], names=["item_id", "n_words", "n_item", "size_class", "hash", "in_sketch"])
 
     rows = items.select(F.col("item_id").cast("bigint"), F.col("text").cast("string"))
-    return map_batches(rows, run, "item_id bigint, n_item bigint, size_class int, hash bigint, in_sketch boolean")
+    return map_batches(rows, run, "item_id bigint, n_words int, n_item bigint, size_class int, hash bigint, in_sketch boolean")
 
 
 def bit_filters(hashes: DataFrame) -> dict[int, np.ndarray]:
@@ -66,13 +78,14 @@ def bit_filters(hashes: DataFrame) -> dict[int, np.ndarray]:
 def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per document and item in it ``doc_id, item_id, n_item, n_common, containment``.
 
-    Shingles are distinct runs of five words; a text of fewer words is one shingle. Words are cut and compared as in the
-    similarity join. Null or empty texts contain nothing and are in nothing. Rows with one doc_id count as one document, rows
+    Shingles are distinct runs of five words; an item of fewer words is one run of its own length, which a document holds if
+    these words follow one another anywhere in it. Words are cut and compared as in the similarity join. Null or empty texts contain nothing and are in nothing. Rows with one doc_id count as one document, rows
     without doc_id together as one with a null id; of items with one item_id each counts by its own shingles, and the best
     is given. Empty tables give no rows.
     """
     items = stored(item_shingles(items).distinct(), "items")
     spark = docs.sparkSession
+    short = sorted(r["n_words"] for r in items.select("n_words").filter(f"n_words < {SHINGLE_WORDS}").distinct().collect())
     filters = spark.sparkContext.broadcast((bit_filters(items.filter("in_sketch")), bit_filters(items)))
 
     def run(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[pa.RecordBatch]:
@@ -87,7 +100,7 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
         for batch in batches:
             ids, sent = [], []
             for doc, text in rows_in(batch, "doc_id", "text"):
-                found = shingles(words_of(text), hashes)
+                found = runs_of_document(words_of(text), hashes, short)
                 at = (found & mask).astype(np.int64)
                 hit = np.zeros(len(found), bool)
                 for size_class, bits in sketches.items():
@@ -109,7 +122,7 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
         held = held.unionByName(stored(
             map_batches(theirs, lambda batches: run(batches, whole=True), "doc_id bigint, hash bigint"), "held"))
     return (
-        held.join(items, "hash").groupBy("doc_id", "item_id", "n_item")
+        held.join(items.drop("n_words"), "hash").groupBy("doc_id", "item_id", "n_item")
         .agg(F.count_distinct("hash").alias("n_common"), F.max("in_sketch").alias("in_sketch"))
         .filter(f"in_sketch and 100 * n_common >= {PERCENT} * n_item")
         .withColumn("containment", F.col("n_common") / F.col("n_item"))

@@ -61,11 +61,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 with shingled as (
   select kind, id, list_distinct(case
            when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
-           when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
+           when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s,
+         case when kind = 'd' then list_distinct(flatten(list_transform(range(1, 5), lambda k: list_transform(
+           range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))))) else [] end as short
   from (select 'd' as kind, doc_id as id, {WORDS.format(text=LOWERED)} as w from documents
         union all select 'i', item_id, {WORDS.format(text=LOWERED)} from benchmark)),
 items as (select id as item_id, len(s) as n_item, unnest(s) as shingle from shingled where kind = 'i'),
-held as (select id as doc_id, unnest(s) as shingle from shingled where kind = 'd')
+held as (select distinct id as doc_id, unnest(list_concat(s, short)) as shingle from shingled where kind = 'd')
 select doc_id, item_id, items.n_item::bigint as n_item, count(*) as n_common, count(*)::double / items.n_item as containment
 from held join items using (shingle) group by doc_id, item_id, items.n_item having 100 * count(*) >= 80 * items.n_item""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
