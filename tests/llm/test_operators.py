@@ -396,12 +396,18 @@ def test_licence_cosines_match_brute_force(spark, sf_dir):
 
     sides = [(k, weights(c)) for k, c in templates]
     longest = max(sum(c.values()) for _, c in templates)
+    laid = {}
+    for *run, template, at, length in licences.seeds([licences.terms(t) for texts in licences.TEMPLATES.values() for t in texts]):
+        laid.setdefault(tuple(run), []).append((at, length))
     want = {}
     for path, text in rows:
-        units = text.split("\n") + ([text] if len(licences.terms(text)) <= 2 * longest else [])
+        whole = licences.terms(text)
+        units = [licences.terms(line) for line in text.split("\n")] + ([whole] if len(whole) <= 2 * longest else [])
+        for p in range(len(whole)):
+            units += [whole[max(p - at, 0):max(p - at, 0) + n] for at, n in laid.get(tuple(whole[p:p + licences.SEED]), [])]
         best = (0.0, "")
         for unit in units:
-            own = weights(Counter(licences.terms(unit)))
+            own = weights(Counter(unit))
             for name, other in sides:
                 dot = sum(x * other[t] for t, x in own.items() if t in other)
                 if dot:

@@ -3,6 +3,7 @@
 import hashlib
 import html
 import re
+import textwrap
 import time
 import tracemalloc
 
@@ -45,6 +46,24 @@ def test_every_id_has_a_path(spark):
     assert found[1_234_567_890] == (True, 0) and found[1_234_567_891] == (True, 1) and found[7] == (False, None)
 
 
+@pytest.mark.parametrize("width", [40, 72, 80, 5000])
+def test_wrapped_licence_texts(spark, width):
+    """Licence texts wrapped at any width, alone, in long files and amid long lines; what lies below them inherits."""
+    mit, bsd, apache = (max(licences.TEMPLATES[k], key=len) for k in ("MIT", "BSD-3-Clause", "Apache-2.0"))
+    prose = " ".join(rng_words[:3000])
+    spoken = {
+        "m/LICENSE": ("MIT", "The MIT License\n\nCopyright 2020 A. Writer\n\n" + textwrap.fill(mit, width) + "\n\n" + prose),
+        "b/COPYING": ("BSD-3-Clause", prose + "\n" + textwrap.fill(prose[:300] + " " + bsd + " " + prose[:300], width)),
+        "a/x.py": ("Apache-2.0", "\n".join("# " + line for line in textwrap.wrap("Copyright 2020 A. Writer " + apache, width)) + "\n" + prose),
+        "s/y.py": ("GPL-3.0", prose[:700] + " This work is licensed under the GNU General Public License, version 3. " + prose[:700]),
+        "n/z.py": (None, textwrap.fill(prose, width)),
+    }
+    rows = [(p, t) for p, (_, t) in spoken.items()] + [("m/deep/er/file", "code"), ("n/file", None)]
+    rows += [("m/LICENSE", "other text of the same path"), ("b/COPYING", spoken["b/COPYING"][1])]
+    found = {r.path: (r.licence, r.levels_up) for r in licences.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert found == {p: (k, 0 if k else None) for p, (k, _) in spoken.items()} | {"m/deep/er/file": ("MIT", 3), "n/file": (None, None)}
+
+
 def test_items_over_several_rows_of_a_document(spark):
     item = " ".join(rng_words[:14])
     parts = [(7, " ".join(rng_words[k:k + 7])) for k in (0, 3, 7)] + [(8, " ".join(rng_words[0:7]))]

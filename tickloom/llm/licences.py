@@ -1,10 +1,12 @@
 """Licence scan: sparse TF-IDF cosine of notices and licence files to templates, then inheritance along directories.
 
-Units of a file are its lines, as notices in headers are lines, and its whole text where that is no longer than twice the
-longest template, as licence files are. A unit is scored against a template by the cosine of their TF-IDF vectors; the
-document frequencies of template terms are counted over all files, and a term of no template weighs like one never seen.
-Only units with an anchor are scored. The anchors of a template are its heaviest terms, so many that the others alone stay
-below the wanted cosine, by the Cauchy-Schwarz inequality; no unit that could match is left out.
+Units of a file are its lines, its whole text where that is no longer than twice the longest template, and windows: runs of as
+many terms as a template has, over line ends, laid so that three terms in a row stand where the template has them. So a
+notice is found wrapped at any width, in a text of any length and amid a long line. A unit is scored against a template by
+the cosine of their TF-IDF vectors; the document frequencies of template terms are counted over all files, and a term of no
+template weighs like one never seen. Only units with an anchor are scored. The anchors of a template are its heaviest terms,
+so many that the others alone stay below the wanted cosine, by the Cauchy-Schwarz inequality; no unit that could match is
+left out. Long licences are known by their notices and by the paragraphs that set them apart.
 
 A file without a licence of its own takes that of the nearest directory above it that holds one, by a join of the
 directories above each file with those that hold licences.
@@ -24,23 +26,30 @@ from tickloom.session import stored
 
 #: Cosine from which a unit states the licence of the template.
 COSINE = 0.75
+#: Terms in a row that lay a window.
+SEED = 3
 
 # Notices of public licences by SPDX identifier; one licence may have several.
 TEMPLATES: Mapping[str, tuple[str, ...]] = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
         "SPDX-License-Identifier: MIT",
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
         "SPDX-License-Identifier: GPL-3.0-only",
     ),
     "LGPL-3.0": ("Licensed under the GNU Lesser General Public License, version 3.",),
@@ -48,6 +57,7 @@ TEMPLATES: Mapping[str, tuple[str, ...]] = {
     "BSD-3-Clause": (
         "Licensed under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -106,6 +116,32 @@ def anchors(weights: Mapping[str, float], counted: list[tuple[str, Counter]], co
     return sorted(found)
 
 
+def seeds(texts: list[list[str]]) -> list[tuple]:
+    """Where each run of ``SEED`` terms stands in which template: the terms, template, offset and length of the template."""
+    return [
+        (*known[at:at + SEED], number, at, len(known))
+        for number, known in enumerate(texts) for at in range(len(known) - SEED + 1)]
+
+
+def _windows(noted: DataFrame, texts: list[list[str]]) -> DataFrame:
+    """``path, digest, unit, terms`` of the windows of files (``path, digest, lines``); units below -1. A file that is there
+    twice has the terms of a window twice, which leaves its cosines as they are."""
+    names = [f"term{k}" for k in range(SEED)]
+    laid = noted.sparkSession.createDataFrame(
+        seeds(texts), ", ".join(f"{n} string" for n in names) + ", template int, offset int, length int")
+    whole = noted.select("path", "digest", F.flatten("lines").alias("whole"))
+    shifted = [F.slice("whole", k + 1, F.size("whole")).alias(n) for k, n in enumerate(names)]
+    starts = (
+        whole.select("path", "digest", F.posexplode(F.arrays_zip(*shifted)).alias("at", "run"))
+        .select("path", "digest", "at", "run.*").join(F.broadcast(laid), names)
+        .select("path", "digest", "template", "length", F.greatest(F.col("at") - F.col("offset"), F.lit(0)).alias("start"))
+        .distinct()
+    )
+    return whole.join(stored(starts, "starts"), ["path", "digest"]).select(
+        "path", "digest", (-2 - F.col("start").cast("bigint") * len(texts) - F.col("template")).alias("unit"),
+        F.slice("whole", F.col("start") + 1, F.col("length")).alias("terms"))
+
+
 def own_licences(files: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES, cosine: float = COSINE) -> DataFrame:
     """Best match of each file that has one: ``path, licence, score``; of equal scores the first licence by name."""
     counted = _templates(templates)
@@ -120,24 +156,30 @@ def own_licences(files: DataFrame, templates: Mapping[str, tuple[str, ...]] = TE
     term_weights = spark.createDataFrame(sorted(weights.items()), "term string, weight double")
 
     anchor = F.array(*map(F.lit, anchors(weights, counted, cosine)))
-    whole = F.when(F.size(term_column(F.col("text"))) <= 2 * longest, F.array(F.translate(F.col("text"), "\n", " ")))
-    units = F.array_distinct(F.concat(F.split("text", "\n"), F.coalesce(whole, F.array().cast("array<string>"))))
+    lines = F.transform(F.split("text", "\n"), term_column)
+    noted = stored(
+        files.select("path", F.xxhash64("text").alias("digest"), lines.alias("lines"))
+        .filter(F.exists("lines", lambda t: F.arrays_overlap(t, anchor))), "noted")
+    whole = F.flatten("lines")
+    alone = noted.select("path", "digest", F.posexplode("lines").alias("unit", "terms")).select(
+        "path", "digest", F.col("unit").cast("bigint"), "terms")
+    short = noted.filter(F.size(whole) <= 2 * longest).select("path", "digest", F.lit(-1).cast("bigint").alias("unit"), whole.alias("terms"))
+    units = alone.unionByName(short).unionByName(_windows(noted, [terms(t) for texts in templates.values() for t in texts]))
+    unit = ["path", "digest", "unit"]
     scored = (
-        files.select("path", F.posexplode(F.filter(
-            F.transform(units, term_column), lambda t: F.arrays_overlap(t, anchor))).alias("unit", "terms"))
-        .select("path", "unit", F.explode("terms").alias("term"))
-        .groupBy("path", "unit", "term").agg(F.count(F.lit(1)).alias("times"))
+        units.filter(F.arrays_overlap("terms", anchor)).select(*unit, F.explode("terms").alias("term"))
+        .groupBy(*unit, "term").agg(F.count(F.lit(1)).alias("times"))
         .join(F.broadcast(term_weights), "term", "left")
         .withColumn("weight", F.coalesce("weight", F.lit(unseen)))
     )
     scored = stored(scored, "units")
-    norms = scored.groupBy("path", "unit").agg(F.sqrt(F.sum(F.pow(F.col("times") * F.col("weight"), 2))).alias("norm"))
+    norms = scored.groupBy(*unit).agg(F.sqrt(F.sum(F.pow(F.col("times") * F.col("weight"), 2))).alias("norm"))
     dots = (
-        scored.join(F.broadcast(template_terms), "term").groupBy("path", "unit", "template", "licence")
+        scored.join(F.broadcast(template_terms), "term").groupBy(*unit, "template", "licence")
         .agg(F.sum(F.col("times") * F.col("part")).alias("dot"))
     )
     return (
-        dots.join(norms, ["path", "unit"])
+        dots.join(norms, unit)
         .withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("score") >= cosine)
         .groupBy("path").agg(F.min_by(F.struct("licence", "score"), F.struct(-F.col("score"), F.col("licence"))).alias("best"))
         .select("path", "best.licence", "best.score")
@@ -156,7 +198,7 @@ def scan(files: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
     ``stated_by`` is the file that states the licence: the file itself at 0 levels up, or the best match of the nearest
     directory above that holds one, its own directory being 1 level up; of several in a directory the highest score, then
     the smallest path. Files without either have nulls. A null text is empty; a null path states and inherits nothing.
-    Rows that share a path are one file. An empty table gives no rows.
+    Rows that share a path are one file with the units of each. An empty table gives no rows.
     """
     known = files.select(F.col("path").cast("string"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     own = stored(own_licences(known.filter("path is not null"), templates, cosine), "own")
