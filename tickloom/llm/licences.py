@@ -6,7 +6,8 @@ notice is found wrapped at any width, in a text of any length and amid a long li
 the cosine of their TF-IDF vectors; the document frequencies of template terms are counted over all files, and a term of no
 template weighs like one never seen. Only units with an anchor are scored. The anchors of a template are its heaviest terms,
 so many that the others alone stay below the wanted cosine, by the Cauchy-Schwarz inequality; no unit that could match is
-left out. Long licences are known by their notices and by the paragraphs that set them apart.
+left out. Long licences are known by their notices and by the paragraphs that set them apart, a template each: a common term
+that comes often in one long template would be an anchor.
 
 A file without a licence of its own takes that of the nearest directory above it that holds one, by a join of the
 directories above each file with those that hold licences.
@@ -34,7 +35,7 @@ TEMPLATES: Mapping[str, tuple[str, ...]] = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
-        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
         "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
         "SPDX-License-Identifier: Apache-2.0",
     ),
