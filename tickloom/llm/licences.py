@@ -1,8 +1,8 @@
 """Licence scan: sparse TF-IDF cosine of notices and licence files to templates, then inheritance along directories.
 
 Units of a file are its lines, its whole text where that is no longer than twice the longest template, and windows: runs of as
-many terms as a template has, over line ends, laid so that three terms in a row stand where the template has them. So a
-notice is found wrapped at any width, in a text of any length and amid a long line. A unit is scored against a template by
+many terms as a template has, over line ends, laid so that three terms in a row, an anchor of the template among them, stand
+where the template has them. So a notice is found wrapped at any width, in a text of any length and amid a long line. A unit is scored against a template by
 the cosine of their TF-IDF vectors; the document frequencies of template terms are counted over all files, and a term of no
 template weighs like one never seen. Only units with an anchor are scored. The anchors of a template are its heaviest terms,
 so many that the others alone stay below the wanted cosine, by the Cauchy-Schwarz inequality; no unit that could match is
@@ -117,29 +117,31 @@ def anchors(weights: Mapping[str, float], counted: list[tuple[str, Counter]], co
     return sorted(found)
 
 
-def seeds(texts: list[list[str]]) -> list[tuple]:
-    """Where each run of ``SEED`` terms stands in which template: the terms, template, offset and length of the template."""
-    return [
-        (*known[at:at + SEED], number, at, len(known))
-        for number, known in enumerate(texts) for at in range(len(known) - SEED + 1)]
+def seeds(templates: Mapping[str, tuple[str, ...]], weights: Mapping[str, float], cosine: float) -> list[tuple]:
+    """The runs of ``SEED`` terms of a template that hold an anchor of it, each with its offset and the template's length."""
+    found = set()
+    for text in (text for texts in templates.values() for text in texts):
+        known = terms(text)
+        heavy = set(anchors(weights, [("", Counter(known))], cosine))
+        for at in range(len(known) - SEED + 1):
+            if heavy.intersection(known[at:at + SEED]):
+                found.add((*known[at:at + SEED], at, len(known)))
+    return sorted(found)
 
 
-def _windows(noted: DataFrame, texts: list[list[str]]) -> DataFrame:
-    """``path, digest, unit, terms`` of the windows of files (``path, digest, lines``); units below -1. A file that is there
-    twice has the terms of a window twice, which leaves its cosines as they are."""
+def _windows(noted: DataFrame, laid: list[tuple], longest: int) -> DataFrame:
+    """``file, unit, terms`` of the windows of files (``file, lines``); units below -1."""
     names = [f"term{k}" for k in range(SEED)]
-    laid = noted.sparkSession.createDataFrame(
-        seeds(texts), ", ".join(f"{n} string" for n in names) + ", template int, offset int, length int")
-    whole = noted.select("path", "digest", F.flatten("lines").alias("whole"))
+    places = noted.sparkSession.createDataFrame(laid, ", ".join(f"{n} string" for n in names) + ", offset int, length int")
+    whole = noted.select("file", F.flatten("lines").alias("whole"))
     shifted = [F.slice("whole", k + 1, F.size("whole")).alias(n) for k, n in enumerate(names)]
     starts = (
-        whole.select("path", "digest", F.posexplode(F.arrays_zip(*shifted)).alias("at", "run"))
-        .select("path", "digest", "at", "run.*").join(F.broadcast(laid), names)
-        .select("path", "digest", "template", "length", F.greatest(F.col("at") - F.col("offset"), F.lit(0)).alias("start"))
-        .distinct()
+        whole.select("file", F.posexplode(F.arrays_zip(*shifted)).alias("at", "run"))
+        .select("file", "at", "run.*").join(F.broadcast(places), names)
+        .select("file", "length", F.greatest(F.col("at") - F.col("offset"), F.lit(0)).alias("start")).distinct()
     )
-    return whole.join(stored(starts, "starts"), ["path", "digest"]).select(
-        "path", "digest", (-2 - F.col("start").cast("bigint") * len(texts) - F.col("template")).alias("unit"),
+    return whole.join(stored(starts, "starts"), "file").select(
+        "file", (-2 - F.col("start").cast("bigint") * (longest + 1) - F.col("length")).alias("unit"),
         F.slice("whole", F.col("start") + 1, F.col("length")).alias("terms"))
 
 
@@ -159,29 +161,28 @@ def own_licences(files: DataFrame, templates: Mapping[str, tuple[str, ...]] = TE
     anchor = F.array(*map(F.lit, anchors(weights, counted, cosine)))
     lines = F.transform(F.split("text", "\n"), term_column)
     noted = stored(
-        files.select("path", F.xxhash64("text").alias("digest"), lines.alias("lines"))
-        .filter(F.exists("lines", lambda t: F.arrays_overlap(t, anchor))), "noted")
+        files.select("path", lines.alias("lines")).filter(F.exists("lines", lambda t: F.arrays_overlap(t, anchor)))
+        .withColumn("file", F.monotonically_increasing_id()), "noted")
     whole = F.flatten("lines")
-    alone = noted.select("path", "digest", F.posexplode("lines").alias("unit", "terms")).select(
-        "path", "digest", F.col("unit").cast("bigint"), "terms")
-    short = noted.filter(F.size(whole) <= 2 * longest).select("path", "digest", F.lit(-1).cast("bigint").alias("unit"), whole.alias("terms"))
-    units = alone.unionByName(short).unionByName(_windows(noted, [terms(t) for texts in templates.values() for t in texts]))
-    unit = ["path", "digest", "unit"]
+    alone = noted.select("file", F.posexplode("lines").alias("unit", "terms")).withColumn("unit", F.col("unit").cast("bigint"))
+    short = noted.filter(F.size(whole) <= 2 * longest).select("file", F.lit(-1).cast("bigint").alias("unit"), whole.alias("terms"))
+    units = alone.unionByName(short).unionByName(_windows(noted, seeds(templates, weights, cosine), longest))
     scored = (
-        units.filter(F.arrays_overlap("terms", anchor)).select(*unit, F.explode("terms").alias("term"))
-        .groupBy(*unit, "term").agg(F.count(F.lit(1)).alias("times"))
+        units.filter(F.arrays_overlap("terms", anchor)).select("file", "unit", F.explode("terms").alias("term"))
+        .groupBy("file", "unit", "term").agg(F.count(F.lit(1)).alias("times"))
         .join(F.broadcast(term_weights), "term", "left")
         .withColumn("weight", F.coalesce("weight", F.lit(unseen)))
     )
     scored = stored(scored, "units")
-    norms = scored.groupBy(*unit).agg(F.sqrt(F.sum(F.pow(F.col("times") * F.col("weight"), 2))).alias("norm"))
+    norms = scored.groupBy("file", "unit").agg(F.sqrt(F.sum(F.pow(F.col("times") * F.col("weight"), 2))).alias("norm"))
     dots = (
-        scored.join(F.broadcast(template_terms), "term").groupBy(*unit, "template", "licence")
+        scored.join(F.broadcast(template_terms), "term").groupBy("file", "unit", "template", "licence")
         .agg(F.sum(F.col("times") * F.col("part")).alias("dot"))
     )
     return (
-        dots.join(norms, unit)
+        dots.join(norms, ["file", "unit"])
         .withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).filter(F.col("score") >= cosine)
+        .join(noted.select("file", "path"), "file")
         .groupBy("path").agg(F.min_by(F.struct("licence", "score"), F.struct(-F.col("score"), F.col("licence"))).alias("best"))
         .select("path", "best.licence", "best.score")
     )
