@@ -12,7 +12,7 @@ from tickloom.plans.scratch import drain
 from tickloom.plans.views import THRESHOLDS, Tables
 from tickloom.sources.writers import publish
 from tickloom.streaming import live as L
-from tickloom.streaming.state import HeldRows, KeyedState, read_batches
+from tickloom.streaming.state import HeldRows, KeyedState, RollingCounts, read_batches
 
 FILES = 5
 LINE = Timeline(("account",), "ts", ("event_id",))
@@ -222,3 +222,38 @@ def test_top_tile_reads_closed_slots(spark, feed, tmp_path):
         (F.col("ts") >= F.lit(end) - F.expr("interval 3 hours")) & (F.col("ts") < F.lit(end)))
     want = Q.tick_counts(ticks, "symbolId").orderBy(F.desc("tick_count"), "symbolId").limit(20)
     assert [tuple(r) for r in L.top_tile(counts).collect()] == [tuple(r) for r in want.collect()]
+
+
+def test_kept_tile_equals_the_summed_one_after_each_file(spark, feed, tmp_path):
+    """One file a run; the window is shorter than a file, so slots leave, and some runs close nothing."""
+    shape = feed[1].selectExpr("account as symbolId").schema["symbolId"]
+    tile = RollingCounts(spark, f"{tmp_path}/tile", shape, 300, 6)
+    quiet = feed[1].selectExpr("event_id", "account", "marginLevel", "ts").limit(1)
+    parts = [spark.read.schema(feed[1].schema).parquet(feed[0].replace("*", str(k))) for k in range(FILES)]
+    for part in [parts[0], quiet.select(*feed[1].columns), parts[1], parts[2]]:
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        live = spark.readStream.schema(feed[1].schema).parquet(f"{tmp_path}/in").selectExpr(
+            "event_id", "cast(ts as timestamp) as ts", "account as symbolId")
+        with L.state_partitions(spark, 4):
+            drain(L.live_tile(live, "10 minutes", tile, f"{tmp_path}/cp-tile"))
+            drain(L.live_counts(live, "10 minutes", f"{tmp_path}/out", f"{tmp_path}/cp"))
+        want = L.top_tile(spark.read.parquet(f"{tmp_path}/out"), slots=6).collect()
+        assert want and [tuple(r) for r in L.top_now(tile).collect()] == [tuple(r) for r in want]
+
+
+def test_a_tile_batch_run_again_changes_nothing(spark, tmp_path):
+    def counts(*items):
+        return spark.createDataFrame(items, "symbolId long, s long, ticks long").selectExpr(
+            "symbolId", "timestamp_seconds(s) as slot_end", "ticks")
+
+    shape = counts((1, 300, 1)).schema["symbolId"]
+    tile = RollingCounts(spark, str(tmp_path), shape, 300, 3)
+    batches = [counts((1, 300, 5), (2, 300, 1)), counts((1, 600, 2)).filter("false"), counts((1, 900, 2), (None, 900, 4)),
+               counts((1, 1200, 1)), counts((3, 9000, 7)), counts((3, 9300, 1))]
+    want = [{1: 5, 2: 1}, {1: 5, 2: 1}, {1: 7, 2: 1, None: 4}, {1: 3, None: 4}, {3: 7}, {3: 8}]
+    for n, (batch, totals) in enumerate(zip(batches, want, strict=True)):
+        for _ in range(2):
+            tile.add(batch, n)
+            assert {r.symbolId: r.ticks for r in tile.current().collect()} == totals
+    ring = spark.read.parquet(f"{tmp_path}/ring")
+    assert {r.batch for r in ring.select("batch").distinct().collect()} == {4, 5}, "slots that left are removed"

@@ -26,7 +26,7 @@ from tickloom.session import workspace
 from tickloom.sources.readers import read_event_stream
 from tickloom.sources.writers import bus_messages
 from tickloom.streaming import live as L
-from tickloom.streaming.state import HeldRows, KeyedState, read_batches
+from tickloom.streaming.state import HeldRows, KeyedState, RollingCounts, read_batches
 
 DELAY = "10 minutes"
 DELAY_SECONDS, JITTER_SECONDS, LOADS, BUCKETS = 600, 420, 3, 16
@@ -82,12 +82,15 @@ def live_bars(db: Tables):
     return _off_clock(db.spark.read.parquet(out), "bar_time")
 
 
-@query("live_top", ("v_spot",), f"""
+_TOP = f"""
 with slots as (select symbolId, time_bucket(interval '5 minutes', ts) + interval 5 minute as slot_end from v_spot),
      closed as (select * from slots where slot_end <= {_CLOSED})
 select symbolId, count(*) as tick_count from closed
 where slot_end > (select max(slot_end) from closed) - interval 180 minute
-group by 1 order by 2 desc, 1 limit 20""")
+group by 1 order by 2 desc, 1 limit 20"""
+
+
+@query("live_top", ("v_spot",), _TOP)
 def live_top(db: Tables):
     out, checkpoint = _folders(db, "live-top")
     with L.state_partitions(db.spark):
@@ -95,6 +98,17 @@ def live_top(db: Tables):
     return L.top_tile(db.spark.read.parquet(out))
 
 
+@query("live_tile", ("v_spot",), _TOP)
+def live_tile(db: Tables):
+    """The same tile from totals that each batch brings up to date, over several loads."""
+    out, checkpoint = _folders(db, "live-tile")
+    rows = db.view("v_spot").select("event_id", "symbolId", "ts")
+    tile = RollingCounts(db.spark, out, rows.schema["symbolId"], 300, 36)
+    with L.state_partitions(db.spark):
+        in_loads(rows, "ts", f"{out}-in", lambda ticks: L.live_tile(_on_clock(ticks), DELAY, tile, checkpoint))
+    return L.top_now(tile)
+
+
 @query("live_sessions", ("v_spot",), f"""
 with closed as (select symbolId, ts from v_spot
                 where time_bucket(interval '5 minutes', ts) + interval 5 minute <= {_CLOSED}),

@@ -20,7 +20,7 @@ from tickloom.operators.joins import spread_over
 from tickloom.operators.ordered import Timeline, previous
 from tickloom.operators.quotes import sessions_from_slots, with_symbol_name
 from tickloom.sources.writers import bus_messages, hot_rows
-from tickloom.streaming.state import HeldRows, KeyedState, tagged_state, write_batch
+from tickloom.streaming.state import HeldRows, KeyedState, RollingCounts, tagged_state, write_batch
 
 Trigger = dict
 ONCE: Trigger = {"availableNow": True}
@@ -90,17 +90,32 @@ def live_bars(ticks: DataFrame, period: str, delay: str, path: str, checkpoint:
     return append(bars, path, checkpoint, trigger)
 
 
-def live_counts(ticks: DataFrame, delay: str, path: str, checkpoint: str, slot: str = "5 minutes",
-                trigger: Trigger = ONCE) -> StreamingQuery:
-    """Closed tick counts per symbol and slot; what the top-symbols tile reads. A sliding window in the
-    stream itself would copy every tick once per slot of its length."""
-    counts = (
+def closed_counts(ticks: DataFrame, delay: str, slot: str = "5 minutes") -> DataFrame:
+    """Tick counts per symbol and slot, each given once, when the watermark has passed the slot."""
+    return (
         ticks.withWatermark("ts", delay)
         .groupBy("symbolId", F.window("ts", slot).alias("w"))
         .agg(F.count(F.lit(1)).alias("ticks"))
         .select("symbolId", F.col("w.end").alias("slot_end"), "ticks")
     )
-    return append(counts, path, checkpoint, trigger)
+
+
+def live_counts(ticks: DataFrame, delay: str, path: str, checkpoint: str, slot: str = "5 minutes",
+                trigger: Trigger = ONCE) -> StreamingQuery:
+    """Closed tick counts per symbol and slot; what the top-symbols tile reads. A sliding window in the
+    stream itself would copy every tick once per slot of its length."""
+    return append(closed_counts(ticks, delay, slot), path, checkpoint, trigger)
+
+
+def live_tile(ticks: DataFrame, delay: str, tile: RollingCounts, checkpoint: str, slot: str = "5 minutes",
+              trigger: Trigger = ONCE) -> StreamingQuery:
+    """Keep the totals of the newest slots; ``top_now`` reads them without summing slots."""
+    return _per_batch(closed_counts(ticks, delay, slot), tile.add, checkpoint, trigger)
+
+
+def top_now(tile: RollingCounts, n: int = 20) -> DataFrame:
+    """Top symbols of a kept tile."""
+    return tile.current().withColumnRenamed("ticks", "tick_count").orderBy(F.desc("tick_count"), "symbolId").limit(n)
 
 
 def top_tile(counts: DataFrame, slots: int = 36, slot_minutes: int = 5, n: int = 20) -> DataFrame:

@@ -159,6 +159,62 @@ class HeldRows:
             F.col("due") == due).drop("due")
 
 
+class RollingCounts:
+    """Sum of the newest ``slots`` closed slots per key: a batch adds what enters and takes off what leaves.
+
+    ``counts`` are rows ``key, slot_end, ticks`` of closed slots, each given once. They wait in a ring of folders per slot until
+    they leave, so a batch reads its own rows, the slots that leave and the totals, never the slots in between. Batches
+    without rows change nothing.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: T.StructField, slot_seconds: int, slots: int):
+        self.spark, self.path, self.key, self.width = spark, path, key.name, slot_seconds * slots * 1_000_000
+        self.schema = T.StructType([key, T.StructField("ticks", T.LongType())])
+        self.notes = Notes(spark, f"{path}/notes")
+
+    def _totals(self, version: int | None) -> DataFrame:
+        if version is None:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/totals/batch={version}")
+
+    def current(self) -> DataFrame:
+        return self._totals(self.notes.newest().get("version"))
+
+    def _leaving(self, after: int, until: int, batch: int) -> DataFrame:
+        ring = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType()), T.StructField("slot", T.LongType())])
+        rows = self.spark.read.schema(ring).parquet(f"{self.path}/ring").filter(
+            (F.col("slot") > after) & (F.col("slot") <= until) & (F.col("batch") < batch))
+        return rows.select(self.key, (-F.col("ticks")).alias("ticks"))
+
+    def add(self, counts: DataFrame, batch: int) -> None:
+        note = self.notes.before(batch)
+        clock, version, ring = note.get("clock"), note.get("version"), dict(note.get("ring", {}))
+        rows = counts.select(self.key, "ticks", epoch_micros(F.col("slot_end")).alias("slot")).persist()
+        try:
+            newest = rows.agg(F.max("slot")).first()[0]
+            if newest is not None:
+                now = newest if clock is None else max(newest, clock)
+                entering = rows.filter(F.col("slot") > now - self.width)
+                entering.repartition("slot").write.mode("overwrite").partitionBy("slot").parquet(f"{self.path}/ring/batch={batch}")
+                changed = self._totals(version).unionByName(entering.select(self.key, "ticks"))
+                if clock is not None:
+                    changed = changed.unionByName(self._leaving(clock - self.width, now - self.width, batch))
+                changed.groupBy(self.key).agg(F.sum("ticks").alias("ticks")).filter("ticks > 0").write.mode("overwrite").parquet(
+                    f"{self.path}/totals/batch={batch}")
+                ring[str(batch)] = newest
+                if clock is not None:  # what had left before this batch is asked for no more
+                    for old in [b for b, last in ring.items() if last <= clock - self.width]:
+                        remove(self.spark, f"{self.path}/ring/batch={old}")
+                        del ring[old]
+                clock, version = now, batch
+        finally:
+            rows.unpersist()
+        replaced = self.notes.before(batch - 1).get("version") if batch else None
+        self.notes.write({"clock": clock, "version": version, "ring": ring}, batch)
+        if replaced not in (None, note.get("version"), version):
+            remove(self.spark, f"{self.path}/totals/batch={replaced}")
+
+
 def tagged_state(state: DataFrame, batch: DataFrame) -> DataFrame:
     """The last known row of each key in front of the batch's rows, told apart by ``__old``."""
     return batch.withColumn("__old", F.lit(False)).unionByName(state.withColumn("__old", F.lit(True)))
