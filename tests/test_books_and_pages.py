@@ -8,6 +8,7 @@ from zoneinfo import ZoneInfo
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.operators import joins
 from tickloom.operators import latest as T
 from tickloom.operators import quotes as Q
 from tickloom.operators import refdata as R
@@ -45,6 +46,35 @@ def test_schedules_follow_their_zone_and_daylight_saving(spark):
         assert len(rows) == len(want) and {(r.event_id, r.second_of_week) for r in rows} == want
 
 
+def test_many_schedules_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Zones and slots of a schedule table counted to be large are shuffled, however small its file is."""
+    monkeypatch.setattr(joins, "is_small", lambda df: False)
+    spark.range(3000).selectExpr(
+        "id as symbolId", "if(id % 2 = 0, 'Asia/Tokyo', null) as scheduleTimeZone",
+        "array(named_struct('startSecond', 0L, 'endSecond', 302400L + id % 7)) as schedule").write.parquet(str(tmp_path / "d"))
+    spark.range(4000).selectExpr(
+        "id as event_id", "id % 4000 as symbolId", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 300) as ts",
+    ).write.parquet(str(tmp_path / "t"))
+    inside = Q.in_symbol_session(spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "d")))
+    got = {(r.event_id, r.second_of_week) for r in inside.collect()}
+    local = {i: (86400 + i * 300 + (9 * 3600 if i % 2 == 0 else 0)) % 604_800 for i in range(3000)}
+    assert got == {(i, s) for i, s in local.items() if s < 302_400 + i % 7}
+    ran = inside._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in ran and "BroadcastHashJoin" not in ran
+
+
+def test_slots_are_counted_not_ranges(spark, monkeypatch):
+    """Three ranges of a whole week are 504 slots, which a limit of 100 rows keeps from being broadcast."""
+    monkeypatch.setattr(joins, "is_small", lambda df: df.count() <= 100)
+    details = spark.range(3).selectExpr(
+        "id as symbolId", "'UTC' as scheduleTimeZone", "array(named_struct('startSecond', 0L, 'endSecond', 604800L)) as schedule")
+    ticks = spark.range(60).selectExpr("id as event_id", "id % 6 as symbolId", "timestamp_ntz '2024-01-01 00:00:00' as ts")
+    inside = Q.in_symbol_session(ticks, details)
+    assert {r.event_id for r in inside.collect()} == {i for i in range(60) if i % 6 < 3}
+    ran = inside._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in ran and "LeftSemi, BuildRight" not in ran
+
+
 def chain(edges, first, last):
     """Shortest chain, smallest symbols first, by distances to the last asset."""
     far, queue = {last: 0}, deque([last])

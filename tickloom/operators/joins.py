@@ -30,23 +30,27 @@ def lookup_join(
 
     ``counted`` is a cheaper table to count that the lookup cannot outgrow, such as its input. A stream
     joins as Spark plans it, as its batches cannot be counted beforehand.
+
+    A lookup counted to be large is never broadcast. Without hot keys adaptive execution plans it anew by the
+    size of its file, which says nothing of the rows it is exploded to.
     """
     if rows.isStreaming:
         return _join(rows, lookup, keys, how, condition)
     if is_small(lookup if counted is None else counted):
         return _join(rows, F.broadcast(lookup), keys, how, condition)
-    return salted_join(rows, lookup, keys, how, condition)
+    return salted_join(rows, lookup, keys, how, condition, hint="merge")
 
 
 def salted_join(
     rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", condition: Column | None = None,
-    share_rows: int = SHARE_ROWS,
+    share_rows: int = SHARE_ROWS, hint: str | None = None,
 ) -> DataFrame:
     """Shuffle join in which a key with more than ``share_rows`` rows is dealt out to several tasks.
 
     Only such keys are split, and only their lookup rows are repeated, once per share. The list of hot keys
     has at most one entry per ``share_rows`` rows of the table; that bounds what is broadcast.
     Adaptive execution splits skewed joins too, but not when a side is an aggregate or a window result.
+    ``hint`` is the join strategy asked for the lookup.
     """
     hot = (
         rows.groupBy(*keys)
@@ -64,6 +68,8 @@ def salted_join(
         .withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), shares - 1)))
         .select(*lookup.columns, "__salt")
     )
+    if hint:
+        repeated = repeated.hint(hint)
     return _join(dealt, repeated, [*keys, "__salt"], how, condition).drop("__salt")
 
 

@@ -251,7 +251,7 @@ def in_symbol_session(ticks: DataFrame, details: DataFrame, ts: str = "ts", slot
     inside = (F.col("second_of_week") >= F.col("startSecond")) & (F.col("second_of_week") < F.col("endSecond"))
     return lookup_join(
         timed.withColumn("__slot", F.floor(F.col("second_of_week") / slot_seconds)), covered, ["symbolId", "__slot"],
-        "left_semi", inside, counted=ranges).drop("__slot")
+        "left_semi", inside).drop("__slot")
 
 
 def outside_holidays(ticks: DataFrame, holidays: DataFrame, ts: str = "ts") -> DataFrame:
