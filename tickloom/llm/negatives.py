@@ -5,7 +5,10 @@ between a member and the centre; a row at angle ``t`` from the centre has an inn
 ``|anchor| * |row| * cos(max(0, t - radius))`` with any member. The rows of a block are sorted by that bound once per cluster,
 and every member walks this one list until the bound of the next row is below what can still enter its result.
 
-The first walk finds each anchor's positives over rows of its label, the second, over the others, the rows in the window that
+A walk pays where a cluster is narrow. Of each block a few rows are bounded first; clusters whose bounds would leave out little
+share plain matrix products, a tile of anchors of one label with all rows that count for it.
+
+The first pass finds each anchor's positives over rows of its label, the second, over the others, the rows in the window that
 each positive's score opens.
 """
 
@@ -13,13 +16,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.vectors import Best, Rows, blocks, chunk_rows, lower, matrix, products, seeds, sizes, usable
+from tickloom.llm.vectors import (
+    Best, Rows, blocks, chunk_rows, exact_type, lower, matrix, norms_of, products, seeds, sizes, usable)
 from tickloom.session import stored
 
 SCALE = 256.0
@@ -30,6 +35,14 @@ LEAST, MOST = 50, 95
 LEADER_ANCHORS, LEADERS = 256, 256
 #: Rows of a list that are scored at a time.
 STEP = 512
+#: Anchors whose products with a block are taken at a time.
+TILE = 256
+#: Rows of a block whose bounds say whether a cluster is walked, and how many of its members that has to spare a row on average.
+PROBE_ROWS, SPARED = 128, 32
+#: Labels of fewer anchors share tiles when rows of other labels are scored.
+LABEL_ANCHORS = 64
+#: Tasks of a pass over the rows, at least. Each task returns its best rows of every list.
+TASKS = 32
 
 
 class Cluster:
@@ -37,7 +50,7 @@ class Cluster:
 
     def __init__(self, label: int, members: np.ndarray, vectors: np.ndarray):
         self.label, self.members = label, members
-        self.norms = np.sqrt((vectors ** 2).sum(axis=1))
+        self.norms = norms_of(vectors)
         directions = vectors[self.norms > 0] / self.norms[self.norms > 0, None]
         centre = directions.sum(axis=0)
         length = np.sqrt((centre ** 2).sum())
@@ -47,37 +60,99 @@ class Cluster:
     def bounds(self, vectors: np.ndarray, norms: np.ndarray) -> np.ndarray:
         """Most that a row's inner product with a member can be, over the member's norm."""
         cosine = np.clip(vectors @ self.centre / np.where(norms > 0, norms, 1), -1, 1)
-        return norms * (np.cos(np.maximum(0, np.arccos(cosine) - self.radius)) + 1e-6)
+        widest = np.cos(self.radius)
+        nearer = cosine * widest + np.sqrt(1 - cosine * cosine) * np.sin(self.radius)
+        return norms * (np.where(cosine >= widest, 1, nearer) + 1e-6)
+
+    def cut(self, least: np.ndarray) -> float:
+        """What a row's bound must reach to matter to a member whose score has to reach ``least``."""
+        needed = lower(least)
+        return np.where(self.norms > 0, needed / np.maximum(self.norms, 1e-9), np.where(needed > 0, np.inf, -np.inf)).min()
 
 
-def clusters(vectors: np.ndarray, labels: np.ndarray, leaders: np.ndarray) -> list[Cluster]:
+def clusters(vectors: np.ndarray, labels: np.ndarray, leaders: np.ndarray, least: int = 1) -> list[Cluster]:
+    """The clusters of at least ``least`` anchors."""
     order = np.lexsort((leaders, labels))
     if not len(order):
         return []
     borders = np.flatnonzero((np.diff(labels[order]) != 0) | (np.diff(leaders[order]) != 0)) + 1
-    return [Cluster(int(labels[m[0]]), m, vectors[m]) for m in np.split(order, borders)]
+    return [Cluster(int(labels[m[0]]), m, vectors[m]) for m in np.split(order, borders) if len(m) >= least]
 
 
-def walk(cluster: Cluster, anchors: np.ndarray, block: Rows, among: np.ndarray, least, take) -> int:
-    """Walk the rows ``among`` of a block by falling bound. ``least()`` is what each member's score must reach to matter,
-    ``take(members, scores, rows)`` takes scores in. Returns how many scores were computed."""
-    vectors = block.vector[among]
-    norms = np.sqrt((vectors ** 2).sum(axis=1))
-    bounds = cluster.bounds(vectors, norms)
+def walk(cluster: Cluster, anchors: np.ndarray, block: Rows, among: np.ndarray, lists) -> int:
+    """Walk the rows ``among`` of a block by falling bound. ``lists.least()`` is what the members' scores must reach to matter,
+    ``lists.take()`` takes scores in. Returns how many scores were computed."""
+    bounds = cluster.bounds(block.vector, block.norms)[among]
+    matter = bounds >= cluster.cut(lists.least(cluster.members))
+    among, bounds = among[matter], bounds[matter]
     order = np.argsort(-bounds, kind="stable")
     scored = 0
     for start in range(0, len(order), STEP):
         part = order[start:start + STEP]
-        walking = np.flatnonzero(cluster.norms * bounds[part[0]] >= lower(least()))
+        walking = np.flatnonzero(cluster.norms * bounds[part[0]] >= lower(lists.least(cluster.members)))
         if not len(walking):
             break
         members = cluster.members[walking]
-        scores = products(anchors[members], vectors[part])
+        scores = products(anchors[members], block.vector[among[part]])
         scored += scores.size
-        take(members, scores, among[part])
+        lists.take(members, scores, block, among[part])
     return scored
 
 
+def spared(groups: list[Cluster], block: Rows, lists) -> np.ndarray:
+    """How many members of each cluster a row's bound spares on average, judged by some rows of the block."""
+    every = -(-len(block.row) // PROBE_ROWS)
+    vectors, norms = block.vector[::every], block.norms[::every]
+    return np.array([
+        (cluster.bounds(vectors, norms) < cluster.cut(lists.least(cluster.members))).mean() * len(cluster.members)
+        for cluster in groups])
+
+
+def meet(lists, anchors: Rows, members: np.ndarray, block: Rows) -> None:
+    """Score ``members``, anchors in order of their labels, with the rows of a block, in that order too, tile by tile."""
+    for group, parts in lists.meetings(anchors.label[members], block.label):
+        for start, (first, end) in product(range(group.start, group.stop, TILE), parts):
+            tile = members[start:min(start + TILE, group.stop)]
+            kind = exact_type(anchors.norms[tile].max(), block.norms[first:end].max(), single=True)
+            one, other = (x.single if kind is np.float32 else x.vector for x in (anchors, block))
+            scores = one[tile].astype(kind, copy=False) @ other[first:end].astype(kind, copy=False).T
+            lists.take(tile, scores, block, np.arange(first, end))
+
+
+def search(lists, anchors: Rows, by_label: np.ndarray, groups: list[Cluster], block: Rows) -> None:
+    """Take the rows of a block into the lists. ``by_label``: all anchors in order of their labels."""
+    block = block.by_label()
+    walked = [c for c, n in zip(groups, spared(groups, block, lists), strict=True) if n >= SPARED]
+    for cluster in walked:
+        lists.scan(cluster, anchors.vector, block)
+    others = np.ones(len(by_label), bool)
+    for cluster in walked:
+        others[cluster.members] = False
+    meet(lists, anchors, by_label[others[by_label]], block)
+
+
+def reaching(scores: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the scores that reach what their line needs."""
+    if scores.dtype == np.float32:  # whole numbers below 2^24
+        least = np.clip(np.ceil(least), -2.0**25, 2.0**25).astype(np.float32)
+    return np.divmod(np.flatnonzero(scores >= least[:, None]), scores.shape[1])
+
+
+def runs(labels: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Label, first place and end of each run of sorted labels."""
+    borders = np.flatnonzero(np.diff(labels)) + 1
+    for first, end in zip([0, *borders], [*borders, len(labels)], strict=True):
+        if first < end:
+            yield int(labels[first]), int(first), int(end)
+
+
+def kth(scores: np.ndarray, fits: np.ndarray, k: int) -> np.ndarray:
+    """The ``k``-th largest of the scores that fit, line by line, -inf where fewer do."""
+    if scores.shape[1] < k:
+        return np.full(len(scores), -np.inf)
+    return np.partition(np.where(fits, scores, -np.inf), -k, axis=1)[:, -k]
+
+
 def windows(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Least and largest whole score that ``LEAST * positive <= 100 * score <= MOST * positive`` allows."""
     whole, rest = scores // 100, scores % 100
@@ -91,37 +166,70 @@ class Positives:
         self.ids, least = chunk["row"].to_numpy(), chunk["least"].to_numpy()
         self.found = Best(len(self.ids), POSITIVES, least)
 
+    def least(self, members: np.ndarray) -> np.ndarray:
+        return self.found.least[members]
+
+    def take(self, members: np.ndarray, scores: np.ndarray, block: Rows, rows: np.ndarray) -> None:
+        one, other = reaching(scores, lower(self.least(members)))
+        kept = self.ids[members[one]] != block.row[rows[other]]
+        one, other = one[kept], other[kept]
+        self.found.add(members[one], scores[one, other], block, rows[other])
+
     def scan(self, cluster: Cluster, anchors: np.ndarray, block: Rows) -> int:
-        def take(members: np.ndarray, scores: np.ndarray, rows: np.ndarray) -> None:
-            one, other = np.nonzero(scores >= lower(self.found.least[members])[:, None])
-            kept = self.ids[members[one]] != block.row[rows[other]]
-            one, other = one[kept], other[kept]
-            self.found.add(members[one], scores[one, other], block, rows[other])
+        return walk(cluster, anchors, block, np.flatnonzero(block.label == cluster.label), self)
 
-        return walk(cluster, anchors, block, np.flatnonzero(block.label == cluster.label),
-                    lambda: self.found.least[cluster.members], take)
+    @staticmethod
+    def meetings(anchors: np.ndarray, rows: np.ndarray) -> Iterator[tuple[range, list[tuple[int, int]]]]:
+        """Ranges of anchors and of the rows to score with them, by their sorted labels."""
+        places = {label: [(first, end)] for label, first, end in runs(rows)}
+        for label, first, end in runs(anchors):
+            if label in places:
+                yield range(first, end), places[label]
 
 
 class Negatives:
     """The best rows of each anchor and positive among those of other labels in the window of the positive's score."""
 
     def __init__(self, chunk: pa.Table):
-        self.ids = np.repeat(chunk["row"].to_numpy(), POSITIVES)
+        self.ids, self.label = np.repeat(chunk["row"].to_numpy(), POSITIVES), chunk["label"].to_numpy()
         self.low, self.high, third = (
             chunk[x].combine_chunks().flatten().to_numpy().reshape(-1, POSITIVES) for x in ("low", "high", "third"))
         self.found = Best(len(self.ids), NEGATIVES, third.ravel())
 
-    def scan(self, cluster: Cluster, anchors: np.ndarray, block: Rows) -> int:
-        def take(members: np.ndarray, scores: np.ndarray, rows: np.ndarray) -> None:
-            least = lower(self.found.least).reshape(-1, POSITIVES)[members]
-            for slot in range(POSITIVES):
-                one, other = np.nonzero(
-                    (scores >= least[:, slot, None]) & (scores >= self.low[members, slot, None])
-                    & (scores <= self.high[members, slot, None]))
-                self.found.add(members[one] * POSITIVES + slot, scores[one, other], block, rows[other])
+    def slots(self, members: np.ndarray) -> np.ndarray:
+        return self.found.least.reshape(-1, POSITIVES)[members]
 
-        return walk(cluster, anchors, block, np.flatnonzero(block.label != cluster.label),
-                    lambda: self.found.least.reshape(-1, POSITIVES)[cluster.members].min(axis=1), take)
+    def least(self, members: np.ndarray) -> np.ndarray:
+        return self.slots(members).min(axis=1)
+
+    def take(self, members: np.ndarray, scores: np.ndarray, block: Rows, rows: np.ndarray) -> None:
+        one, other = reaching(scores, lower(self.least(members)))
+        kept = self.label[members[one]] != block.label[rows[other]]
+        one, other = one[kept], other[kept]
+        found, of = scores[one, other].astype(np.int64), members[one]
+        least = lower(self.slots(members))
+        fits = (found[:, None] >= least[one]) & (found[:, None] >= self.low[of]) & (found[:, None] <= self.high[of])
+        at, slot = np.nonzero(fits)
+        self.found.add(of[at] * POSITIVES + slot, found[at], block, rows[other[at]])
+
+    def scan(self, cluster: Cluster, anchors: np.ndarray, block: Rows) -> int:
+        return walk(cluster, anchors, block, np.flatnonzero(block.label != cluster.label), self)
+
+    @staticmethod
+    def meetings(anchors: np.ndarray, rows: np.ndarray) -> Iterator[tuple[range, list[tuple[int, int]]]]:
+        """As of ``Positives``. Runs of rare labels go together, with all rows."""
+        places, rare = {label: (first, end) for label, first, end in runs(rows)}, None
+        for label, first, end in runs(anchors):
+            if end - first < LABEL_ANCHORS:
+                rare = range(first if rare is None else rare.start, end)
+                continue
+            if rare is not None:
+                yield rare, [(0, len(rows))]
+                rare = None
+            start, stop = places.get(label, (0, 0))
+            yield range(first, end), [x for x in ((0, start), (stop, len(rows))) if x[0] < x[1]]
+        if rare is not None:
+            yield rare, [(0, len(rows))]
 
 
 def mine(df: DataFrame, is_anchor: Column, label: Column, scale: float = SCALE) -> DataFrame:
@@ -148,14 +256,12 @@ def mine(df: DataFrame, is_anchor: Column, label: Column, scale: float = SCALE)
         """Each anchor's leader, and its last positive among the sample as the least that can be one."""
         known, heads = Rows(sample, width, scale), matrix(leading["vector"], width, scale)
         heads /= np.maximum(np.sqrt((heads ** 2).sum(axis=1)), 1e-9)[:, None]
-        for batch in batches:
+        for batch in tiles(batches):
             anchors, ids = matrix(batch["vector"], width, scale), batch["row"].to_numpy()
-            fits = batch["label"].to_numpy()[:, None] == known.label[None, :]
-            one, other = np.nonzero(fits & (ids[:, None] != known.row[None, :]))
-            found = Best(len(ids), POSITIVES)
-            found.add(one, products(anchors, known.vector)[one, other], known, other)
+            fits = (batch["label"].to_numpy()[:, None] == known.label) & (ids[:, None] != known.row)
+            least = kth(products(anchors, known.vector).astype(np.float64, copy=False), fits, POSITIVES)
             yield pa.record_batch(
-                [*batch.columns, pa.array((anchors @ heads.T).argmax(axis=1).astype(np.int32)), pa.array(found.least)],
+                [*batch.columns, pa.array((anchors @ heads.T).argmax(axis=1).astype(np.int32)), pa.array(least)],
                 names=[*batch.schema.names, "leader", "least"])
 
     columns = f"row bigint, vec_id bigint, vector {kind}, label bigint"
@@ -182,7 +288,7 @@ def mine(df: DataFrame, is_anchor: Column, label: Column, scale: float = SCALE)
     def open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each anchor's windows, and in each the last of the best rows among the sample."""
         known = Rows(sample, width, scale)
-        for batch in batches:
+        for batch in tiles(batches):
             found_scores = products(matrix(batch["vector"], width, scale), known.vector)
             other = batch["label"].to_numpy()[:, None] != known.label[None, :]
             size, each = np.full((batch.num_rows, POSITIVES), 0, np.int64), batch["scores"].to_pylist()
@@ -191,10 +297,7 @@ def mine(df: DataFrame, is_anchor: Column, label: Column, scale: float = SCALE)
                 has = np.array([len(x) > slot for x in each])
                 low[has, slot], high[has, slot] = windows(np.array([x[slot] for x in each if len(x) > slot], np.int64))
                 fits = other & (found_scores >= low[:, slot, None]) & (found_scores <= high[:, slot, None])
-                ranked = np.sort(np.where(fits, found_scores, -np.inf), axis=1)
-                third[has, slot] = low[has, slot]
-                if ranked.shape[1] >= NEGATIVES:
-                    third[has, slot] = np.maximum(third[has, slot], ranked[has, -NEGATIVES])
+                third[has, slot] = np.maximum(low[has, slot], kth(found_scores, fits, NEGATIVES)[has])
             as_lists = [pa.array(list(x)) for x in (low, high, third)]
             yield pa.record_batch([*batch.columns, *as_lists], names=[*batch.schema.names, "low", "high", "third"])
 
@@ -209,6 +312,13 @@ def mine(df: DataFrame, is_anchor: Column, label: Column, scale: float = SCALE)
         F.col("score").alias("negative_score"))
 
 
+def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of few rows, as each is scored with the whole sample."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TILE):
+            yield batch.slice(at, TILE)
+
+
 def _chunked(anchors: DataFrame, size: int) -> DataFrame:
     """Anchors with the ``chunk`` they go in: leaders stay together, and one with more than ``size`` anchors is dealt out."""
     counts = anchors.groupBy("leader").agg(F.count(F.lit(1)).alias("n")).orderBy("leader").collect()  # LEADERS rows at most
@@ -226,18 +336,19 @@ def _chunked(anchors: DataFrame, size: int) -> DataFrame:
 
 
 def _scan(rows: DataFrame, chunk: pa.Table, of: type, width: int, scale: float) -> DataFrame:
-    """The best rows of each task for each list of a chunk of anchors."""
+    """The best rows of each task for each list of a chunk of anchors. No more tasks than can run at once in a few rounds, as
+    what they return grows with their number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, ids = matrix(chunk["vector"], width, scale), chunk["row"].to_numpy()
-        groups = clusters(anchors, chunk["label"].to_numpy(), chunk["leader"].to_numpy())
-        lists = of(chunk)
+        anchors, lists = Rows(chunk, width, scale), of(chunk)
+        groups = clusters(anchors.vector, anchors.label, chunk["leader"].to_numpy(), SPARED)
+        by_label = np.argsort(anchors.label, kind="stable")
         for block in blocks(batches, width, scale):
-            for cluster in groups:
-                lists.scan(cluster, anchors, block)
-        found, per = lists.found, len(lists.ids) // max(1, len(ids))
+            search(lists, anchors, by_label, groups, block)
+        found, per = lists.found, len(lists.ids) // max(1, len(anchors.row))
         yield pa.record_batch(
             [pa.array(lists.ids[found.of]), pa.array((found.of % max(1, per) + 1).astype(np.int32)), pa.array(found.row),
              pa.array(found.vec_id, mask=found.no_id), pa.array(found.score)],
             names=["anchor_row", "slot", "row", "vec_id", "score"])
 
-    return rows.mapInArrow(run, "anchor_row bigint, slot int, row bigint, vec_id bigint, score bigint")
+    few = rows.coalesce(max(TASKS, 2 * rows.sparkSession.sparkContext.defaultParallelism))
+    return few.mapInArrow(run, "anchor_row bigint, slot int, row bigint, vec_id bigint, score bigint")

@@ -7,6 +7,7 @@ Components become whole numbers, so that scores are exact: blocks hold them as d
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -47,15 +48,24 @@ def matrix(column: pa.ChunkedArray | pa.Array, width: int, scale: float) -> np.n
     return out
 
 
+def norms_of(rows: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.sqrt((rows * rows).sum(axis=1))
+
+
 def exact(one: np.ndarray, other: np.ndarray) -> type:
     """The type in which inner products of the two matrices' rows are exact."""
-    def longest(rows: np.ndarray) -> float:
-        with np.errstate(over="ignore"):
-            return float(np.sqrt((rows * rows).sum(axis=1).max(initial=0)))
+    return exact_type(norms_of(one).max(initial=0), norms_of(other).max(initial=0))
+
 
-    most = longest(one) * longest(other)
+def exact_type(one: float, other: float, single: bool = False) -> type:
+    """The same by the largest lengths of rows on both sides. Only ``single`` allows 32-bit floats: every sum on the way to
+    an inner product is a whole number of at most the product of the lengths, and exact below 2^24."""
+    most = one * other
     if not most < 2.0**62:
         raise OverflowError("inner products do not fit 64 bits")
+    if single and max(one, other, most) < 2.0**24:
+        return np.float32
     return np.float64 if most < 2.0**53 else np.int64
 
 
@@ -80,6 +90,21 @@ class Rows:
         self.vector = matrix(block["vector"], width, scale)
         self.label = block["label"].to_numpy() if "label" in block.column_names else None
 
+    @cached_property
+    def norms(self) -> np.ndarray:
+        return norms_of(self.vector)
+
+    @cached_property
+    def single(self) -> np.ndarray:
+        return self.vector.astype(np.float32)
+
+    def by_label(self) -> Rows:
+        """The same rows in order of their labels."""
+        order, sorted_rows = np.argsort(self.label, kind="stable"), Rows.__new__(Rows)
+        for name in ("row", "vec_id", "no_id", "vector", "label"):
+            setattr(sorted_rows, name, getattr(self, name)[order])
+        return sorted_rows
+
 
 def blocks(batches: Iterator[pa.RecordBatch], width: int, scale: float) -> Iterator[Rows]:
     waiting: list[pa.RecordBatch] = []
@@ -96,31 +121,61 @@ def blocks(batches: Iterator[pa.RecordBatch], width: int, scale: float) -> Itera
 class Best:
     """The ``k`` best rows of each of ``n`` lists: highest score, then smallest vec_id (null last), then row."""
 
-    FIELDS = ("of", "score", "no_id", "vec_id", "row")
+    FIELDS = ("score", "no_id", "vec_id", "row")
 
     def __init__(self, n: int, k: int, least: np.ndarray | None = None):
         self.k = k
         #: No row below it can enter its list.
         self.least = np.full(n, -np.inf) if least is None else least.astype(np.float64).copy()
-        self.of = np.empty(0, np.int64)
-        self.score = self.vec_id = self.row = np.empty(0, np.int64)
-        self.no_id = np.empty(0, bool)
+        self.held = np.zeros(n, np.int64)
+        #: By list and rank; only the first ``held`` of a list are set.
+        self.of_field = {f: np.zeros((n, k), bool if f == "no_id" else np.int64) for f in self.FIELDS}
+
+    def __getattr__(self, name: str) -> np.ndarray:
+        """A field of all rows held, list by list and by rank."""
+        if name not in Best.FIELDS:
+            raise AttributeError(name)
+        return self.of_field[name][self._filled()]
+
+    @property
+    def of(self) -> np.ndarray:
+        """The list of each row held."""
+        return np.repeat(np.arange(len(self.held)), self.held)
+
+    def _filled(self, lists: np.ndarray | slice = slice(None)) -> np.ndarray:
+        return np.arange(self.k) < self.held[lists][:, None]
 
     def add(self, of: np.ndarray, score: np.ndarray, rows: Rows, at: np.ndarray) -> None:
-        if not len(of):
+        """Only the lists that rows come for are sorted, so a call costs what it brings."""
+        new = (score.astype(np.int64), rows.no_id[at], rows.vec_id[at], rows.row[at])
+        enters = self._enters(of, *new)
+        if not enters.any():
             return
-        new = (of, score.astype(np.int64), rows.no_id[at], rows.vec_id[at], rows.row[at])
-        fields = [np.concatenate([getattr(self, f), x]) for f, x in zip(self.FIELDS, new, strict=True)]
-        of, score, no_id, vec_id, row = fields
+        of, new = of[enters], [x[enters] for x in new]
+        lists = np.unique(of)
+        filled = self._filled(lists)
+        old = [self.of_field[f][lists][filled] for f in self.FIELDS]
+        of = np.concatenate([np.repeat(lists, self.held[lists]), of])
+        score, no_id, vec_id, row = fields = [np.concatenate(x) for x in zip(old, new, strict=True)]
         order = np.lexsort((row, vec_id, no_id, -score, of))
         of = of[order]
         first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-        rank = np.arange(len(of)) - np.repeat(first, np.diff(np.r_[first, len(of)]))
-        order = order[rank < self.k]
+        count = np.diff(np.r_[first, len(of)])
+        rank = np.arange(len(of)) - np.repeat(first, count)
+        kept = rank < self.k
         for name, values in zip(self.FIELDS, fields, strict=True):
-            setattr(self, name, values[order])
-        last = rank[rank < self.k] == self.k - 1
-        self.least[self.of[last]] = np.maximum(self.least[self.of[last]], self.score[last])
+            self.of_field[name][of[kept], rank[kept]] = values[order[kept]]
+        self.held[lists] = np.minimum(count, self.k)
+        full = lists[count >= self.k]
+        self.least[full] = np.maximum(self.least[full], self.of_field["score"][full, -1])
+
+    def _enters(self, of: np.ndarray, score: np.ndarray, no_id: np.ndarray, vec_id: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Which rows come before the last of their list, or find it not full."""
+        last = {f: x[of, -1] for f, x in self.of_field.items()}
+        before = row < last["row"]
+        for own, other in ((vec_id, last["vec_id"]), (no_id, last["no_id"]), (-score, -last["score"])):
+            before = (own < other) | ((own == other) & before)
+        return before | (self.held[of] < self.k)
 
 
 def lower(bound: np.ndarray) -> np.ndarray:
