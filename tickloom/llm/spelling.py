@@ -7,6 +7,9 @@ that may remain, and near words share at least one; candidates come from an equi
 
 A signature also holds the half of the word that one changed letter must leave as it is, the first half or the last, and the
 length of the shorter word. Both are exact, and they keep groups small where many words have the same letters.
+
+No join here is a broadcast. Spark takes the size of exploded signatures from that of the words, which is dozens of times less,
+and that of words from their compressed file, a tenth of what a driver holds to broadcast them.
 """
 
 from __future__ import annotations
@@ -85,7 +88,7 @@ def near_words(words: DataFrame, parts: list[str]) -> DataFrame:
     one, other = signed("shorter", "word", "n"), signed("longer", "other", "other_n")
     longer = F.char_length("word") < F.char_length("other")
     ordered = longer | ((F.char_length("word") == F.char_length("other")) & (F.col("word") < F.col("other")))
-    return one.join(other, "signature").filter(ordered & (F.levenshtein("word", "other", 1) == 1)).select(
+    return one.join(other.hint("merge"), "signature").filter(ordered & (F.levenshtein("word", "other", 1) == 1)).select(
         "word", "n", "other", "other_n").distinct()
 
 
@@ -94,7 +97,7 @@ def roots(forms: DataFrame) -> DataFrame:
     found = stored(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         further = found.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        found = stored(found.join(further, "root", "left").select(
+        found = stored(found.join(further.hint("merge"), "root", "left").select(
             "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         if found.filter("moved").isEmpty():
             return found.select("word", "root")
@@ -115,11 +118,11 @@ def variants(words: DataFrame, factor: int = FACTOR) -> DataFrame:
     near = both.groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("other_n")).alias("less"), "other")).alias("best"))
     has_form = -F.col("best.less") >= factor * F.col("n")
-    formed = stored(words.join(near, "word", "left").select(
+    formed = stored(words.join(near.hint("merge"), "word", "left").select(
         "word", F.when(has_form, F.col("best.other")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).alias("n_near"),
         F.when(has_form, -F.col("best.less")).alias("form_n")), "formed")
     rooted = roots(formed.filter("form is not null"))
-    return formed.join(rooted, "word", "left").select(
+    return formed.join(rooted.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
