@@ -46,6 +46,7 @@ def test_tiles_and_walks_find_the_same(monkeypatch, scale, spared, kind):
     """32-bit floats, 64-bit floats and whole numbers; labels of many rows, of few and of none."""
     monkeypatch.setattr(negatives, "SPARED", spared)
     monkeypatch.setattr(negatives, "TILE", 7)
+    monkeypatch.setattr(negatives, "HITS", 50)
     monkeypatch.setattr(negatives, "LABEL_ANCHORS", 6)
     rng = np.random.default_rng(scale)
     vector = np.floor(scale * (rng.normal(size=(5, 6))[rng.integers(0, 5, 900)] + 0.2 * rng.normal(size=(900, 6))))
@@ -107,3 +108,10 @@ def test_kth():
     assert negatives.kth(scores, fits, 2).tolist() == [1, 2] and negatives.kth(scores, fits, 3).tolist() == [-np.inf, 2]
     assert negatives.kth(scores, fits, 4).tolist() == [-np.inf, -np.inf]
     assert negatives.kth(np.zeros((2, 0)), np.zeros((2, 0), bool), 1).tolist() == [-np.inf, -np.inf]
+
+
+def test_copies_are_taken_in_parts(monkeypatch):
+    monkeypatch.setattr(negatives, "HITS", 100)
+    parts = list(negatives.reaching(np.ones((20, 30), np.float32), np.r_[np.zeros(19), np.inf]))
+    assert [len(one) for one, _ in parts] == [100] * 5 + [70]
+    assert sorted(zip(*map(np.concatenate, zip(*parts, strict=True)), strict=True)) == [(i, j) for i in range(19) for j in range(30)]

@@ -41,6 +41,8 @@ TILE = 256
 PROBE_ROWS, SPARED = 128, 32
 #: Labels of fewer anchors share tiles when rows of other labels are scored.
 LABEL_ANCHORS = 64
+#: Scores that are taken in at a time; many where rows are copies of one another.
+HITS = 1 << 17
 #: Tasks of a pass over the rows, at least. Each task returns its best rows of every list.
 TASKS = 32
 
@@ -131,11 +133,13 @@ def search(lists, anchors: Rows, by_label: np.ndarray, groups: list[Cluster], bl
     meet(lists, anchors, by_label[others[by_label]], block)
 
 
-def reaching(scores: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the scores that reach what their line needs."""
+def reaching(scores: np.ndarray, least: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the scores that reach what their line needs, ``HITS`` at most at a time."""
     if scores.dtype == np.float32:  # whole numbers below 2^24
         least = np.clip(np.ceil(least), -2.0**25, 2.0**25).astype(np.float32)
-    return np.divmod(np.flatnonzero(scores >= least[:, None]), scores.shape[1])
+    places = np.flatnonzero(scores >= least[:, None])
+    for at in range(0, len(places), HITS):
+        yield np.divmod(places[at:at + HITS], scores.shape[1])
 
 
 def runs(labels: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -170,10 +174,10 @@ class Positives:
         return self.found.least[members]
 
     def take(self, members: np.ndarray, scores: np.ndarray, block: Rows, rows: np.ndarray) -> None:
-        one, other = reaching(scores, lower(self.least(members)))
-        kept = self.ids[members[one]] != block.row[rows[other]]
-        one, other = one[kept], other[kept]
-        self.found.add(members[one], scores[one, other], block, rows[other])
+        for one, other in reaching(scores, lower(self.least(members))):
+            kept = self.ids[members[one]] != block.row[rows[other]]
+            one, other = one[kept], other[kept]
+            self.found.add(members[one], scores[one, other], block, rows[other])
 
     def scan(self, cluster: Cluster, anchors: np.ndarray, block: Rows) -> int:
         return walk(cluster, anchors, block, np.flatnonzero(block.label == cluster.label), self)
@@ -203,14 +207,14 @@ class Negatives:
         return self.slots(members).min(axis=1)
 
     def take(self, members: np.ndarray, scores: np.ndarray, block: Rows, rows: np.ndarray) -> None:
-        one, other = reaching(scores, lower(self.least(members)))
-        kept = self.label[members[one]] != block.label[rows[other]]
-        one, other = one[kept], other[kept]
-        found, of = scores[one, other].astype(np.int64), members[one]
-        least = lower(self.slots(members))
-        fits = (found[:, None] >= least[one]) & (found[:, None] >= self.low[of]) & (found[:, None] <= self.high[of])
-        at, slot = np.nonzero(fits)
-        self.found.add(of[at] * POSITIVES + slot, found[at], block, rows[other[at]])
+        for one, other in reaching(scores, lower(self.least(members))):
+            kept = self.label[members[one]] != block.label[rows[other]]
+            one, other = one[kept], other[kept]
+            found, of = scores[one, other].astype(np.int64), members[one]
+            least = lower(self.slots(members))
+            fits = (found[:, None] >= least[one]) & (found[:, None] >= self.low[of]) & (found[:, None] <= self.high[of])
+            at, slot = np.nonzero(fits)
+            self.found.add(of[at] * POSITIVES + slot, found[at], block, rows[other[at]])
 
     def scan(self, cluster: Cluster, anchors: np.ndarray, block: Rows) -> int:
         return walk(cluster, anchors, block, np.flatnonzero(block.label != cluster.label), self)
